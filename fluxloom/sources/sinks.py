@@ -110,4 +110,4 @@ def write_stage(df: DataFrame, base: str, stage: str, partition_by: Sequence[str
 def write_history(df: DataFrame, root: str, ts: str) -> None:
     """Simulation rows in ``case`` / ``veg`` / ``year`` folders."""
     laid = df.withColumn("year", F.year(ts))
-    laid.repartition("case", "veg", "year").write.mode("overwrite").partitionBy("case", "veg", "year").parquet(root)
+    laid.repartition("case", "veg", "year", F.month(ts)).write.mode("overwrite").partitionBy("case", "veg", "year").parquet(root)
