@@ -150,6 +150,24 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         "l_shipdate + to_minutes(CAST((l_orderkey%48)*30 AS BIGINT)) AS ts, "
         "l_quantity AS x, l_extendedprice/1000e0 AS y, l_discount AS z FROM lineitem",
     ),
+    "d": (
+        ("sim",),
+        'SELECT "case", h, y, row_number() OVER (PARTITION BY "case" ORDER BY h)-1 AS r, count(*) OVER (PARTITION BY "case") AS n '
+        'FROM (SELECT "case", round(hour(ts)+minute(ts)/60e0,1) AS h, avg(y) AS y FROM sim GROUP BY ALL)',
+    ),
+    "fine": (
+        (),
+        f"SELECT CAST(ts AS DATE) AS date, {bin_sql('start')} AS ts, coalesce(sum(CASE WHEN event_type='view' AND value>30 "
+        "AND day(ts)%5<>0 THEN value END),0) AS w FROM events GROUP BY ALL",
+    ),
+    "mdsbase": (
+        ("tgrid",),
+        " UNION ALL ".join(
+            f"SELECT site, ts, '{k}' AS variable, CAST(epoch(ts) AS BIGINT)//1800 AS pos, \"view\"*4 AS rg, signup/10e0 AS vpd, "
+            f"click/10e0 AS ta, {k} AS y FROM tgrid"
+            for k in ("purchase", "error")
+        ),
+    ),
     "pts": ((), "SELECT c_custkey AS id, c_acctbal AS lat, c_custkey*37%360*1e0 AS lon FROM customer"),
     "cells": ((), "SELECT s_acctbal AS lat, s_suppkey*7%360+0.25e0 AS lon FROM supplier"),
     "daily": (
