@@ -29,6 +29,18 @@ def _typed(c: str, kind: str) -> Column:
     return text.try_cast(kind)
 
 
+def _opening(spark: SparkSession, paths: list[str], n: int, skip: str | None = None) -> list[str]:
+    """The first ``n`` lines of some file, comment lines left out.
+
+    Only blocks at the start of a file are looked at: a large file is read in
+    several pieces and most of them do not begin with its head.
+    """
+    lines = spark.read.text(paths).filter("_metadata.file_block_start = 0")
+    if skip:
+        lines = lines.filter(~F.col("value").startswith(skip))
+    return [r.value for r in lines.select("value").limit(n).collect()]
+
+
 def read_units_table(spark: SparkSession, path, types: Mapping[str, str], sep: str = "\t", sentinel: float = SENTINEL) -> DataFrame:
     """Table whose first line names the columns and whose second gives their units.
 
@@ -37,8 +49,7 @@ def read_units_table(spark: SparkSession, path, types: Mapping[str, str], sep: s
     recognised by being equal to the one read. Units go to the field metadata.
     """
     paths = _paths(path)
-    head = [r.value for r in spark.read.text(paths).limit(2).collect()]
-    names, units = ([t.strip().strip('"') for t in line.split(sep)] for line in head)
+    names, units = ([t.strip().strip('"') for t in line.split(sep)] for line in _opening(spark, paths, 2))
     raw = spark.read.csv(paths, schema=_strings(names), sep=sep, header=True, enforceSchema=True)
     unit_of = dict(zip(names, units))
     same = reduce(lambda a, b: a & b, [F.col(n).eqNullSafe(F.lit(u)) for n, u in unit_of.items()])
@@ -68,11 +79,11 @@ def read_preamble_csv(
     """CSV after some comment lines and one header line, a sentinel as NULL.
 
     A preamble line starts with the comment sign. The order of columns is the
-    file's, taken from the first line that is no comment.
+    files', taken from a first line that is no comment; all files share it.
     """
     paths = _paths(path)
-    first = spark.read.text(paths).filter(~F.col("value").startswith(comment)).limit(1).collect()
-    names = [t.strip().strip('"') for t in first[0].value.split(",")]
+    (header,) = _opening(spark, paths, 1, skip=comment)
+    names = [t.strip().strip('"') for t in header.split(",")]
     raw = spark.read.csv(
         paths, schema=_strings(names), header=False, comment=comment, nullValue=null, ignoreLeadingWhiteSpace=True
     )

@@ -22,21 +22,31 @@ def _as_text(f: T.StructField, sentinel: float):
     return F.coalesce(c.cast("string"), F.lit(missing))
 
 
+def write_lines(lines: DataFrame, path: str, head: Sequence[str] = ()) -> None:
+    """Text lines, every part file opening with the head lines.
+
+    Lines are put together by Spark; the per-task step only sends the head first.
+    """
+    first = list(head)
+
+    def with_head(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield pa.RecordBatch.from_pydict({"value": first})
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0)], names=["value"])
+
+    out = lines.mapInArrow(with_head, "value string") if first else lines
+    out.write.mode("overwrite").text(path)
+
+
 def write_units_table(df: DataFrame, path: str, sep: str = "\t", sentinel: float = SENTINEL) -> None:
     """Names line, units line, data; missing numbers as the sentinel.
 
-    Each part file is a complete table with its own two head lines. Lines are
-    put together by Spark; the only per-task step is to send the head first.
+    Each part file is a complete table with its own two head lines.
     """
     units = {f.name: f.metadata.get("units", "--") for f in df.schema.fields}
     head = [sep.join(df.columns), sep.join(units[c] for c in df.columns)]
     lines = df.select(F.concat_ws(sep, *[_as_text(f, sentinel) for f in df.schema.fields]).alias("value"))
-
-    def with_head(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield pa.RecordBatch.from_pydict({"value": head})
-        yield from batches
-
-    lines.mapInArrow(with_head, "value string").write.mode("overwrite").text(path)
+    write_lines(lines, path, head)
 
 
 def write_flagged(df: DataFrame, path: str, legend: Mapping[str, str]) -> None:
