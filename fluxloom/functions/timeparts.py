@@ -26,22 +26,24 @@ def epoch_day(ts) -> Column:
     return F.datediff(F.to_date(_c(ts)), _epoch_date())
 
 
+def _since(ts, unit_type: str) -> Column:
+    """Time since year 1 as a number of seconds; never negative, so whole seconds are floors."""
+    origin = F.lit("0001-01-01 00:00:00").cast("timestamp_ntz")
+    return (_c(ts) - origin).cast("interval second").cast(unit_type)
+
+
+#: Seconds from 0001-01-01 to 1970-01-01.
+_YEAR_1_TO_1970 = 719_162 * DAY_SECONDS
+
+
 def epoch_seconds(ts) -> Column:
     """Whole seconds since 1970-01-01 00:00 on the timestamp's own clock."""
-    t = _c(ts)
-    return (
-        epoch_day(t).cast("bigint") * DAY_SECONDS
-        + F.hour(t) * 3600
-        + F.minute(t) * 60
-        + F.second(t)
-    )
+    return _since(ts, "bigint") - F.lit(_YEAR_1_TO_1970)
 
 
 def epoch_micros(ts) -> Column:
     """Microseconds since 1970-01-01 00:00 on the timestamp's own clock."""
-    t = _c(ts)
-    minutes = epoch_day(t).cast("bigint") * 1440 + F.hour(t) * 60 + F.minute(t)
-    return minutes * 60_000_000 + (F.date_part(F.lit("SECOND"), t) * 1_000_000).cast("bigint")
+    return (_since(ts, "decimal(18,6)") * 1_000_000).cast("bigint") - F.lit(_YEAR_1_TO_1970 * 1_000_000)
 
 
 def _epoch_ts() -> Column:
@@ -148,18 +150,14 @@ def floor_halfhour(hour) -> Column:
     return F.floor(_c(hour) * 2) / 2.0
 
 
-def bin_seconds(ts, width: int, label: str = "start") -> Column:
-    """Epoch second of the bin edge of width ``width`` that holds ``ts``.
+def bin_time(ts, width: int = 1800, label: str = "start") -> Column:
+    """Edge of the ``width``-second bin holding ``ts``; bins count from 1970.
 
     ``end`` labels follow interval-end files: a time exactly on an edge opens
     the next interval, as with start labels, and gets that interval's end.
+    Rows without a time have no bin and are left out.
     """
-    edge = F.floor(epoch_seconds(ts) / width) * width
-    return edge + width if label == "end" else edge
-
-
-def bin_time(ts, width: int = 1800, label: str = "start") -> Column:
-    return ts_from_seconds(bin_seconds(ts, width, label))
+    return F.window(_c(ts), f"{width} seconds")[label]
 
 
 def shift_zone(ts, from_offset: str = "+00:00", to_offset: str = "-07:00") -> Column:

@@ -35,7 +35,7 @@ def rebin(
         if null == "strict":
             value = F.when(F.count(col) == F.count(F.lit(1)), value)
         out.append(value.alias(col))
-    return df.groupBy(*keys, tp.bin_time(ts, width, label).alias(ts)).agg(*out)
+    return df.withColumn(ts, tp.bin_time(ts, width, label)).groupBy(*keys, ts).agg(*out)
 
 
 def series_bounds(
@@ -87,8 +87,10 @@ def complete_grid(
     if bounds is None:
         bounds = series_bounds(df, keys, ts, inward)
         if common and keys:
-            span = bounds.agg(F.struct(F.min("start").alias("start"), F.max("end").alias("end"))).scalar()
-            bounds = bounds.select(*keys, span.alias("_span")).select(*keys, "_span.*")
+            # Both uses keep start and end, so that they share one aggregate.
+            dated = bounds.filter(F.coalesce("start", "end").isNotNull())
+            span = dated.agg(F.struct(F.min("start").alias("start"), F.max("end").alias("end"))).scalar()
+            bounds = dated.select(*keys, span.alias("_span")).select(*keys, "_span.*")
     grid = make_grid(bounds, keys, ts, step, label)
     return grid.join(df, [*keys, ts], "left")
 

@@ -121,18 +121,22 @@ def reindex(df: DataFrame, key: str, values: Sequence[str], within: Sequence[str
     return index.join(df, [*within, key], "left")
 
 
-def densify(df: DataFrame, k1: str, k2: str, buckets: int = 32) -> DataFrame:
+def densify(df: DataFrame, k1: str, k2: str, rows: int = 16, cols: int = 8) -> DataFrame:
     """Every combination of the two keys, values NULL where absent.
 
-    The second key's values are dealt into buckets and the first key's rows
-    are sent to each bucket, so the product is built by an equi-join spread
-    over all buckets.
+    The distinct values are dealt into ``rows`` and ``cols`` and meet by an
+    equality join on (row, column), so building the product is spread over
+    rows × cols tasks whatever the number of values on either side.
     """
-    second = df.select(k2).distinct().withColumn("_b", F.pmod(F.xxhash64(k2), F.lit(buckets)))
-    first = (
-        df.select(k1)
-        .distinct()
-        .withColumn("_b", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(buckets - 1).cast("bigint"))))
-    )
-    index = first.join(second, "_b").drop("_b")
-    return index.join(df, [k1, k2], "left")
+
+    def dealt(key: str, mine: str, n: int, theirs: str, m: int) -> DataFrame:
+        every = F.sequence(F.lit(0), F.lit(m - 1))
+        return (
+            df.select(key)
+            .distinct()
+            .withColumn(mine, F.pmod(F.xxhash64(key), F.lit(n)).cast("int"))
+            .withColumn(theirs, F.explode(every))
+        )
+
+    index = dealt(k1, "_r", rows, "_c", cols).join(dealt(k2, "_c", cols, "_r", rows), ["_r", "_c"])
+    return index.drop("_r", "_c").join(df, [k1, k2], "left")

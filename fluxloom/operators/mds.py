@@ -71,7 +71,7 @@ def _lookup_pairs(
     on = [*ids, "_stretch"]
     gaps = todo.filter(F.col("_d1").isNotNull())
     gaps = gaps.withColumn("_stretch", F.explode(_stretches(F.col("_pos"), reach, length)))
-    cell_of = [("_d2", tol[1]), ("_d3", tol[2])] if three else [("_d1", tol[0])]
+    cell_of = [("_d2", tol[1]), ("_d3", tol[2])] if three else [("_d1", max(tol[0], RG_FLOOR))]
     give = donors.withColumn("_stretch", F.floor(F.col("_pos") / length))
     for d, width in cell_of:
         gaps = gaps.filter(F.col(d).isNotNull()).withColumn(f"_cell{d}", F.explode(_cells(F.col(d), width)))

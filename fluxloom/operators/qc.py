@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from fluxloom.functions import timeparts as tp
 from fluxloom.functions import values as vl
 from fluxloom.operators.attach import attach
+from fluxloom.session import settle
 
 SENTINEL = -9999.0
 
@@ -192,10 +193,7 @@ def qc_compare(before: DataFrame, after: DataFrame, cols: Sequence[str], ids: Se
 
     both = long(before, "unfiltered").unionByName(long(after, "filtered"))
     # One row per (variable, tag): bounded by the number of columns.
-    alive = (
-        both.groupBy("variable", "Filtered")
-        .agg(F.count("value").alias("_n"))
-        .filter("_n > 0")
-        .drop("_n")
+    alive = settle(
+        both.groupBy("variable", "Filtered").agg(F.count("value").alias("_n")).filter("_n > 0").drop("_n")
     )
     return attach(both, alive, ["variable", "Filtered"], "left_semi")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from fluxloom.functions import values as vl
 from fluxloom.operators.attach import attach, from_rows
+from fluxloom.session import settle
 
 
 def stack_rows(*frames: DataFrame) -> DataFrame:
@@ -63,7 +64,7 @@ def cyclic_point(df: DataFrame, keys: Sequence[str], lon: str, period: float = 3
     The lowest longitude is aggregated first; the cells carrying it are found
     by a join with that small table.
     """
-    first = df.groupBy(*keys).agg(F.min(lon).alias("_first"))
+    first = settle(df.groupBy(*keys).agg(F.min(lon).alias("_first")))
     edge = (
         attach(df, first, list(keys), "inner")
         .filter(F.col(lon) == F.col("_first"))
@@ -158,5 +159,6 @@ def attach_depth(df: DataFrame, col: str, depths: Sequence[float], sign: int = 1
 
 def drop_short_variables(df: DataFrame, variable: str, n_expected: int) -> DataFrame:
     """Only variables recorded at every time step."""
-    full = df.groupBy(variable).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= n_expected)
-    return attach(df, full.drop("_n"), [variable], "left_semi")
+    counts = df.groupBy(variable).agg(F.count(F.lit(1)).alias("_n"))
+    full = settle(counts.filter(F.col("_n") >= n_expected).drop("_n"))
+    return attach(df, full, [variable], "left_semi")

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fluxloom.functions.timeparts import epoch_seconds
+from fluxloom.functions.timeparts import bin_time, epoch_seconds
 
 SEGMENT = "_segment"
 POSITION = "_position"
@@ -25,11 +25,12 @@ SEGMENT_SECONDS = 32 * 86_400
 
 
 def segment_of(ts, seconds: int = SEGMENT_SECONDS) -> Column:
-    return F.floor(epoch_seconds(ts) / seconds)
+    """Start of the stretch of time that holds ``ts``."""
+    return bin_time(ts, seconds)
 
 
 def with_segment(df: DataFrame, keys: list[str], ts: str, seconds: int = SEGMENT_SECONDS) -> DataFrame:
-    """Add the segment number and place rows by (keys, segment).
+    """Add the segment and place rows by (keys, segment).
 
     The explicit placement is shared by the window inside segments and by the
     per-segment summary, so the table is shuffled once for both.

@@ -7,8 +7,10 @@ cost no more than cold ones.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -209,6 +211,39 @@ def corr_test(df: DataFrame, x: str, y: str, keys: Sequence[str], z: float = 1.9
     )
 
 
+def _two_sided(t: float, df: float) -> float:
+    """P(|T| > t) of Student's distribution: the incomplete beta function as a continued fraction."""
+    x, a, b = df / (df + t * t), df / 2.0, 0.5
+    if x >= 1.0:
+        return 1.0
+    swap = x > (a + 1) / (a + b + 2)
+    if swap:
+        x, a, b = 1 - x, b, a
+    front = math.exp(
+        math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)
+    ) / a
+    frac = 0.0
+    for m in range(200, 0, -1):
+        even = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
+        odd = -(a + m - 1) * (a + b + m - 1) * x / ((a + 2 * m - 2) * (a + 2 * m - 1))
+        frac = odd / (1 + even / (1 + frac))
+    value = front / (1 + frac)
+    return 1 - value if swap else value
+
+
+def add_p_value(test: DataFrame, t: str = "t", df: str = "df", out: str = "p") -> DataFrame:
+    """Two-sided p of a t statistic; runs on the finished table of groups."""
+
+    @F.pandas_udf("double")
+    def p_of(ts: pd.Series, dfs: pd.Series) -> pd.Series:
+        return pd.Series(
+            [None if pd.isna(a) or pd.isna(b) else _two_sided(float(a), float(b)) for a, b in zip(ts, dfs)],
+            dtype="float64",
+        )
+
+    return test.withColumn(out, p_of(F.col(t), F.col(df).cast("double")))
+
+
 def linfit(df: DataFrame, x: str, y: str, keys: Sequence[str]) -> DataFrame:
     """Least-squares line per group."""
     return df.groupBy(*keys).agg(
