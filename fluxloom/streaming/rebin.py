@@ -16,6 +16,8 @@ def rebin_stream(
 
     A bin is emitted once the watermark has passed its end; later rows for it
     are dropped. State holds one partial aggregate per open bin and key.
+    Watermarks need zoned timestamps, so stamps are read in the session zone
+    and given back without one; the session runs in UTC.
     """
     fns = {"sum": F.sum, "mean": F.avg, "min": F.min, "max": F.max}
     out = []
@@ -24,5 +26,6 @@ def rebin_stream(
         if null == "strict":
             value = F.when(F.count(col) == F.count(F.lit(1)), value)
         out.append(value.alias(col))
-    grouped = events.withWatermark(ts, watermark).groupBy(F.window(ts, width).alias("_w"), *keys).agg(*out)
-    return grouped.select(*keys, F.col(f"_w.{label}").alias(ts), *aggs)
+    zoned = events.withColumn(ts, F.col(ts).cast("timestamp_ltz")).withWatermark(ts, watermark)
+    grouped = zoned.groupBy(F.window(ts, width).alias("_w"), *keys).agg(*out)
+    return grouped.select(*keys, F.col(f"_w.{label}").cast("timestamp_ntz").alias(ts), *aggs)
