@@ -5,16 +5,36 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Rows a broadcast side may hold; a row of a dimension is well under 1 KB.
 MAX_BROADCAST_ROWS = 100_000
 
 
+_ARROW = {
+    "string": pa.string(),
+    "int": pa.int32(),
+    "bigint": pa.int64(),
+    "double": pa.float64(),
+    "boolean": pa.bool_(),
+    "date": pa.date32(),
+}
+
+
 def from_rows(spark, rows: Sequence[tuple], schema: str) -> DataFrame:
-    """Table from rows written in a program; their number bounds its size."""
-    return spark.createDataFrame(list(rows), schema)
+    """Table from rows written in a program; their number bounds its size.
+
+    Handed over as one Arrow table, which Spark keeps as a local relation of
+    known size: no Python worker reads it back.
+    """
+    fields = T.StructType.fromDDL(schema).fields
+    columns = [
+        pa.array([r[i] for r in rows], type=_ARROW[f.dataType.simpleString()]) for i, f in enumerate(fields)
+    ]
+    return spark.createDataFrame(pa.Table.from_arrays(columns, names=[f.name for f in fields]))
 
 
 def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:

@@ -430,11 +430,14 @@ def _(t):
 
 @query("gf7_partition_flux", "site:s ts:t Reco:6 GPP:6 nee:6", None)
 def _(t):
+    # Respiration of known sensitivity, disturbed by another sensor.
+    term = partition.temperature_term(F.col("click") / 10)
     df = t.tower_grid().select(
-        "site", "ts", (F.col("view") * 2 - 80).alias("Rg"), (F.col("click") / 5).alias("Tair_f"),
-        (F.col("purchase") / 25).alias("NEE"),
-    ).withColumn("NEE_f", F.coalesce("NEE", F.lit(0.0)))
-    return partition.partition_flux(df, ["site"], "ts").withColumn("nee", F.col("NEE_f"))
+        "site", "ts", (F.col("view") * 2 - 80).alias("Rg"), F.coalesce(F.col("click") / 10, F.lit(5.0)).alias("Tair_f"),
+        (2.0 * F.exp(200.0 * term) * (1 + (F.col("purchase") - 50) / 500)).alias("NEE"),
+    )
+    filled = fl.interpolate_linear(df, ["site"], "ts", "NEE", "NEE_f")
+    return partition.partition_flux(filled, ["site"], "ts").withColumn("nee", F.col("NEE_f"))
 
 
 @query(

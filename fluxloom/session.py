@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,10 +49,13 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder once and go on from the written copy.
+    """Write ``df`` as a table in the shared folder once and go on from there.
 
-    Cuts the lineage of staged work, so that a lost executor costs one stage
-    and later stages do not recompute earlier ones.
+    Cuts the lineage of staged work: a lost executor costs one stage, and
+    later stages do not recompute earlier ones. Unlike a row checkpoint the
+    table keeps its columns apart and its size known, so later joins read only
+    what they need and Spark's own size checks see the truth.
     """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = f"{shared_dir(df.sparkSession)}/fluxloom/settled-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

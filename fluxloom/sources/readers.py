@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fluxloom.operators.attach import from_rows
 from fluxloom.operators.qc import SENTINEL, null_sentinels
 from fluxloom.operators.reshape import stack_rows
 
@@ -136,7 +137,7 @@ def variable_catalog(df: DataFrame) -> DataFrame:
         (f.name, f.metadata.get("units"), f.metadata.get("long_name"))
         for f in df.schema.fields
     ]
-    return df.sparkSession.createDataFrame(rows, "variable string, units string, long_name string")
+    return from_rows(df.sparkSession, rows, "variable string, units string, long_name string")
 
 
 def with_units(df: DataFrame, units: Mapping[str, str], long_names: Mapping[str, str] | None = None) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fluxloom.operators.attach import from_rows
 from fluxloom.operators.derive import month_time_axis
 from fluxloom.operators.qc import SENTINEL
 from fluxloom.sources.readers import variable_catalog, with_units
@@ -100,9 +101,7 @@ def write_forcing(df: DataFrame, path: str, keys: Sequence[str], ts: str, attrib
     catalog = variable_catalog(table).withColumn("fill_value", F.lit(SENTINEL))
     catalog.write.mode("overwrite").parquet(f"{path}/variables")
     rows = list({"calendar": "noleap", "mode": "time-dependent", **(attributes or {})}.items())
-    df.sparkSession.createDataFrame(rows, "name string, value string").write.mode("overwrite").parquet(
-        f"{path}/attributes"
-    )
+    from_rows(df.sparkSession, rows, "name string, value string").write.mode("overwrite").parquet(f"{path}/attributes")
 
 
 def export_series(df: DataFrame, cols: Sequence[str], path: str, fmt: str = "csv") -> None:
