@@ -160,6 +160,11 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         f"SELECT CAST(ts AS DATE) AS date, {bin_sql('start')} AS ts, coalesce(sum(CASE WHEN event_type='view' AND value>30 "
         "AND day(ts)%5<>0 THEN value END),0) AS w FROM events GROUP BY ALL",
     ),
+    "rainfine": (
+        (),
+        f"SELECT CAST(ts AS DATE) AS date, {bin_sql('start')} AS ts, coalesce(CASE WHEN count(*) FILTER (WHERE value<=1)=0 "
+        "THEN sum(value) END, 0) AS w FROM events WHERE event_type<>'purchase' GROUP BY ALL",
+    ),
     "mdsbase": (
         ("tgrid",),
         " UNION ALL ".join(
@@ -170,6 +175,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "pts": ((), "SELECT c_custkey AS id, c_acctbal AS lat, c_custkey*37%360*1e0 AS lon FROM customer"),
     "cells": ((), "SELECT s_acctbal AS lat, s_suppkey*7%360+0.25e0 AS lon FROM supplier"),
+    "obsdoy": (("obs",), f"SELECT *, {noleap_sql('ts')} AS doy FROM obs"),
     "daily": (
         ("obs",),
         "SELECT veg, CAST(ts AS DATE) AS date, avg(v) AS v, avg(w) AS w FROM obs GROUP BY ALL",
