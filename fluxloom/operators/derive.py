@@ -12,8 +12,7 @@ from fluxloom.operators.attach import attach, from_rows
 from fluxloom.operators.qc import drop_leap_day
 
 # Precipitation below freezing as a share of the observed, by
-# community and month (Wieder et al. 2017, table 1); months not listed take
-# the community's month 0.
+# community and month; months not listed take the community's month 0.
 REGIMES = [
     ("FF", 0, 0.1),
     ("FF", 3, 0.25),

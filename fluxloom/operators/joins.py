@@ -8,8 +8,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fluxloom.functions import values as vl
 from fluxloom.operators import segments as sg
 from fluxloom.operators.attach import attach, from_rows
+from fluxloom.session import settle
 
 
 def join_sources(base: DataFrame, *others: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -60,35 +62,37 @@ def align_summaries(left: DataFrame, right: DataFrame, on: Sequence[str], how: s
     return left.join(right, list(on), how)
 
 
-def nearest_cell(
-    points: DataFrame, cells: DataFrame, point_id: str, axes: Sequence[str], width: float = 1.0
-) -> DataFrame:
-    """Nearest grid coordinate of every point, axis by axis.
+def nearest_cell(points: DataFrame, cells: DataFrame, axes: Sequence[str], width: float = 1.0) -> DataFrame:
+    """Nearest grid coordinate of every point, axis by axis (``near_<axis>``).
 
-    Points and grid coordinates are laid along each axis together and every
-    point looks at the coordinate before and after it, so points and cells
-    are never paired off. ``width`` is the length of axis handled by one task
-    group. Of two coordinates equally near the smaller one is taken.
+    The distinct places of the points and the grid's coordinates are laid
+    along each axis together, and every place looks at the coordinate before
+    and after it: points and cells are never paired off, and a place shared by
+    very many points is looked up once. ``width`` is the length of axis
+    handled by one task group. Of two coordinates equally near the smaller one
+    is taken.
     """
-    long_points = points.unpivot([point_id], list(axes), "_axis", "_at").filter(F.col("_at").isNotNull())
-    marks = (
-        cells.select(*axes)
-        .unpivot([], list(axes), "_axis", "_at")
-        .filter(F.col("_at").isNotNull())
-        .distinct()
-    )
-    line = long_points.withColumn("_mark", F.lit(None).cast("double")).unionByName(
-        marks.withColumn("_mark", F.col("_at").cast("double")), allowMissingColumns=True
+    axes = list(axes)
+
+    def places(df: DataFrame) -> DataFrame:
+        each = [F.struct(F.lit(a).alias("_axis"), F.col(a).cast("double").alias("_at")) for a in axes]
+        long = df.select(F.explode(F.array(*each)).alias("_p")).select("_p.*")
+        return long.filter(vl.known("_at")).distinct()
+
+    line = places(points).withColumn("_mark", F.lit(None).cast("double")).unionByName(
+        places(cells).withColumn("_mark", F.col("_at"))
     )
     seen = sg.bracket(line, ["_axis"], "_at", F.col("_mark"), F.floor(F.col("_at") / width))
-    near = F.when(F.col("_prev").isNull(), F.col("_next")).when(
-        F.col("_next").isNull() | (F.col("_at") - F.col("_prev") <= F.col("_next") - F.col("_at")),
-        F.col("_prev"),
-    ).otherwise(F.col("_next"))
-    found = seen.filter(F.col("_mark").isNull()).withColumn("_near", near)
-    return found.groupBy(point_id).agg(
-        *[F.max(F.when(F.col("_axis") == a, F.col("_near"))).alias(f"near_{a}") for a in axes]
-    )
+    back, ahead = F.col("_at") - F.col("_prev"), F.col("_next") - F.col("_at")
+    near = F.when(F.col("_next").isNull() | (back <= ahead), F.col("_prev")).otherwise(F.col("_next"))
+    found = settle(seen.filter(F.col("_mark").isNull()).select("_axis", "_at", near.alias("_near")))
+    out = points
+    for a in axes:
+        side = found.filter(F.col("_axis") == a).select(
+            F.col("_at").cast(points.schema[a].dataType).alias(a), F.col("_near").alias(f"near_{a}")
+        )
+        out = attach(out, side, [a])
+    return out.select(*points.columns, *[f"near_{a}" for a in axes])
 
 
 def case_diff(a: DataFrame, b: DataFrame, on: Sequence[str], cols: Sequence[str]) -> DataFrame:

@@ -128,10 +128,14 @@ def reference_respiration(
 
 
 def partition_flux(
-    df: DataFrame, keys: Sequence[str], ts: str, nee: str = "NEE", nee_filled: str = "NEE_f", tair: str = "Tair_f",
-    rg: str = "Rg", lat: float = 40.05, lon: float = -105.59, zone_hours: float = -7.0, rg_night: float = 10.0,
+    df: DataFrame, keys: Sequence[str], ts: str, lat: float, lon: float, zone_hours: float,
+    nee: str = "NEE", nee_filled: str = "NEE_f", tair: str = "Tair_f", rg: str = "Rg", rg_night: float = 10.0,
 ) -> DataFrame:
-    """Add respiration ``Reco`` and uptake ``GPP`` = Reco - NEE."""
+    """Add respiration ``Reco`` and uptake ``GPP`` = Reco - NEE.
+
+    Place and clock (degrees, hours from UTC) tell night from day together
+    with the measured radiation.
+    """
     keys = list(keys)
     dark = (F.col(rg) < rg_night) & (sun_elevation_sine(ts, lat, lon, zone_hours) < 0)
     night = df.filter(dark & F.col(nee).isNotNull() & F.col(tair).isNotNull()).select(*keys, ts, nee, tair)

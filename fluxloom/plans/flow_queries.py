@@ -59,7 +59,7 @@ def _(t):
     runoff = t.sensor().filter("sensor = 'error'").select(
         tp.plus_seconds("ts", F.lit(-1800)).alias("ts"), (F.col("v") / 1e5).alias("QRUNOFF")
     )
-    return wf.prepare_forcing(towers, rain, light, "East", runoff=runoff)
+    return wf.prepare_forcing(towers, rain, light, "East", 40.0, -105.5, runoff=runoff)
 
 
 @query(

@@ -165,6 +165,11 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         f"SELECT CAST(ts AS DATE) AS date, {bin_sql('start')} AS ts, coalesce(CASE WHEN count(*) FILTER (WHERE value<=1)=0 "
         "THEN sum(value) END, 0) AS w FROM events WHERE event_type<>'purchase' GROUP BY ALL",
     ),
+    "mdsown": (
+        ("tgrid",),
+        "SELECT site, ts, 'T' AS variable, CAST(epoch(ts) AS BIGINT)//1800 AS pos, \"view\"*4 AS rg, signup/10e0 AS vpd, "
+        "click/10e0 AS ta, click/10e0 AS y FROM tgrid",
+    ),
     "mdsbase": (
         ("tgrid",),
         " UNION ALL ".join(

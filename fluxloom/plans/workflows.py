@@ -71,11 +71,11 @@ def prepare_forcing(
     precipitation: DataFrame,
     radiation: DataFrame,
     base: str,
+    lat: float,
+    lon: float,
+    zone_hours: float = -7.0,
     variables: Sequence[str] = TOWER_VARIABLES,
     runoff: DataFrame | None = None,
-    lat: float = 40.05,
-    lon: float = -105.59,
-    zone_hours: float = -7.0,
 ) -> DataFrame:
     """Cleaned towers to model forcing, one row per community and step.
 
@@ -99,7 +99,8 @@ def prepare_forcing(
     named = filled.withColumnsRenamed({f"filled_{v}": f"{v}_f" for v in have})
     seen = bounded.select("site", "ts", F.col("NEE").alias("NEE_seen"), F.col("Rg").alias("Rg_seen"))
     split = partition.partition_flux(
-        named.join(seen, ["site", "ts"]), ["site"], "ts", "NEE_seen", "NEE_f", "Tair_f", "Rg_seen", lat, lon, zone_hours
+        named.join(seen, ["site", "ts"]), ["site"], "ts", lat, lon, zone_hours, "NEE_seen", "NEE_f",
+        "Tair_f", "Rg_seen",
     )
     out = fl.take_filled(split.withColumnRenamed("GPP", "GPP_f"), ["site"], "ts")
     out = out.withColumns({"Tair": vl.convert("Tair", "degC", "K"), "P": vl.convert("P", "kPa", "Pa")})

@@ -119,7 +119,7 @@ def test_respiration_model_is_recovered(spark):
         light = max(0.0, math.sin((ts.hour + ts.minute / 60 - 6) / 12 * math.pi)) * 600
         rows.append(("a", ts, light, float(t), reco - (0.02 * light), reco))
     df = spark.createDataFrame(rows, "site string, ts timestamp_ntz, Rg double, Tair_f double, NEE double, truth double")
-    out = partition.partition_flux(df.withColumn("NEE_f", F.col("NEE")), ["site"], "ts")
+    out = partition.partition_flux(df.withColumn("NEE_f", F.col("NEE")), ["site"], "ts", 40.0, -105.0, -7.0)
     stats = out.agg(
         F.max(F.abs(F.col("Reco") - F.col("truth")) / F.col("truth")).alias("worst"),
         F.max(F.abs(F.col("Reco") - F.col("GPP") - F.col("NEE_f"))).alias("balance"),
@@ -130,5 +130,5 @@ def test_respiration_model_is_recovered(spark):
 
 def test_sun_is_up_at_noon_and_down_at_midnight(spark):
     df = spark.sql("select timestamp_ntz'2024-06-21 12:00:00' as ts union all select timestamp_ntz'2024-06-21 00:00:00'")
-    noon, night = [r[0] for r in df.select(partition.sun_elevation_sine("ts", 40.05, -105.59, -7.0)).collect()]
-    assert noon == pytest.approx(math.sin(math.radians(90 - 40.05 + 23.44)), abs=0.01) and night < -0.3
+    noon, night = [r[0] for r in df.select(partition.sun_elevation_sine("ts", 40.0, -105.5, -7.0)).collect()]
+    assert noon == pytest.approx(math.sin(math.radians(90 - 40.0 + 23.44)), abs=0.01) and night < -0.3
