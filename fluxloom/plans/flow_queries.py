@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fluxloom.functions import timeparts as tp
+from fluxloom.operators import partition
 from fluxloom.operators import summarize as sm
 from fluxloom.operators.attach import from_rows
 from fluxloom.operators.joins import classify
@@ -50,9 +51,23 @@ def _(t):
     return wf.half_hour_precipitation(daily, fine, "ppt", "w")
 
 
-@query("forcing_preparation", "community:s ts:t year_mon:s PRECTmms:9 Tair:4 Rg:4 NEE:4 GPP:4 VPD:4", None)
+@query(
+    "forcing_preparation",
+    "community:s ts:t year_mon:s PRECTmms:9 Tair:6 Rg:6 NEE:6 VPD:6",
+    "SELECT k.community, w.ts + INTERVAL 390 MINUTE AS ts, strftime(w.ts + INTERVAL 390 MINUTE,'%Y-%m') AS year_mon, \"Rg\", \"NEE\", \"VPD\", tk AS \"Tair\", "
+    "CASE WHEN k.community='MM' OR tk>=273.15 THEN p WHEN tk<273.15 THEN p*CASE k.community WHEN 'WM' THEN 0.75e0 WHEN 'SB' THEN 2e0 ELSE 0.1e0 END END "
+    "+ CASE WHEN k.community='WM' THEN coalesce(q.v/1e5,0) ELSE 0 END AS \"PRECTmms\" FROM "
+    "(SELECT ts, max(filled) FILTER (WHERE variable='NEE') AS \"NEE\", max(filled) FILTER (WHERE variable='Tair')+273.15e0 AS tk, "
+    "max(filled) FILTER (WHERE variable='PRECTmms') AS p, max(filled) FILTER (WHERE variable='Rg') AS \"Rg\", max(filled) FILTER (WHERE variable='VPD') AS \"VPD\" "
+    "FROM flowfilled GROUP BY ts) w CROSS JOIN (VALUES ('FF'),('DM'),('MM'),('WM'),('SB')) k(community) LEFT JOIN grid q ON q.ts=w.ts AND q.sensor='error'",
+    "flowfilled grid",
+)
 def _(t):
-    cols = {"NEE": F.col("purchase") / 25, "Tair": F.col("click") / 10, "rH": F.col("signup"), "P": F.col("error") / 10 + 60}
+    # Respiration of known sensitivity to temperature, disturbed by another sensor.
+    celsius = F.col("click") / 10 - 5
+    term = partition.temperature_term(celsius)
+    nee = 2.0 * F.exp(200.0 * term) * (1 + (F.col("purchase") - 50) / 500)
+    cols = {"NEE": nee, "Tair": celsius, "rH": F.col("signup"), "P": F.col("error") / 10 + 60}
     towers = t.tower_grid().select("site", "ts", *[c.alias(n) for n, c in cols.items()])
     rain = t.sensor().filter("sensor = 'purchase'").select("ts", (F.col("v") / 1800).alias("PRECTmms"))
     light = t.sensor().filter("sensor = 'view'").select("ts", (F.col("v") * 4 - 80).alias("Rg"))

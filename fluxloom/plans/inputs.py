@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from fluxloom.functions import timeparts as tp
 from fluxloom.operators import grid as gr
+from fluxloom.operators.mds import STAGES
 
 NAMES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -112,6 +113,32 @@ def noleap_sql(d: str) -> str:
     )
 
 
+_MDS_STAGES = ", ".join(
+    f"({i},{m},{d})" for i, (m, d) in enumerate((m, d) for m, days in STAGES for d in days)
+)
+
+
+def mds_sql(base: str, also: str = "NULL") -> str:
+    """Every gap against every donor, all stages side by side, the first sufficient one taken."""
+    return (
+        "SELECT b.site, b.variable, b.ts, b.y AS value, coalesce(b.y, r.m) AS filled, r.m AS model, r.method, "
+        'CASE WHEN r.method=3 THEN 2*r.half+1 ELSE 2*r.half END AS "window", r.n, r.sd, CASE WHEN b.y IS NOT NULL THEN 0 '
+        "WHEN r.method=1 THEN CASE WHEN 2*r.half<=14 THEN 1 WHEN 2*r.half<=56 THEN 2 ELSE 3 END "
+        "WHEN r.method=2 THEN CASE WHEN 2*r.half<=14 THEN 1 WHEN 2*r.half<=28 THEN 2 ELSE 3 END "
+        "WHEN r.method=3 THEN CASE WHEN 2*r.half+1<=1 THEN 1 WHEN 2*r.half+1<=5 THEN 2 ELSE 3 END END AS fqc "
+        f"FROM {base} b LEFT JOIN (SELECT site, variable, pos, arg_min(m, ord) AS m, arg_min(sd, ord) AS sd, arg_min(n, ord) AS n, "
+        "arg_min(method, ord) AS method, arg_min(half, ord) AS half FROM (SELECT p.site, p.variable, p.pos, s.ord, s.method, s.half, "
+        "avg(p.y) AS m, stddev_samp(p.y) AS sd, count(*) AS n FROM (SELECT g.site, g.variable, g.pos, d.y, abs(d.pos-g.pos) AS away, "
+        "abs(CAST(round((d.pos-g.pos)/48e0) AS INT)) AS k, abs((d.pos-g.pos) - 48*CAST(round((d.pos-g.pos)/48e0) AS INT)) AS o, "
+        "abs(d.rg-g.rg) < greatest(least(50e0, g.rg), 20e0) AND g.rg IS NOT NULL AND d.rg IS NOT NULL AS a1, "
+        f"abs(d.vpd-g.vpd) < 5 AND abs(d.ta-g.ta) < 2.5 AS a23 FROM {base} g JOIN {base} d ON g.site=d.site AND g.variable=d.variable "
+        f"AND d.y IS NOT NULL AND (g.y IS NULL OR g.variable={also}) AND abs(d.pos-g.pos) <= 210*48+2) p "
+        f"JOIN (VALUES {_MDS_STAGES}) s(ord, method, half) ON (s.method=1 AND away<=half*48 AND a1 AND a23) OR (s.method=2 AND away<=half*48 AND a1) "
+        "OR (s.method=3 AND k<=half AND o<=2) GROUP BY ALL HAVING count(*)>=2) GROUP BY ALL) r "
+        "ON r.site=b.site AND r.variable=b.variable AND r.pos=b.pos"
+    )
+
+
 _KIND_COLS = ", ".join(f"avg(value) FILTER (WHERE event_type='{k}') AS {k}" for k in KINDS)
 
 #: Name: (expressions it needs, SQL).
@@ -165,6 +192,24 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         f"SELECT CAST(ts AS DATE) AS date, {bin_sql('start')} AS ts, coalesce(CASE WHEN count(*) FILTER (WHERE value<=1)=0 "
         "THEN sum(value) END, 0) AS w FROM events WHERE event_type<>'purchase' GROUP BY ALL",
     ),
+    "flowwide": (
+        ("tgrid", "grid"),
+        "SELECT *, 6.1078e0*exp(17.08085e0*tair/(234.175e0+tair))*(1-rh/100e0) AS vpd FROM (SELECT b.ts, "
+        "CASE WHEN coalesce(b.nee,f.nee) BETWEEN -100 AND 100 THEN coalesce(b.nee,f.nee) END AS nee, coalesce(b.click,f.click)/10e0-5 AS tair, "
+        "CASE WHEN coalesce(b.signup,f.signup)>100 THEN 100 ELSE coalesce(b.signup,f.signup) END AS rh, p.v/1800e0 AS prect, "
+        "CASE WHEN l.v*4-80<0 THEN 0 WHEN l.v*4-80>1200 THEN 1200 ELSE l.v*4-80 END AS rg FROM "
+        "(SELECT *, 2e0*exp(200e0*(1e0/61.02e0-1e0/(click/10e0-5+46.02e0)))*(1+(purchase-50)/500e0) AS nee FROM tgrid WHERE site='East') b JOIN "
+        "(SELECT *, 2e0*exp(200e0*(1e0/61.02e0-1e0/(click/10e0-5+46.02e0)))*(1+(purchase-50)/500e0) AS nee FROM tgrid WHERE site='West') f ON f.ts=b.ts "
+        "LEFT JOIN grid p ON p.ts=b.ts AND p.sensor='purchase' LEFT JOIN grid l ON l.ts=b.ts AND l.sensor='view')",
+    ),
+    "flowlong": (
+        ("flowwide",),
+        " UNION ALL ".join(
+            f"SELECT 'both' AS site, ts, '{name}' AS variable, CAST(epoch(ts) AS BIGINT)//1800 AS pos, rg, vpd, tair AS ta, {col} AS y FROM flowwide"
+            for name, col in (("NEE", "nee"), ("Tair", "tair"), ("PRECTmms", "prect"), ("Rg", "rg"), ("VPD", "vpd"))
+        ),
+    ),
+    "flowfilled": (("flowlong",), mds_sql("flowlong", "'NEE'")),
     "mdsown": (
         ("tgrid",),
         "SELECT site, ts, 'T' AS variable, CAST(epoch(ts) AS BIGINT)//1800 AS pos, \"view\"*4 AS rg, signup/10e0 AS vpd, "

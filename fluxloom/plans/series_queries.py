@@ -14,7 +14,7 @@ from fluxloom.operators import reshape as rs
 from fluxloom.operators import summarize as sm
 from fluxloom.operators import windows as wn
 from fluxloom.operators.attach import from_rows
-from fluxloom.plans.inputs import KINDS, bin_sql, noleap_sql, season_sql
+from fluxloom.plans.inputs import KINDS, mds_sql, noleap_sql, season_sql
 from fluxloom.plans.registry import query
 from fluxloom.sources.sinks import forcing_table
 
@@ -379,30 +379,6 @@ def _(t):
     return fl.era_select(t.tower_grid(), "ts", "2024-01-15", "view", ["click", "signup", "error"], "v")
 
 
-_MDS_STAGES = ", ".join(
-    f"({i},{m},{d})" for i, (m, d) in enumerate((m, d) for m, days in mds.STAGES for d in days)
-)
-def _mds_sql(base: str, also: str = "NULL") -> str:
-    """Every gap against every donor, all stages side by side, the first sufficient one taken."""
-    return (
-        "SELECT b.site, b.variable, b.ts, b.y AS value, coalesce(b.y, r.m) AS filled, r.m AS model, r.method, "
-        'CASE WHEN r.method=3 THEN 2*r.half+1 ELSE 2*r.half END AS "window", r.n, r.sd, CASE WHEN b.y IS NOT NULL THEN 0 '
-        "WHEN r.method=1 THEN CASE WHEN 2*r.half<=14 THEN 1 WHEN 2*r.half<=56 THEN 2 ELSE 3 END "
-        "WHEN r.method=2 THEN CASE WHEN 2*r.half<=14 THEN 1 WHEN 2*r.half<=28 THEN 2 ELSE 3 END "
-        "WHEN r.method=3 THEN CASE WHEN 2*r.half+1<=1 THEN 1 WHEN 2*r.half+1<=5 THEN 2 ELSE 3 END END AS fqc "
-        f"FROM {base} b LEFT JOIN (SELECT site, variable, pos, arg_min(m, ord) AS m, arg_min(sd, ord) AS sd, arg_min(n, ord) AS n, "
-        "arg_min(method, ord) AS method, arg_min(half, ord) AS half FROM (SELECT p.site, p.variable, p.pos, s.ord, s.method, s.half, "
-        "avg(p.y) AS m, stddev_samp(p.y) AS sd, count(*) AS n FROM (SELECT g.site, g.variable, g.pos, d.y, abs(d.pos-g.pos) AS away, "
-        "abs(CAST(round((d.pos-g.pos)/48e0) AS INT)) AS k, abs((d.pos-g.pos) - 48*CAST(round((d.pos-g.pos)/48e0) AS INT)) AS o, "
-        "abs(d.rg-g.rg) < greatest(least(50e0, g.rg), 20e0) AND g.rg IS NOT NULL AND d.rg IS NOT NULL AS a1, "
-        f"abs(d.vpd-g.vpd) < 5 AND abs(d.ta-g.ta) < 2.5 AS a23 FROM {base} g JOIN {base} d ON g.site=d.site AND g.variable=d.variable "
-        f"AND d.y IS NOT NULL AND (g.y IS NULL OR g.variable={also}) AND abs(d.pos-g.pos) <= 210*48+2) p "
-        f"JOIN (VALUES {_MDS_STAGES}) s(ord, method, half) ON (s.method=1 AND away<=half*48 AND a1 AND a23) OR (s.method=2 AND away<=half*48 AND a1) "
-        "OR (s.method=3 AND k<=half AND o<=2) GROUP BY ALL HAVING count(*)>=2) GROUP BY ALL) r "
-        "ON r.site=b.site AND r.variable=b.variable AND r.pos=b.pos"
-    )
-
-
 def _weather(t):
     """Tower grid with radiation, moisture deficit and temperature of usual size."""
     return t.tower_grid().select(
@@ -414,7 +390,7 @@ def _weather(t):
 @query(
     "gf6_mds_fill",
     "site:s variable:s ts:t value:6 filled:6 model:6 method:i window:i n:i sd:6 fqc:i",
-    _mds_sql("mdsbase", "'error'"),
+    mds_sql("mdsbase", "'error'"),
     "mdsbase",
 )
 def _(t):
@@ -424,7 +400,7 @@ def _(t):
 @query(
     "gf6_mds_own_driver",
     "site:s ts:t filled:6 method:i window:i fqc:i",
-    _mds_sql("mdsown"),
+    mds_sql("mdsown"),
     "mdsown",
 )
 def _(t):
