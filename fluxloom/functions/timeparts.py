@@ -46,6 +46,11 @@ def epoch_micros(ts) -> Column:
     return (_since(ts, "decimal(18,6)") * 1_000_000).cast("bigint") - F.lit(_YEAR_1_TO_1970 * 1_000_000)
 
 
+def seconds_between(start, end) -> Column:
+    """Seconds from one stamp to another, with fraction."""
+    return (_c(end) - _c(start)).cast("interval second").cast("decimal(18,6)").cast("double")
+
+
 def _epoch_ts() -> Column:
     return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 

@@ -19,14 +19,11 @@ def interpolate_linear(
 
     Leading and trailing gaps stay NULL; there is no longest gap.
     """
-    at = tp.epoch_micros(ts)
-    offer = F.when(F.col(col).isNotNull(), F.struct(at.alias("t"), F.col(col).alias("v")))
-    seen = sg.bracket(df, keys, ts, offer, sg.segment_of(ts, seconds))
-    t0, v0 = F.col("_prev.t"), F.col("_prev.v")
-    t1, v1 = F.col("_next.t"), F.col("_next.v")
-    line = v0 + (v1 - v0) * (at - t0) / (t1 - t0)
-    value = F.when(F.col(col).isNotNull(), F.col(col)).when(t1 > t0, line)
-    return seen.withColumn(out or col, value).drop("_prev", "_next")
+    seen = sg.bracket(df, keys, ts, col, sg.segment_of(ts, seconds))
+    since, gap = tp.seconds_between("_prev_at", ts), tp.seconds_between("_prev_at", "_next_at")
+    line = F.col("_prev") + (F.col("_next") - F.col("_prev")) * since / gap
+    value = F.coalesce(F.col(col), line)
+    return seen.withColumn(out or col, value).drop("_prev_at", "_prev", "_next_at", "_next")
 
 
 def fill_from(df: DataFrame, col: str, fallback: str, when: Column) -> DataFrame:

@@ -105,48 +105,30 @@ def gap_runs(
 ) -> DataFrame:
     """Contiguous runs of rows in which any required value is missing.
 
-    Runs are found inside time segments; only those touching a segment border
-    (at most two per segment) are then merged with their neighbours.
+    Every missing row is named by the last complete row before it, found inside
+    its time segment or handed on from an earlier one; rows of one name are one
+    run. Counting them is a partial aggregate, however long a run may be.
     """
     missing = F.lit(False)
     for c in required:
         missing = missing | F.col(c).isNull()
-    cut = sg.with_segment(df.select(*keys, ts, missing.alias("_gap")), keys, ts, seconds)
-    w = sg.inside(keys, [ts])
-    # Islands of equal state; both kinds are kept at the borders, so that two
-    # border gaps in a row are known to have nothing between them.
-    islands = (
-        cut.withColumn("_before", F.lag("_gap").over(w))
-        .withColumn("_after", F.lead("_gap").over(w))
-        .withColumn("_change", F.when(F.col("_before") == F.col("_gap"), 0).otherwise(1))
-        .withColumn("_island", F.sum("_change").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-        .groupBy(*keys, sg.SEGMENT, "_island", "_gap")
-        .agg(
-            F.min(ts).alias("start"),
-            F.max(ts).alias("end"),
-            F.count(F.lit(1)).alias("n"),
-            F.bool_or(F.col("_before").isNull()).alias("_left"),
-            F.bool_or(F.col("_after").isNull()).alias("_right"),
-        )
-    )
-    inner = islands.filter("_gap and not _left and not _right").select(*keys, "start", "end", "n")
-    order = Window.partitionBy(*keys).orderBy("start")
-    continues = (
-        F.col("_gap")
-        & F.col("_left")
-        & F.lag(F.col("_gap") & F.col("_right"), 1, False).over(order)
-        & (F.lag(sg.SEGMENT).over(order) != F.col(sg.SEGMENT))
+    flagged = df.select(*keys, ts, F.when(~missing, F.col(ts)).alias("_whole"))
+    cut = sg.with_segment(flagged, keys, ts, seconds)
+    earlier = sg.across(keys).rowsBetween(Window.unboundedPreceding, -1)
+    carry = (
+        cut.groupBy(*keys, sg.SEGMENT)
+        .agg(F.max("_whole").alias("_last"))
+        .withColumn("_carry", F.last("_last", ignorenulls=True).over(earlier))
+        .drop("_last")
     )
-    merged = (
-        islands.filter("_left or _right")
-        .withColumn("_new", F.when(continues, 0).otherwise(1))
-        .withColumn("_run", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-        .filter("_gap")
-        .groupBy(*keys, "_run")
-        .agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("n").alias("n"))
+    named = cut.withColumn("_after", F.last("_whole", ignorenulls=True).over(sg.inside(keys, [ts])))
+    return (
+        sg.attach_carry(named.filter(F.col("_whole").isNull()), carry, keys)
+        .groupBy(*keys, F.coalesce("_after", "_carry").alias("_run"))
+        .agg(F.min(ts).alias("start"), F.max(ts).alias("end"), F.count(F.lit(1)).alias("n"))
         .drop("_run")
+        .withColumn("ndays", F.col("n") / float(steps_per_day))
     )
-    return inner.unionByName(merged).withColumn("ndays", F.col("n") / float(steps_per_day))
 
 
 def gap_summary(runs: DataFrame, keys: list[str]) -> DataFrame:

@@ -82,7 +82,7 @@ def nearest_cell(points: DataFrame, cells: DataFrame, axes: Sequence[str], width
     line = places(points).withColumn("_mark", F.lit(None).cast("double")).unionByName(
         places(cells).withColumn("_mark", F.col("_at"))
     )
-    seen = sg.bracket(line, ["_axis"], "_at", F.col("_mark"), F.floor(F.col("_at") / width))
+    seen = sg.bracket(line, ["_axis"], "_at", "_mark", F.floor(F.col("_at") / width))
     back, ahead = F.col("_at") - F.col("_prev"), F.col("_next") - F.col("_at")
     near = F.when(F.col("_next").isNull() | (back <= ahead), F.col("_prev")).otherwise(F.col("_next"))
     found = settle(seen.filter(F.col("_mark").isNull()).select("_axis", "_at", near.alias("_near")))

@@ -143,18 +143,17 @@ def partition_flux(
     rref = settle(reference_respiration(attach(night, e0, keys, "inner"), keys, ts, nee, tair))
     # Windows and rows on one time line; rows take the line between windows.
     marks = rref.select(
-        *keys, tp.ts_from_seconds(F.floor(F.col("_centre"))).alias(ts),
-        F.struct(F.col("_centre").alias("t"), F.col("rref").alias("v")).alias("_mark"),
+        *keys, tp.ts_from_seconds(F.floor(F.col("_centre"))).alias(ts), F.col("rref").alias("_mark")
     )
     line = df.withColumn("_row", F.lit(True)).unionByName(marks, allowMissingColumns=True)
-    seen = sg.bracket(line, keys, ts, F.col("_mark"), sg.segment_of(ts)).filter("_row")
-    t0, v0, t1, v1 = F.col("_prev.t"), F.col("_prev.v"), F.col("_next.t"), F.col("_next.v")
-    at = tp.epoch_seconds(ts)
-    between = v0 + (v1 - v0) * (at - t0) / (t1 - t0)
-    local = F.when(t1 > t0, between).otherwise(F.coalesce(v0, v1))
+    seen = sg.bracket(line, keys, ts, "_mark", sg.segment_of(ts)).filter("_row")
+    since, gap = tp.seconds_between("_prev_at", ts), tp.seconds_between("_prev_at", "_next_at")
+    between = F.col("_prev") + (F.col("_next") - F.col("_prev")) * since / gap
+    # Before the first and after the last window its value is kept.
+    local = F.coalesce(between, F.col("_prev"), F.col("_next"))
     return (
         attach(seen.withColumn("_rref", local), e0, keys)
         .withColumn("Reco", F.col("_rref") * F.exp(F.col("e0") * temperature_term(tair)))
         .withColumn("GPP", F.col("Reco") - F.col(nee_filled))
-        .drop("_prev", "_next", "_rref", "e0", "_row", "_mark")
+        .drop("_prev_at", "_prev", "_next_at", "_next", "_rref", "e0", "_row", "_mark")
     )

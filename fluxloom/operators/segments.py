@@ -30,12 +30,13 @@ def segment_of(ts, seconds: int = SEGMENT_SECONDS) -> Column:
 
 
 def with_segment(df: DataFrame, keys: list[str], ts: str, seconds: int = SEGMENT_SECONDS) -> DataFrame:
-    """Add the segment and place rows by (keys, segment).
+    """Add the segment each row belongs to.
 
-    The explicit placement is shared by the window inside segments and by the
-    per-segment summary, so the table is shuffled once for both.
+    No placement is forced: the window inside segments asks for (keys,
+    segment) itself, and the carry is reduced by partial aggregation before
+    anything moves.
     """
-    return df.withColumn(SEGMENT, segment_of(ts, seconds)).repartition(*keys, SEGMENT)
+    return df.withColumn(SEGMENT, segment_of(ts, seconds))
 
 
 def inside(keys: list[str], order: list[str]):
@@ -51,8 +52,8 @@ def across(keys: list[str]):
 def attach_carry(df: DataFrame, carry: DataFrame, keys: list[str]) -> DataFrame:
     """Bring per-segment values to the rows of their segment.
 
-    ``df`` already lies by (keys, segment), so only the carry moves. Series
-    keys must be known (not NULL), as for any identified series.
+    The rows already lie by (keys, segment) after the window, so only the carry
+    moves. Series keys must be known (not NULL), as for any identified series.
     """
     return df.join(carry, [*keys, SEGMENT], "left")
 
@@ -116,40 +117,52 @@ def keep_core(df: DataFrame) -> DataFrame:
     return df.filter("_core").drop("_core", BLOCK, POSITION)
 
 
-def bracket(
-    df: DataFrame, keys: list[str], order: str, payload: Column, segment: Column
-) -> DataFrame:
-    """Nearest payload at or before (``_prev``) and at or after (``_next``) each row.
+def bracket(df: DataFrame, keys: list[str], order: str, value: str, segment: Column) -> DataFrame:
+    """Known neighbours of each row: ``_prev_at``, ``_prev``, ``_next_at``, ``_next``.
 
-    ``payload`` is NULL on rows that offer none. ``segment`` must not decrease
-    along ``order``. Looking ahead is done by a second, descending order: a
-    frame open at its far end would be evaluated anew for every row.
+    The nearest rows before and after that have a value, with their place in
+    the order. Rows with a value come first among equals, so a row without one
+    has an equal's value as its ``_prev``. ``segment`` must not decrease along
+    ``order``. Both directions come from one sort: lag and lead that skip NULL
+    move along with the row.
     """
-    cut = (
-        df.withColumn("_payload", payload)
-        .withColumn(SEGMENT, segment)
-        .repartition(*keys, SEGMENT)
-    )
-    offered = F.when(
-        F.col("_payload").isNotNull(), F.struct(F.col(order).alias("o"), F.col("_payload").alias("p"))
+    known = F.when(F.col(value).isNotNull(), F.col(order))
+    cut = df.withColumns({"_known_at": known, "_none": F.col(value).isNull(), SEGMENT: segment})
+    ends = cut.groupBy(*keys, SEGMENT).agg(
+        F.min("_known_at").alias("_a0"),
+        F.min_by(value, "_known_at").alias("_v0"),
+        F.max("_known_at").alias("_a1"),
+        F.max_by(value, "_known_at").alias("_v1"),
     )
-    ends = cut.groupBy(*keys, SEGMENT).agg(F.min(offered).alias("_first"), F.max(offered).alias("_last"))
     up = Window.partitionBy(*keys).orderBy(SEGMENT).rowsBetween(Window.unboundedPreceding, -1)
     down = Window.partitionBy(*keys).orderBy(F.desc(SEGMENT)).rowsBetween(Window.unboundedPreceding, -1)
     carry = ends.select(
         *keys,
         SEGMENT,
-        F.last("_last.p", ignorenulls=True).over(up).alias("_from_left"),
-        F.last("_first.p", ignorenulls=True).over(down).alias("_from_right"),
+        F.last("_a1", ignorenulls=True).over(up).alias("_left_at"),
+        F.last("_v1", ignorenulls=True).over(up).alias("_left"),
+        F.last("_a0", ignorenulls=True).over(down).alias("_right_at"),
+        F.last("_v0", ignorenulls=True).over(down).alias("_right"),
     )
-    back = Window.partitionBy(*keys, SEGMENT).orderBy(F.asc(order))
-    ahead = Window.partitionBy(*keys, SEGMENT).orderBy(F.desc(order))
-    seen = cut.withColumn("_next", F.last("_payload", ignorenulls=True).over(ahead)).withColumn(
-        "_prev", F.last("_payload", ignorenulls=True).over(back)
+    place = ", ".join(f"`{k}`" for k in [*keys, SEGMENT])
+    window = f"OVER (PARTITION BY {place} ORDER BY `{order}`, `_none`)"
+
+    def near(direction: str, col: str, beyond: str) -> Column:
+        return F.coalesce(F.col(f"_{direction}_{col}"), F.col(beyond))
+
+    seen = cut.select(
+        "*",
+        *[
+            F.expr(f"{fn}(`{col}`) IGNORE NULLS {window}").alias(f"_{fn}_{out}")
+            for fn in ("lag", "lead")
+            for col, out in (("_known_at", "at"), (value, "v"))
+        ],
     )
-    return (
-        attach_carry(seen, carry, keys)
-        .withColumn("_prev", F.coalesce("_prev", "_from_left"))
-        .withColumn("_next", F.coalesce("_next", "_from_right"))
-        .drop("_from_left", "_from_right", "_payload", SEGMENT)
+    joined = attach_carry(seen, carry, keys)
+    return joined.select(
+        *df.columns,
+        near("lag", "at", "_left_at").alias("_prev_at"),
+        near("lag", "v", "_left").alias("_prev"),
+        near("lead", "at", "_right_at").alias("_next_at"),
+        near("lead", "v", "_right").alias("_next"),
     )
