@@ -27,6 +27,7 @@ REGIMES = [
     ("SB", 0, 2.0),
 ]
 FREEZING_K = 273.15
+# Months of blowing snow and the share of the gauge kept in them.
 GAUGE_MONTHS = (10, 11, 12, 1, 2, 3, 4, 5)
 GAUGE_FACTOR = 0.39
 
@@ -60,21 +61,25 @@ def disaggregate(
 
     Note 0: nothing fell. Note 1: the weights are all zero, the total is
     spread evenly over the steps the day really has. Note 2: proportional.
-    Days are matched by date, never by position. The weights of a day are
-    summed by an aggregate on the small daily side, which then meets the fine
-    rows once.
+    Days are matched by date, never by position. ``fine`` holds one row per
+    step, so a day is a small group (48 half hours); its weights are summed
+    where the join has already put the day, without reading ``fine`` again.
     """
     by = [*keys, date]
-    sums = fine.groupBy(*by).agg(F.sum(weight).alias("_w"), F.count(F.lit(1)).alias("_n"))
-    days = daily.select(*by, total).join(sums, by)
-    t, w = F.col(total), F.col("_w")
-    share = (
+    joined = fine.join(daily.select(*by, total), by, "left")
+    day = Window.partitionBy(*by)
+    t, w, n = F.col(total), F.coalesce(F.sum(weight).over(day), F.lit(0.0)), F.count(F.lit(1)).over(day)
+    amount = (
         F.when(t == 0, F.lit(0.0))
-        .when(F.coalesce(w, F.lit(0.0)) == 0, t / F.col("_n"))
-        .otherwise(t * F.coalesce(F.col(weight), F.lit(0.0)) / w)
+        .when(F.col("_w") == 0, t / F.col("_n"))
+        .otherwise(t * F.coalesce(F.col(weight), F.lit(0.0)) / F.col("_w"))
+    )
+    note = F.when(t == 0, 0).when(F.col("_w") == 0, 1).when(t.isNotNull(), 2)
+    return (
+        joined.withColumns({"_w": w, "_n": n})
+        .withColumns({out: amount, "note": F.when(t.isNotNull(), note)})
+        .drop("_w", "_n")
     )
-    note = F.when(t == 0, 0).when(F.coalesce(w, F.lit(0.0)) == 0, 1).when(t.isNotNull(), 2)
-    return fine.join(days, by, "left").withColumn(out, share).withColumn("note", note).drop("_w", "_n")
 
 
 def apply_regimes(

@@ -56,16 +56,17 @@ def make_grid(bounds: DataFrame, keys: list[str], ts: str, step: int = HALF_HOUR
     """One row per step between ``start`` and ``end``.
 
     With end labels the first midnight is left out, with start labels the last
-    one. Days are generated first and steps within days second, so that no
-    row ever holds the grid of a whole series.
+    one. Days are generated first, dealt out over the tasks, and expanded to
+    steps second: the few rows of bounds would otherwise make the grid of all
+    series in one task.
     """
-    # First day opened and last day opened by a step of the grid.
     days = F.sequence(F.to_date("start"), F.date_sub(F.to_date("end"), 1))
     per_day = tp.DAY_SECONDS // step
     offset = 1 if label == "end" else 0
     by_day = bounds.filter(F.col("start") < F.col("end")).select(*keys, F.explode(days).alias("_day"))
+    tasks = int(bounds.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     slots = F.sequence(F.lit(offset), F.lit(per_day - 1 + offset))
-    return by_day.select(*keys, "_day", F.explode(slots).alias("_slot")).select(
+    return by_day.repartition(tasks, *keys, "_day").select(*keys, "_day", F.explode(slots).alias("_slot")).select(
         *keys, tp.plus_seconds(F.col("_day").cast("timestamp_ntz"), F.col("_slot") * step).alias(ts)
     )
 

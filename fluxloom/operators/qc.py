@@ -81,8 +81,11 @@ def range_filter(df: DataFrame, rules: DataFrame, ts: str = "ts", value: str = "
     return joined.withColumn(value, F.when(~bad, F.col(value))).select(*df.columns)
 
 
-def range_filter_wide(df: DataFrame, rules: Sequence[tuple], ts: str = "ts") -> DataFrame:
-    """The same on wide columns: rules are (variable, start, end, lower, upper)."""
+def range_filter_wide(df: DataFrame, rules: Sequence[tuple], ts: str = "ts", only: Column | None = None) -> DataFrame:
+    """The same on wide columns: rules are (variable, start, end, lower, upper).
+
+    ``only`` limits them to some rows, such as those of one tower.
+    """
     day = F.to_date(ts)
     new: dict[str, Column] = {}
     for variable, start, end, lower, upper in rules:
@@ -92,6 +95,8 @@ def range_filter_wide(df: DataFrame, rules: Sequence[tuple], ts: str = "ts") ->
         if lower is not None:
             beyond = beyond | (F.col(variable) < F.lit(float(lower)))
         inside = (day > F.lit(start).cast("date")) & (day < F.lit(end).cast("date"))
+        if only is not None:
+            inside = inside & only
         hit = F.coalesce(inside & beyond, F.lit(False))
         new[variable] = F.when(~hit, new.get(variable, F.col(variable)))
     return _replace(df, new)

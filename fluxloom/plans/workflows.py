@@ -22,9 +22,9 @@ from fluxloom.operators import reshape as rs
 from fluxloom.operators import summarize as sm
 from fluxloom.session import settle
 
-#: Variables a two-tower record carries, in the order they are filled.
+# Variables a two-tower record carries, in the order they are filled.
 TOWER_VARIABLES = ("NEE", "LE", "H", "Ustar", "Tair", "VPD", "rH", "U", "P", "Rg", "PRECTmms", "FLDS", "radNet", "Tsoil")
-#: Variables also modelled where observed, to know their uncertainty.
+# Variables also modelled where observed, to know their uncertainty.
 UNCERTAIN = ("NEE", "LE", "H", "Ustar")
 
 
@@ -44,12 +44,9 @@ def clean_towers(
     """
     raw = qc.null_sentinels(towers, cols=variables)
     grid = gr.complete_grid(raw, ["site"], "ts")
-    parts = []
-    listed = list(rules)
-    for site in listed:
-        parts.append(qc.range_filter_wide(grid.filter(F.col("site") == site), rules[site]))
-    parts.append(qc.not_in_categories(grid, "site", listed) if listed else grid)
-    clean = rs.stack_rows(*parts)
+    clean = grid
+    for site, listed in rules.items():
+        clean = qc.range_filter_wide(clean, listed, only=F.col("site") == site)
     hours = station.select(F.lit("station").alias("_s"), "ts", F.col(station_value).alias("_v"))
     steps = grid.select("ts").distinct().select(F.lit("station").alias("_s"), "ts")
     line = fl.interpolate_linear(steps.join(hours, ["_s", "ts"], "left"), ["_s"], "ts", "_v")
