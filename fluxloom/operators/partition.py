@@ -138,7 +138,8 @@ def partition_flux(
     """
     keys = list(keys)
     dark = (F.col(rg) < rg_night) & (sun_elevation_sine(ts, lat, lon, zone_hours) < 0)
-    night = df.filter(dark & F.col(nee).isNotNull() & F.col(tair).isNotNull()).select(*keys, ts, nee, tair)
+    # Read twice below: written once, four narrow columns of the dark rows.
+    night = settle(df.filter(dark & F.col(nee).isNotNull() & F.col(tair).isNotNull()).select(*keys, ts, nee, tair))
     e0 = settle(series_sensitivity(sensitivity_windows(night, keys, ts, nee, tair), keys))
     rref = settle(reference_respiration(attach(night, e0, keys, "inner"), keys, ts, nee, tair))
     # Windows and rows on one time line; rows take the line between windows.

@@ -43,8 +43,6 @@ def shared_dir(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         named = os.environ.get("FLUXLOOM_SHARED_DIR") or tempfile.mkdtemp(prefix="fluxloom-")
         os.environ["FLUXLOOM_SHARED_DIR"] = named
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(named)
     return named
 
 
