@@ -130,17 +130,21 @@ def reference_respiration(
 def partition_flux(
     df: DataFrame, keys: Sequence[str], ts: str, lat: float, lon: float, zone_hours: float,
     nee: str = "NEE", nee_filled: str = "NEE_f", tair: str = "Tair_f", rg: str = "Rg", rg_night: float = 10.0,
+    sensitivity: DataFrame | None = None,
 ) -> DataFrame:
     """Add respiration ``Reco`` and uptake ``GPP`` = Reco - NEE.
 
     Place and clock (degrees, hours from UTC) tell night from day together
-    with the measured radiation.
+    with the measured radiation. ``sensitivity`` gives a known E0 per series
+    instead of fitting one.
     """
     keys = list(keys)
     dark = (F.col(rg) < rg_night) & (sun_elevation_sine(ts, lat, lon, zone_hours) < 0)
     # Read twice below: written once, four narrow columns of the dark rows.
     night = settle(df.filter(dark & F.col(nee).isNotNull() & F.col(tair).isNotNull()).select(*keys, ts, nee, tair))
-    e0 = settle(series_sensitivity(sensitivity_windows(night, keys, ts, nee, tair), keys))
+    e0 = sensitivity
+    if e0 is None:
+        e0 = settle(series_sensitivity(sensitivity_windows(night, keys, ts, nee, tair), keys))
     rref = settle(reference_respiration(attach(night, e0, keys, "inner"), keys, ts, nee, tair))
     # Windows and rows on one time line; rows take the line between windows.
     marks = rref.select(

@@ -139,6 +139,15 @@ def mds_sql(base: str, also: str = "NULL") -> str:
     )
 
 
+def sun_sql(lat: str = "40.0e0", lon: str = "-105.5e0", zone: str = "-7e0") -> str:
+    """Sine of the sun's height."""
+    a = "(2*pi()*(dayofyear(ts)-1)/365e0)"
+    decl = "(radians(23.45e0)*sin(2*pi()*(284+dayofyear(ts))/365e0))"
+    eot = f"(229.18e0*(0.000075e0+0.001868e0*cos({a})-0.032077e0*sin({a})-0.014615e0*cos(2*{a})-0.040849e0*sin(2*{a})))"
+    angle = f"radians((hour(ts)+minute(ts)/60e0+(4e0*({lon}-15e0*({zone}))+{eot})/60e0-12e0)*15e0)"
+    return f"(sin(radians({lat}))*sin({decl})+cos(radians({lat}))*cos({decl})*cos({angle}))"
+
+
 _KIND_COLS = ", ".join(f"avg(value) FILTER (WHERE event_type='{k}') AS {k}" for k in KINDS)
 
 #: Name: (expressions it needs, SQL).
@@ -192,6 +201,21 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         f"SELECT CAST(ts AS DATE) AS date, {bin_sql('start')} AS ts, coalesce(CASE WHEN count(*) FILTER (WHERE value<=1)=0 "
         "THEN sum(value) END, 0) AS w FROM events WHERE event_type<>'purchase' GROUP BY ALL",
     ),
+    "exchange": (
+        ("tgrid",),
+        "SELECT *, CASE WHEN nee IS NOT NULL THEN nee ELSE v0+(v1-v0)*(epoch(ts)-epoch(t0))/(epoch(t1)-epoch(t0)) END AS nee_f FROM (SELECT *, "
+        "last_value(nee IGNORE NULLS) OVER b AS v0, last_value(CASE WHEN nee IS NOT NULL THEN ts END IGNORE NULLS) OVER b AS t0, "
+        "first_value(nee IGNORE NULLS) OVER f AS v1, first_value(CASE WHEN nee IS NOT NULL THEN ts END IGNORE NULLS) OVER f AS t1 FROM "
+        "(SELECT site, ts, \"view\"*2-80 AS rg, coalesce(click/10e0,5e0) AS ta, 2e0*exp(200e0*(1e0/61.02e0-1e0/(click/10e0+46.02e0)))*(1+(purchase-50)/500e0) AS nee FROM tgrid) "
+        "WINDOW b AS (PARTITION BY site ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), "
+        "f AS (PARTITION BY site ORDER BY ts ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))",
+    ),
+    "rrefs": (
+        ("exchange",),
+        "SELECT site, make_timestamp(CAST(floor(avg(CAST(epoch(ts) AS BIGINT))) AS BIGINT)*1000000) AS ts, sum(s*nee)/sum(s*s) AS rref FROM "
+        f"(SELECT site, ts, nee, exp(200e0*(1e0/61.02e0-1e0/(ta+46.02e0))) AS s, CAST(epoch(ts) AS BIGINT)//86400 AS d FROM exchange WHERE rg<10 AND {sun_sql()}<0 AND nee IS NOT NULL) x "
+        "JOIN (SELECT unnest(generate_series(4900,5000)) AS k) w ON x.d BETWEEN 4*k-4 AND 4*k+4 GROUP BY site, k HAVING count(*)>=2 AND sum(s*nee)>0",
+    ),
     "flowwide": (
         ("tgrid", "grid"),
         "SELECT *, 6.1078e0*exp(17.08085e0*tair/(234.175e0+tair))*(1-rh/100e0) AS vpd FROM (SELECT b.ts, "

@@ -14,7 +14,7 @@ from fluxloom.operators import reshape as rs
 from fluxloom.operators import summarize as sm
 from fluxloom.operators import windows as wn
 from fluxloom.operators.attach import from_rows
-from fluxloom.plans.inputs import KINDS, mds_sql, noleap_sql, season_sql
+from fluxloom.plans.inputs import KINDS, mds_sql, noleap_sql, season_sql, sun_sql
 from fluxloom.plans.registry import query
 from fluxloom.sources.sinks import forcing_table
 
@@ -407,25 +407,38 @@ def _(t):
     return mds.mds_fill(_weather(t).withColumn("T", F.col("Tair")), ["site"], "ts", ["T"])
 
 
-@query("gf7_partition_flux", "site:s ts:t Reco:6 GPP:6 nee:6", None)
-def _(t):
-    # Respiration of known sensitivity, disturbed by another sensor.
+def _exchange(t):
+    """Respiration of known sensitivity, disturbed by another sensor."""
     term = partition.temperature_term(F.col("click") / 10)
     df = t.tower_grid().select(
         "site", "ts", (F.col("view") * 2 - 80).alias("Rg"), F.coalesce(F.col("click") / 10, F.lit(5.0)).alias("Tair_f"),
         (2.0 * F.exp(200.0 * term) * (1 + (F.col("purchase") - 50) / 500)).alias("NEE"),
     )
-    filled = fl.interpolate_linear(df, ["site"], "ts", "NEE", "NEE_f")
-    return partition.partition_flux(filled, ["site"], "ts", 40.0, -105.5, -7.0).withColumn("nee", F.col("NEE_f"))
+    return fl.interpolate_linear(df, ["site"], "ts", "NEE", "NEE_f")
+
+
+@query("gf7_partition_flux", "site:s ts:t Reco:6 GPP:6 nee:6", None)
+def _(t):
+    return partition.partition_flux(_exchange(t), ["site"], "ts", 40.0, -105.5, -7.0).withColumn("nee", F.col("NEE_f"))
+
+
+@query(
+    "gf7_partition_known_sensitivity",
+    "site:s ts:t Reco:6 GPP:6",
+    "SELECT site, ts, reco AS \"Reco\", reco-nee_f AS \"GPP\" FROM (SELECT r.site, r.ts, r.nee_f, exp(200e0*(1e0/61.02e0-1e0/(r.ta+46.02e0)))*"
+    "CASE WHEN a.ts IS NULL THEN b.rref WHEN b.ts IS NULL THEN a.rref ELSE a.rref+(b.rref-a.rref)*(epoch(r.ts)-epoch(a.ts))/(epoch(b.ts)-epoch(a.ts)) END AS reco "
+    "FROM exchange r ASOF LEFT JOIN rrefs a ON r.site=a.site AND r.ts>=a.ts ASOF LEFT JOIN rrefs b ON r.site=b.site AND r.ts<b.ts)",
+    "rrefs",
+)
+def _(t):
+    e0 = from_rows(t.spark, [("East", 200.0), ("West", 200.0)], "site string, e0 double")
+    return partition.partition_flux(_exchange(t), ["site"], "ts", 40.0, -105.5, -7.0, sensitivity=e0)
 
 
 @query(
     "gf7_night_rows",
     "site:s ts:t light:b sine:6",
-    "SELECT site, ts, sine >= 0 AS light, sine FROM (SELECT site, ts, sin(radians(40.0e0))*sin(decl)+cos(radians(40.0e0))*cos(decl)*"
-    "cos(radians((hour(ts)+minute(ts)/60e0+(4e0*(-105.5e0+105e0)+eot)/60e0-12e0)*15e0)) AS sine FROM (SELECT *, "
-    "radians(23.45e0)*sin(2*pi()*(284+dayofyear(ts))/365e0) AS decl, 229.18e0*(0.000075e0+0.001868e0*cos(a)-0.032077e0*sin(a)-0.014615e0*cos(2*a)-0.040849e0*sin(2*a)) AS eot "
-    "FROM (SELECT site, ts, 2*pi()*(dayofyear(ts)-1)/365e0 AS a FROM tgrid)))",
+    f"SELECT site, ts, sine >= 0 AS light, sine FROM (SELECT site, ts, {sun_sql()} AS sine FROM tgrid)",
     "tgrid",
 )
 def _(t):

@@ -15,7 +15,7 @@ from fluxloom.plans.inputs import Tables
 
 QUERIES = entry.queries()
 #: Queries that run jobs while being built are planned in the oracle test already.
-STAGED = {"gf6_mds_fill", "gf6_mds_own_driver", "gf7_partition_flux", "forcing_preparation"}
+STAGED = {"gf6_mds_fill", "gf6_mds_own_driver", "gf7_partition_flux", "gf7_partition_known_sensitivity", "forcing_preparation"}
 
 
 def plan_of(df) -> str:
