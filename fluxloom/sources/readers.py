@@ -30,15 +30,15 @@ def _typed(c: str, kind: str) -> Column:
     return text.try_cast(kind)
 
 
-def _opening(spark: SparkSession, paths: list[str], n: int, skip: str | None = None) -> list[str]:
-    """The first ``n`` lines of some file, comment lines left out.
+def _opening(spark: SparkSession, paths: list[str], n: int, keep: Column | None = None) -> list[str]:
+    """The first ``n`` lines of some file, of those to ``keep``.
 
     Only blocks at the start of a file are looked at: a large file is read in
     several pieces and most of them do not begin with its head.
     """
     lines = spark.read.text(paths).filter("_metadata.file_block_start = 0")
-    if skip:
-        lines = lines.filter(~F.col("value").startswith(skip))
+    if keep is not None:
+        lines = lines.filter(keep)
     return [r.value for r in lines.select("value").limit(n).collect()]
 
 
@@ -75,20 +75,31 @@ def read_whitespace_table(spark: SparkSession, path, names: Sequence[str], types
 
 
 def read_preamble_csv(
-    spark: SparkSession, path, types: Mapping[str, str], null: str = "-9999", comment: str = "#"
+    spark: SparkSession,
+    path,
+    types: Mapping[str, str],
+    null: str = "-9999",
+    comment: str = "#",
+    header_starts: str | None = None,
+    data_pattern: str = r"^\s*[-+]?\d",
 ) -> DataFrame:
-    """CSV after some comment lines and one header line, a sentinel as NULL.
+    """CSV after some free lines and one header line, a sentinel as NULL.
 
-    A preamble line starts with the comment sign. The order of columns is the
-    files', taken from a first line that is no comment; all files share it.
+    Preamble lines start with the comment sign. Where they do not,
+    ``header_starts`` tells the header line by its beginning, and data rows
+    are those whose first field fits ``data_pattern``. The order of columns is
+    the files'; all files share it.
     """
     paths = _paths(path)
-    (header,) = _opening(spark, paths, 1, skip=comment)
+    line = F.col("value")
+    keep = line.startswith(header_starts) if header_starts else ~line.startswith(comment)
+    (header,) = _opening(spark, paths, 1, keep)
     names = [t.strip().strip('"') for t in header.split(",")]
     raw = spark.read.csv(
         paths, schema=_strings(names), header=False, comment=comment, nullValue=null, ignoreLeadingWhiteSpace=True
     )
-    data = raw.filter(~F.col(names[0]).eqNullSafe(F.lit(names[0])))
+    first = F.col(names[0])
+    data = raw.filter(first.rlike(data_pattern) if header_starts else ~first.eqNullSafe(F.lit(names[0])))
     out = data.select(*[_typed(n, types.get(n, "double")).alias(n) for n in names])
     return null_sentinels(out, float(null))
 

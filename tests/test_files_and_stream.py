@@ -49,6 +49,12 @@ def test_preamble_file(spark, tmp_path):
     assert [tuple(r) for r in df.orderBy("TIMESTAMP_START").collect()] == [("202401010000", None), ("202401010030", 5.0)]
 
 
+def test_preamble_without_comment_signs(spark, tmp_path):
+    p = put(tmp_path / "r.csv", "Site X, somewhere\nversion two\nSTAMP,SW\n202401010000,-9999\n202401010030,5\n")
+    df = rd.read_preamble_csv(spark, p, {"STAMP": "string"}, header_starts="STAMP")
+    assert [tuple(r) for r in df.orderBy("STAMP").collect()] == [("202401010000", None), ("202401010030", 5.0)]
+
+
 def test_typed_csv_tokens(spark, tmp_path):
     p = put(tmp_path / "c.csv", 'node,date,t,flag\n"6","2020-07-01 00:10:00",NaN,\n"7","2020-07-01 00:20:00",1.5,"m"\n')
     df = rd.read_typed_csv(spark, p, {"node": "text", "date": "dateTime", "t": "numeric", "flag": "enumerated"})

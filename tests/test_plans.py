@@ -71,3 +71,31 @@ def test_group_statistics_do_not_shuffle_the_rows(spark, sf_dir):
     df = wn.with_group_stats(t.obs().withColumn("h", F.hour("ts")), ["h"], ["v"])
     plan = plan_of(df)
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan and "Window" not in plan
+
+
+@pytest.mark.parametrize("work", ["cumulative", "interpolate", "rolling", "gaps", "position"])
+def test_one_series_is_worked_on_by_many_tasks(spark, series, work):
+    """All rows belong to one key; every operator still spreads them."""
+    from fluxloom.operators import fill as fl
+    from fluxloom.operators import grid as gr
+
+    df = series([float(i) if i % 3 else None for i in range(3000)])
+    day = 86_400
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = {
+            "cumulative": lambda: wn.cumulative(df, ["k"], "ts", "v", seconds=day),
+            "interpolate": lambda: fl.interpolate_linear(df, ["k"], "ts", "v", seconds=day),
+            "rolling": lambda: sg.keep_core(
+                sg.with_halo(sg.with_position(df, ["k"], "ts", 1800), 5, 4, block=64).withColumn(
+                    "v", F.avg("v").over(sg.in_block(["k"]).rowsBetween(-5, 4))
+                )
+            ),
+            "gaps": lambda: gr.gap_runs(df, ["k"], "ts", ["v"], seconds=day),
+            "position": lambda: sg.global_position(df, ["k"], "ts", seconds=day),
+        }[work]()
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+    assert len(sizes) >= 5 and max(sizes) < 0.5 * sum(sizes)
