@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,17 +31,17 @@ def build_session(master: str | None = None, app: str = "fluxloom", **conf: str)
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Where it is unset a local session gets a folder of its own; on a cluster
-    that would lose data with the machine, so there it is an error.
+    Where it is unset a local session works below its warehouse; on a cluster
+    that is an error, and so is a folder that exists on one machine only: a
+    path without a scheme goes to the default file system, which must then be
+    a shared one.
     """
-    context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        named = os.environ.get("FLUXLOOM_SHARED_DIR") or tempfile.mkdtemp(prefix="fluxloom-")
-        os.environ["FLUXLOOM_SHARED_DIR"] = named
-    return named
+    if named:
+        return named
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+    return f"{spark.conf.get('spark.sql.warehouse.dir')}/stages"
 
 
 def settle(df: DataFrame) -> DataFrame:
@@ -57,3 +55,14 @@ def settle(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(df.sparkSession)}/fluxloom/settled-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete the folders of settled tables that nothing reads any more."""
+    for df in tables:
+        hadoop = df.sparkSession._jvm.org.apache.hadoop.fs.Path
+        conf = df.sparkSession._jsc.hadoopConfiguration()
+        for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+            if "/fluxloom/settled-" in folder:
+                path = hadoop(folder)
+                path.getFileSystem(conf).delete(path, True)
