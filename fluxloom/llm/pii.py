@@ -27,7 +27,7 @@ RUN = re.compile(r"[0-9]+")
 CHAIN = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 ADDRESS = re.compile(r"(?:[^\s/@<>\"'|]+@)?[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*(?::[0-9]+)?(?:[/?#][^\s<>\"'|]*)?")
-VALUE = re.compile(r"(?:\s+(?:number|no\.?|id))?\s*[:=#]?\s*[\"']?([A-Za-z0-9](?:[A-Za-z0-9_-]|\x20(?=[A-Z0-9]{4}\b)){5,126})")
+VALUE = re.compile(r"(?:\s+(?:number|no\.?|id))?\s*[:=#]?\s*[\"']?([A-Za-z0-9](?:[A-Za-z0-9_-]|\x20(?=[A-Z0-9]{1,4}\b)){5,126})")
 NOT_DIGIT = re.compile(r"[^0-9]+")
 SPOT = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
@@ -112,8 +112,10 @@ def scan(text: str, automaton: ahocorasick.Automaton) -> list[tuple[int, int, in
                 spans[4].append((at, url))
         elif at >= owner and not (at and text[at - 1].isalnum()) and (m := VALUE.match(text, last + 1)):
             value = m[1].rstrip(" -_")
-            # A value may be followed by words: then its first part alone counts.
-            for candidate in (value, value.partition(" ")[0]):
+            # A value may be followed by other words: then its first groups alone count.
+            groups = value.split(" ")
+            for k in range(len(groups), 0, -1):
+                candidate = " ".join(groups[:k])
                 if account(candidate):
                     owner = m.start(1) + len(candidate)
                     spans[5].append((m.start(1), owner))
