@@ -4,15 +4,16 @@ A string of ``LENGTH`` bytes is told by its *anchor*, the smallest hash among
 its k-grams. All starts in a row with one anchor are a *segment*; strings
 that are equal lie in segments with the same anchor. So a first pass sends
 small digests of segments only. Where all segments of an anchor are equal,
-that settles their strings; where they differ (around the edges of what
-texts share), the segments' bytes go on, and the suffixes at their starts
-are sorted: by multikey quicksort to a shallow depth, and by blind tries
-where long common prefixes remain.
+that settles their strings. Where they differ (around the edges of what
+texts share), the first document with each of them sends its bytes, and the
+suffixes at their starts are sorted: by multikey quicksort to a shallow
+depth, and by blind tries where long common prefixes remain.
 """
 
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,17 +23,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fluxloom.llm.common import spread
-from fluxloom.session import release, settle
+from fluxloom.session import shared_dir
 
 #: Bytes of the strings that count, and of the k-grams among which anchors are chosen.
 LENGTH, GRAM = 50, 24
-WINDOW = LENGTH - GRAM + 1
+WINDOW, HALF = LENGTH - GRAM + 1, (LENGTH - GRAM) // 2
 #: Bytes of text worked on at a time; a longer text is cut into such blocks, which changes no result.
-BLOCK = 1 << 20
+BLOCK = 1 << 19
 #: Bytes of text whose digests one group takes in.
-PER_GROUP = 16 << 20
+PER_GROUP = 8 << 20
 #: Depth of the multikey sort, a multiple of 8.
 SHALLOW = 16
+#: Different segments of one anchor beyond which their strings are dealt out one by one.
+CROWD = 1_000
+REMOVED, DIFFERS, MANY = range(3)
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -61,7 +65,7 @@ class Segments:
             return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64, np.uint64))
         sums = np.zeros(n + 1, np.uint64)
         np.cumsum(self.value[data] * self.power[:n], out=sums[1:])
-        small = mixed((sums[GRAM:] - sums[:-GRAM]) * self.inverse[: n - GRAM + 1])
+        grams = small = mixed((sums[GRAM:] - sums[:-GRAM]) * self.inverse[: n - GRAM + 1])
         width = 1
         while 2 * width <= WINDOW:
             small = np.minimum(small[:-width], small[width:])
@@ -78,8 +82,31 @@ class Segments:
         closes[:-1] &= change | ~valid[1:]
         start, last = np.flatnonzero(opens), np.flatnonzero(closes)
         digest = mixed((sums[last + LENGTH] - sums[start]) * self.inverse[start] + (last - start).astype(np.uint64) * np.uint64(_BASE))
+        sides = self.sides(sums, grams, small[start], start, last)
         row = np.searchsorted(offsets, start, "right") - 1
-        return row, start, last - start + 1, mixed(small[start] + np.uint64(1)) >> np.uint64(16), digest
+        return row, start, last - start + 1, mixed(small[start] + np.uint64(1)) >> np.uint64(16), digest & ~np.uint64(0xFFFF) | sides
+
+    def sides(self, sums: np.ndarray, grams: np.ndarray, value: np.ndarray, start: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """Two bytes for each segment: of the anchor with ``HALF`` bytes before it, and with as many behind it.
+
+        A string holds the anchor and ``2 * HALF`` bytes around it, so at
+        least ``HALF`` on one side: segments that share a string agree in one
+        of these bytes, unless it is 0 because the segment is too short there.
+        Both are 0 where the anchor's hash occurs more than once.
+        """
+        step = np.arange(WINDOW)
+        early, late = (grams[at[:, None] + step] == value[:, None] for at in (start, last))
+        place = start + early.argmax(1)
+        once = (early.sum(1) == 1) & (late.sum(1) == 1) & (place == last + late.argmax(1))
+
+        def byte(a: np.ndarray, b: np.ndarray, fits: np.ndarray) -> np.ndarray:
+            a, b = np.where(fits, a, 0), np.where(fits, b, 0)
+            code = mixed((sums[b] - sums[a]) * self.inverse[a]) >> np.uint64(32)
+            return np.where(fits, code % np.uint64(255) + np.uint64(1), np.uint64(0))
+
+        before = byte(place - HALF, place + GRAM, once & (place - start >= HALF))
+        behind = byte(place, place + GRAM + HALF, once & (last + LENGTH - place - GRAM >= HALF))
+        return before << np.uint64(8) | behind
 
 
 def blocks(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -146,7 +173,7 @@ def digests(batches: Iterator[pa.RecordBatch], groups: int) -> Iterator[pa.Recor
             if len(row):
                 held.append((ids[a + row], anchor, digest))
                 rows += len(row)
-            if rows > 1_000_000:
+            if rows > 500_000:
                 yield from flush()
                 rows = 0
     if held:
@@ -154,11 +181,12 @@ def digests(batches: Iterator[pa.RecordBatch], groups: int) -> Iterator[pa.Recor
 
 
 def compare(table: pa.Table) -> pa.Table:
-    """What documents must know of one range of anchors: ``doc_id, code``.
+    """What documents must know of one range of anchors: ``doc_id, code``, the code being four times the anchor plus a kind.
 
-    The code is twice the anchor, plus 1 where its segments differ. Where they
-    are all equal, only documents after the first get it: all the segment's
-    strings start in a smaller one.
+    Of equal segments all documents but the first get ``REMOVED``: every
+    string in it starts in a smaller one. The first of them gets ``DIFFERS``
+    if the anchor has other segments too, which may hold some of its strings;
+    ``MANY`` if it has more than ``CROWD`` of them.
     """
     ids, anchors, found = [], [], []
     for _, anchor, digest, names, owners in zip(*[c.to_pylist() for c in table.columns], strict=True):
@@ -166,16 +194,36 @@ def compare(table: pa.Table) -> pa.Table:
         found.append(np.frombuffer(digest, np.uint64))
         ids.append(np.frombuffer(names, np.int64)[unplaned(owners, 3).astype(np.int64)])
     ids, anchors, found = (np.concatenate(x) for x in (ids, anchors, found))
-    order = np.argsort(anchors, kind="stable")
+    order = np.lexsort([ids, found, anchors])
     ids, anchors, found = ids[order], anchors[order], found[order]
-    at = np.flatnonzero(np.concatenate([[True], anchors[1:] != anchors[:-1]]))
-    counts = np.diff(np.append(at, len(anchors)))
-    first, last = np.minimum.reduceat(ids, at), np.maximum.reduceat(ids, at)
-    differ = np.minimum.reduceat(found, at) != np.maximum.reduceat(found, at)
-    shared, differ, first = (np.repeat(x, counts) for x in (first != last, differ, first))
-    tell = shared & (differ | (ids > first))
-    code = (anchors[tell] << np.uint64(1) | differ[tell].astype(np.uint64)).astype(np.int64)
+    opens = np.concatenate([[True], anchors[1:] != anchors[:-1]])
+    kinds = opens.copy()
+    kinds[1:] |= found[1:] != found[:-1]
+    at = np.flatnonzero(opens)
+    several = np.repeat(np.add.reduceat(kinds.astype(np.int64), at), np.diff(np.append(at, len(anchors))))
+    first = ids == ids[np.maximum.accumulate(np.where(kinds, np.arange(len(ids)), 0))]
+    # Of the different segments of an anchor only those can share a string that agree on a side.
+    one = np.flatnonzero(kinds & (several > 1))
+    unclear = found[one] & np.uint64(0xFFFF) == 0
+    # Documents are told of anchors, so one with several segments of an anchor must have them compared as well.
+    part = np.flatnonzero(several > 1)
+    part = part[np.lexsort([found[part], ids[part], anchors[part]])]
+    again = (anchors[part[1:]] == anchors[part[:-1]]) & (ids[part[1:]] == ids[part[:-1]]) & (found[part[1:]] != found[part[:-1]])
+    meets = np.isin(anchors[one], np.concatenate([anchors[one][unclear], anchors[part[1:]][again]]))
+    for side in (found[one] >> np.uint64(8) & np.uint64(0xFF), found[one] & np.uint64(0xFF)):
+        _, which, n = np.unique(anchors[one] << np.uint64(8) | side, return_inverse=True, return_counts=True)
+        meets |= (side > 0) & (n[which] > 1)
+    sends = np.zeros(len(ids), bool)
+    sends[one] = meets
+    sends = sends[np.maximum.accumulate(np.where(kinds, np.arange(len(ids)), 0))]
+    tell = ~first | sends
+    kind = np.where(~first, REMOVED, np.where(several > CROWD, MANY, DIFFERS))[tell]
+    code = (anchors[tell] << np.uint64(2) | kind.astype(np.uint64)).astype(np.int64)
     pair = np.unique(np.stack([ids[tell], code], 1), axis=0)
+    # A document with several segments of an anchor sends them all if it must send one.
+    last = np.ones(len(pair), bool)
+    last[:-1] = (pair[1:, 0] != pair[:-1, 0]) | (pair[1:, 1] >> 2 != pair[:-1, 1] >> 2)
+    pair = pair[last]
     return pa.table({"doc_id": pair[:, 0], "code": pair[:, 1]})
 
 
@@ -214,12 +262,20 @@ def settle_equal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     continue
                 told = told.values.to_numpy().astype(np.uint64)
                 own = slice(bounds[k], bounds[k + 1])
-                gone = np.isin(anchor[own], told[told & np.uint64(1) == 0] >> np.uint64(1))
+                kind, told = told & np.uint64(3), told >> np.uint64(2)
+                gone = np.isin(anchor[own], told[kind == REMOVED])
                 out[0].append(start[own][gone] - offsets[k] + at)
                 out[1].append(count[own][gone])
-                differ = np.isin(anchor[own], told[told & np.uint64(1) == 1] >> np.uint64(1))
-                for s, c, h in zip(start[own][differ].tolist(), count[own][differ].tolist(), anchor[own][differ].tolist(), strict=True):
-                    out[2].append({"anchor": h, "start": s - int(offsets[k]) + at, "content": data[s : s + c + LENGTH - 1].tobytes()})
+                differ = np.isin(anchor[own], told[kind != REMOVED]) & ~gone
+                many = np.isin(anchor[own], told[kind == MANY])
+                for s, c, h, m in zip(*(x[differ].tolist() for x in (start[own], count[own], anchor[own], many)), strict=True):
+                    if not m:
+                        out[2].append({"anchor": h, "start": s - int(offsets[k]) + at, "content": data[s : s + c + LENGTH - 1].tobytes()})
+                        continue
+                    for one in range(s, s + c):
+                        content = data[one : one + LENGTH].tobytes()
+                        key = int.from_bytes(hashlib.blake2b(content, digest_size=7).digest(), "big")
+                        out[2].append({"anchor": key, "start": one - int(offsets[k]) + at, "content": content})
         out = [[] for _ in range(8)]
         for k in range(batch.num_rows):
             starts, counts, segments = rows.get(k, [[], [], []])
@@ -316,30 +372,28 @@ def sorted_groups(data: np.ndarray, places: np.ndarray) -> Iterator[np.ndarray]:
 
 
 def sort_suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each segment and each of its starts the smallest document that has the string there.
+    """The starts at which a document has a string that a smaller one has too: ``doc_id, start``.
 
     Rows come sorted by anchor; whole anchors are sorted together, some
     megabytes at a time.
     """
 
     def flush(held: list[tuple]) -> pa.RecordBatch:
-        data = np.frombuffer(b"".join(c for _, c, _ in held), np.uint8)
-        lengths = np.array([len(c) for _, c, _ in held])
+        data = np.frombuffer(b"".join(c for _, _, c, _ in held), np.uint8)
+        lengths = np.array([len(c) for _, _, c, _ in held])
         begin = np.cumsum(lengths) - lengths
         counts = lengths - LENGTH + 1
         inner = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
         places = np.repeat(begin, counts) + inner
-        doc = np.zeros(len(data), np.int64)
-        doc[places] = np.repeat(np.array([d for _, _, d in held], np.int64), counts)
+        doc, start = np.zeros(len(data), np.int64), np.zeros(len(data), np.int64)
+        doc[places] = np.repeat(np.array([d for _, _, _, d in held], np.int64), counts)
+        start[places] = np.repeat(np.array([s for _, s, _, _ in held], np.int64), counts) + inner
         least = doc.copy()
         for group in sorted_groups(data, places):
             if len(group) > 1:
                 least[group] = doc[group].min()
-        offsets = np.concatenate([[0], np.cumsum(counts)])
-        return pa.RecordBatch.from_arrays(
-            [pa.array([a for a, _, _ in held], pa.int64()), pa.array([c for _, c, _ in held], pa.binary()), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(least[places]))],
-            ["anchor", "content", "least"],
-        )
+        gone = places[least[places] < doc[places]]
+        return pa.RecordBatch.from_arrays([pa.array(doc[gone]), pa.array(start[gone])], ["doc_id", "start"])
 
     held: list[tuple] = []
     size = 0
@@ -349,11 +403,20 @@ def sort_suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 yield flush(held)
                 held, size = [], 0
             held.append(row)
-            size += len(row[1])
+            size += len(row[2])
     if held:
         yield flush(held)
 
 
+def by_document(df: DataFrame) -> DataFrame:
+    """Write ``df`` in buckets of doc_id below the shared folder, so that a later join by doc_id doesn't move the texts again."""
+    spark = df.sparkSession
+    name = f"settled_{uuid.uuid4().hex}"
+    folder = f"{shared_dir(spark)}/fluxloom/{name}"
+    df.write.bucketBy(spread(spark), "doc_id").option("path", folder).saveAsTable(name)
+    return spark.table(name)
+
+
 def dedup(docs: DataFrame) -> DataFrame:
     """What stays of each text when bytes covered by an earlier document's ``LENGTH``-byte strings go.
 
@@ -374,14 +437,11 @@ def dedup(docs: DataFrame) -> DataFrame:
     sent = texts.where("doc_id is not null").mapInArrow(lambda it: digests(it, groups), "part long, anchors binary, digests binary, ids binary, owners binary")
     told = sent.groupBy("part").applyInArrow(compare, "doc_id long, code long")
     told = told.groupBy("doc_id").agg(F.collect_list("code").alias("codes"))
-    held = settle(texts.join(told, "doc_id", "left").mapInArrow(settle_equal, HELD))
+    held = by_document(texts.join(told, "doc_id", "left").mapInArrow(settle_equal, HELD))
     open_ones = held.where("segments is not null")
-    segments = open_ones.select("doc_id", F.explode("segments").alias("s")).select("doc_id", "s.*")
-    distinct = segments.groupBy("anchor", "content").agg(F.min("doc_id").alias("doc_id"))
-    ordered = distinct.repartition(spread(spark), "anchor").sortWithinPartitions("anchor")
-    least = settle(ordered.mapInArrow(sort_suffixes, "anchor long, content binary, least array<long>"))
-    more = segments.join(least, ["anchor", "content"]).select("doc_id", "start", F.posexplode("least").alias("at", "first")).where("first < doc_id")
-    more = settle(more.groupBy("doc_id").agg(F.collect_list(F.col("start") + F.col("at")).alias("more")))
-    release(least)
+    segments = open_ones.select(F.explode("segments").alias("s"), "doc_id").select("s.anchor", "s.start", "s.content", "doc_id")
+    ordered = segments.repartition(spread(spark), "anchor").sortWithinPartitions("anchor")
+    more = ordered.mapInArrow(sort_suffixes, "doc_id long, start long")
+    more = more.groupBy("doc_id").agg(F.collect_list("start").alias("more"))
     rest = open_ones.join(more, "doc_id", "left").select("doc_id", "text", "starts", "more").mapInArrow(finish, RESULT)
     return held.where("segments is null").select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").unionByName(rest)
