@@ -26,12 +26,12 @@ from fluxloom.llm.common import spread
 from fluxloom.session import shared_dir
 
 #: Bytes of the strings that count, and of the k-grams among which anchors are chosen.
-LENGTH, GRAM = 50, 24
+LENGTH, GRAM = 50, 20
 WINDOW, HALF = LENGTH - GRAM + 1, (LENGTH - GRAM) // 2
 #: Bytes of text worked on at a time; a longer text is cut into such blocks, which changes no result.
 BLOCK = 1 << 19
 #: Bytes of text whose digests one group takes in.
-PER_GROUP = 8 << 20
+PER_GROUP = 16 << 20
 #: Depth of the multikey sort, a multiple of 8.
 SHALLOW = 16
 #: Different segments of one anchor beyond which their strings are dealt out one by one.
@@ -173,7 +173,7 @@ def digests(batches: Iterator[pa.RecordBatch], groups: int) -> Iterator[pa.Recor
             if len(row):
                 held.append((ids[a + row], anchor, digest))
                 rows += len(row)
-            if rows > 500_000:
+            if rows > 1_000_000:
                 yield from flush()
                 rows = 0
     if held:
@@ -413,7 +413,7 @@ def by_document(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     name = f"settled_{uuid.uuid4().hex}"
     folder = f"{shared_dir(spark)}/fluxloom/{name}"
-    df.write.bucketBy(spread(spark), "doc_id").option("path", folder).saveAsTable(name)
+    df.write.bucketBy(spread(spark), "doc_id").option("path", folder).option("compression", "zstd").saveAsTable(name)
     return spark.table(name)
 
 
