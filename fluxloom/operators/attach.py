@@ -60,8 +60,12 @@ def attach(
     Within ``max_rows`` it is broadcast and the large side is not shuffled at
     all. Beyond that each of its rows is copied ``salts`` times and the large
     side spreads every key over that many tasks, so a hot key cannot end up
-    in one task. ``null_safe`` lets NULL keys meet, as grouping does.
+    in one task. ``null_safe`` lets NULL keys meet, as grouping does. Joins that
+    keep unmatched rows of the small side are refused: its copies would repeat
+    them.
     """
+    if how not in ("inner", "left", "left_semi", "left_anti", "semi", "anti"):
+        raise ValueError(f"attach keeps rows of the large side only, not how={how!r}")
     fits = is_small(small, max_rows)
     if not fits:
         small = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
