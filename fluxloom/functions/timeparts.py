@@ -196,8 +196,9 @@ def noleap_doy(date) -> Column:
 
 
 def hourmin(ts) -> Column:
+    """Hour to one decimal; halves go to the even digit (10.25 → 10.2)."""
     t = _c(ts)
-    return F.round(F.hour(t) + F.minute(t) / 60.0, 1)
+    return F.rint((F.hour(t) + F.minute(t) / 60.0) * 10) / 10
 
 
 def monday_key(ts) -> Column:

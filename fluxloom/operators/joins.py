@@ -69,7 +69,7 @@ def nearest_cell(points: DataFrame, cells: DataFrame, axes: Sequence[str], width
     along each axis together, and every place looks at the coordinate before
     and after it: points and cells are never paired off, and a place shared by
     very many points is looked up once. ``width`` is the length of axis
-    handled by one task group. Of two coordinates equally near the smaller one
+    handled by one task group. Of two coordinates equally near the larger one
     is taken.
     """
     axes = list(axes)
@@ -84,7 +84,7 @@ def nearest_cell(points: DataFrame, cells: DataFrame, axes: Sequence[str], width
     )
     seen = sg.bracket(line, ["_axis"], "_at", "_mark", F.floor(F.col("_at") / width))
     back, ahead = F.col("_at") - F.col("_prev"), F.col("_next") - F.col("_at")
-    near = F.when(F.col("_next").isNull() | (back <= ahead), F.col("_prev")).otherwise(F.col("_next"))
+    near = F.when(F.col("_next").isNull() | (back < ahead), F.col("_prev")).otherwise(F.col("_next"))
     found = settle(seen.filter(F.col("_mark").isNull()).select("_axis", "_at", near.alias("_near")))
     out = points
     for a in axes:

@@ -133,18 +133,24 @@ def at_index(df: DataFrame, cols: Sequence[str], i: int) -> DataFrame:
 
 
 def flatten_levels(df: DataFrame, cols: Sequence[str], n: int) -> DataFrame:
-    """Layered columns to ``VAR_1`` … ``VAR_n``, long names suffixed with the level."""
+    """Layered columns to ``VAR_1`` … ``VAR_n``, long names suffixed with the level.
+
+    ``n`` is the declared number of levels. A shorter array leaves NULL; a
+    longer one ends the job rather than lose its levels.
+    """
     meta = {f.name: dict(f.metadata) for f in df.schema.fields}
     out: list[Column] = []
     for c in df.columns:
         if c not in cols:
             out.append(F.col(c))
             continue
+        too_long = F.raise_error(F.format_string(f"{c} has %d levels, declared are {n}", F.size(c)))
+        whole = F.when(F.size(c) > n, too_long.cast(df.schema[c].dataType)).otherwise(F.col(c))
         for j in range(1, n + 1):
             m = dict(meta[c])
             if "long_name" in m:
                 m["long_name"] = f"{m['long_name']} at level {j}"
-            out.append(F.get(F.col(c), F.lit(j - 1)).alias(f"{c}_{j}", metadata=m))
+            out.append(F.get(whole if j == 1 else F.col(c), F.lit(j - 1)).alias(f"{c}_{j}", metadata=m))
     return df.select(*out)
 
 

@@ -10,7 +10,6 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -187,10 +186,9 @@ def annual_max_vs_sum(
 
 
 def corr_by(df: DataFrame, x: str, y: str, keys: Sequence[str]) -> DataFrame:
-    """Pearson r over rows where both values are known."""
-    return qc.complete_pairs(df, x, y).groupBy(*keys).agg(
-        F.corr(x, y).alias("r"), F.count(F.lit(1)).alias("n")
-    )
+    """Pearson r over rows where both values are known; NULL where one of them never changes."""
+    r = F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+    return qc.complete_pairs(df, x, y).groupBy(*keys).agg(r.alias("r"), F.count(F.lit(1)).alias("n"))
 
 
 def corr_test(df: DataFrame, x: str, y: str, keys: Sequence[str], z: float = 1.959963984540054) -> DataFrame:
@@ -211,37 +209,41 @@ def corr_test(df: DataFrame, x: str, y: str, keys: Sequence[str], z: float = 1.9
     )
 
 
-def _two_sided(t: float, df: float) -> float:
-    """P(|T| > t) of Student's distribution: the incomplete beta function as a continued fraction."""
-    x, a, b = df / (df + t * t), df / 2.0, 0.5
-    if x >= 1.0:
-        return 1.0
-    swap = x > (a + 1) / (a + b + 2)
-    if swap:
-        x, a, b = 1 - x, b, a
-    front = math.exp(
-        math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)
-    ) / a
-    frac = 0.0
-    for m in range(200, 0, -1):
+def _ln_gamma(z: Column) -> Column:
+    """Logarithm of the gamma function by Stirling's series, good to 1e-13 from z = 8 on."""
+    return (z - 0.5) * F.log(z) - z + math.log(2 * math.pi) / 2 + 1 / (12 * z) - 1 / (360 * F.pow(z, F.lit(3))) + 1 / (1260 * F.pow(z, F.lit(5)))
+
+
+def _beta_fraction(x: Column, a: Column, b: Column, terms: int) -> Column:
+    """Continued fraction of the incomplete beta function, from its ``terms``-th pair of terms to its first."""
+
+    def step(frac: Column, m: Column) -> Column:
         even = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
         odd = -(a + m - 1) * (a + b + m - 1) * x / ((a + 2 * m - 2) * (a + 2 * m - 1))
-        frac = odd / (1 + even / (1 + frac))
-    value = front / (1 + frac)
-    return 1 - value if swap else value
+        return odd / (1 + even / (1 + frac))
 
+    return F.aggregate(F.sequence(F.lit(terms), F.lit(1)), F.lit(0.0), lambda f, m: step(f, m.cast("double")))
 
-def add_p_value(test: DataFrame, t: str = "t", df: str = "df", out: str = "p") -> DataFrame:
-    """Two-sided p of a t statistic; runs on the finished table of groups."""
 
-    @F.pandas_udf("double")
-    def p_of(ts: pd.Series, dfs: pd.Series) -> pd.Series:
-        return pd.Series(
-            [None if pd.isna(a) or pd.isna(b) else _two_sided(float(a), float(b)) for a, b in zip(ts, dfs)],
-            dtype="float64",
-        )
+def add_p_value(test: DataFrame, t: str = "t", df: str = "df", out: str = "p", terms: int = 200) -> DataFrame:
+    """Two-sided p of a t statistic: P(|T| > t) of Student's distribution, NULL where t or df is.
 
-    return test.withColumn(out, p_of(F.col(t), F.col(df).cast("double")))
+    The incomplete beta function as a continued fraction, taken from the side
+    on which it converges fast. Column expressions only.
+    """
+    n, sq = F.col(df).cast("double"), F.col(t) * F.col(t)
+    a, half = n / 2, F.lit(0.5)
+    x, y = n / (n + sq), sq / (n + sq)
+    # ln B(a, 1/2), with both gammas moved up to where the series is good.
+    moved = F.aggregate(
+        F.sequence(F.lit(0), F.lit(7)), F.lit(0.0), lambda s, k: s + F.log((a + k) / (a + k + 0.5))
+    )
+    ln_beta = math.log(math.pi) / 2 - (moved + _ln_gamma(a + 8.5) - _ln_gamma(a + 8))
+    front = F.exp(a * F.log(x) + F.log(y) / 2 - ln_beta)
+    tail = front / a / (1 + _beta_fraction(x, a, half, terms))
+    body = 1 - front / half / (1 + _beta_fraction(y, half, a, terms))
+    p = F.when(sq == 0, 1.0).when(x <= (a + 1) / (a + 2.5), tail).otherwise(body)
+    return test.withColumn(out, F.when((n > 0) & sq.isNotNull(), p))
 
 
 def linfit(df: DataFrame, x: str, y: str, keys: Sequence[str]) -> DataFrame:

@@ -142,12 +142,16 @@ def _(t):
 
 @query(
     "p11_hourmin_monday",
-    "id:i hourmin:3 monday:4",
-    "SELECT id, round(hour(ts)+minute(ts)/60e0,1) AS hourmin, round(month(ts)+day(ts)/100e0,2) AS monday FROM obs",
+    "id:i hourmin:3 quarter:3 monday:4",
+    "SELECT id, round_even((hour(ts)+minute(ts)/60e0)*10,0)/10 AS hourmin, round_even((hour(q)+minute(q)/60e0)*10,0)/10 AS quarter, "
+    "round(month(ts)+day(ts)/100e0,2) AS monday FROM (SELECT *, ts + (id%4) * INTERVAL 15 MINUTE AS q FROM obs)",
     "obs",
 )
 def _(t):
-    return t.obs().select("id", tp.hourmin("ts").alias("hourmin"), tp.monday_key("ts").alias("monday"))
+    quarter = tp.plus_seconds("ts", F.col("id") % 4 * 900)
+    return t.obs().select(
+        "id", tp.hourmin("ts").alias("hourmin"), tp.hourmin(quarter).alias("quarter"), tp.monday_key("ts").alias("monday")
+    )
 
 
 @query("p12_year_mon", "id:i year_mon:s", "SELECT id, strftime(ts,'%Y-%m') AS year_mon FROM obs", "obs")

@@ -247,8 +247,8 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
             for k in ("purchase", "error")
         ),
     ),
-    "pts": ((), "SELECT c_custkey AS id, c_acctbal AS lat, c_custkey*37%360*1e0 AS lon FROM customer"),
-    "cells": ((), "SELECT s_acctbal AS lat, s_suppkey*7%360+0.25e0 AS lon FROM supplier"),
+    "pts": ((), "SELECT c_custkey AS id, c_acctbal AS lat, c_custkey*37%360+0.5e0 AS lon FROM customer"),
+    "cells": ((), "SELECT s_acctbal AS lat, s_suppkey*7%360*1e0 AS lon FROM supplier"),
     "obsdoy": (("obs",), f"SELECT *, {noleap_sql('ts')} AS doy FROM obs"),
     "daily": (
         ("obs",),

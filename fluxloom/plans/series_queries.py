@@ -285,11 +285,11 @@ def _(t):
 
 @query(
     "s7_flatten_levels",
-    "vec_id:i " + " ".join(f"embedding_{j}:6" for j in range(1, 9)),
-    "SELECT vec_id, " + ", ".join(f"embedding[{j}] AS embedding_{j}" for j in range(1, 9)) + " FROM embeddings",
+    "vec_id:i " + " ".join(f"embedding_{j}:6" for j in range(1, 65)),
+    "SELECT vec_id, " + ", ".join(f"embedding[{j}] AS embedding_{j}" for j in range(1, 65)) + " FROM embeddings",
 )
 def _(t):
-    return rs.flatten_levels(t.embeddings, ["embedding"], 8)
+    return rs.flatten_levels(t.embeddings, ["embedding"], 64)
 
 
 @query(

@@ -116,17 +116,17 @@ def _(t):
 @query(
     "j8_nearest_cell",
     "id:i near_lat:6 near_lon:6",
-    "SELECT id, (SELECT min_by(lat, (abs(lat-p.lat), lat)) FROM cells) AS near_lat, "
-    "(SELECT min_by(lon, (abs(lon-p.lon), lon)) FROM cells) AS near_lon FROM pts p",
+    "SELECT id, (SELECT min_by(lat, (abs(lat-p.lat), -lat)) FROM cells) AS near_lat, "
+    "(SELECT min_by(lon, (abs(lon-p.lon), -lon)) FROM cells) AS near_lon FROM pts p",
     "pts cells",
 )
 def _(t):
     points = t.customer.select(
         F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("lat"),
-        (F.col("c_custkey") * 37 % 360).cast("double").alias("lon"),
+        (F.col("c_custkey") * 37 % 360 + 0.5).cast("double").alias("lon"),
     )
     cells = t.supplier.select(
-        F.col("s_acctbal").alias("lat"), (F.col("s_suppkey") * 7 % 360 + 0.25).cast("double").alias("lon")
+        F.col("s_acctbal").alias("lat"), (F.col("s_suppkey") * 7 % 360).cast("double").alias("lon")
     )
     return jn.nearest_cell(points, cells, ["lat", "lon"], width=500.0)
 
@@ -450,13 +450,19 @@ def _(t):
 
 @query(
     "a19_correlation",
-    "case:s season:s r:8 n:i df:i t:6 ci_low:8 ci_high:8",
-    'SELECT "case", season, r, n, n-2 AS df, r*sqrt((n-2)/(1-r*r)) AS t, tanh(atanh(r)-1.959963984540054e0/sqrt(n-3)) AS ci_low, '
-    f"tanh(atanh(r)+1.959963984540054e0/sqrt(n-3)) AS ci_high FROM (SELECT \"case\", {season_sql()} AS season, corr(y,x) AS r, count(*) AS n FROM sim GROUP BY ALL)",
+    "case:s season:s r:8 n:i df:i t:6 ci_low:8 ci_high:8 p:8",
+    'SELECT "case", season, r, n, n-2 AS df, t, tanh(atanh(r)-1.959963984540054e0/sqrt(n-3)) AS ci_low, tanh(atanh(r)+1.959963984540054e0/sqrt(n-3)) AS ci_high, '
+    "CASE WHEN t IS NOT NULL THEN 1 - (CASE WHEN (n-2)%2=1 THEN (h + CASE WHEN n>3 THEN sin(h)*(SELECT sum(exp((2*k+1)*ln(cos(h)) + lgamma(k+1) - lgamma(k+1.5e0)))*sqrt(pi())/2 "
+    "FROM (SELECT unnest(range(0,(n-3)//2)) AS k)) ELSE 0 END)*2/pi() "
+    "ELSE sin(h)*(SELECT sum(exp(2*k*ln(cos(h)) + lgamma(k+0.5e0) - lgamma(k+1)))/sqrt(pi()) FROM (SELECT unnest(range(0,(n-2)//2)) AS k)) END) END AS p FROM "
+    "(SELECT *, atan(abs(t)/sqrt(n-2)) AS h FROM (SELECT *, r*sqrt((n-2)/(1-r*r)) AS t FROM "
+    f"(SELECT \"case\", season, CASE WHEN min(x)<max(x) AND min(y)<max(y) THEN corr(y,x) END AS r, count(*) AS n FROM (SELECT * REPLACE (CASE WHEN \"case\"='N' AND season='MAM' THEN 5 ELSE x END AS x) FROM (SELECT *, {season_sql()} AS season FROM sim)) GROUP BY ALL)))",
     "sim",
 )
 def _(t):
-    return sm.corr_test(t.sim().withColumn("season", tp.season(F.month("ts"))), "x", "y", ["case", "season"])
+    sim = t.sim().withColumn("season", tp.season(F.month("ts")))
+    flat = (F.col("case") == "N") & (F.col("season") == "MAM")
+    return sm.add_p_value(sm.corr_test(sim.withColumn("x", F.when(flat, 5.0).otherwise(F.col("x"))), "x", "y", ["case", "season"]))
 
 
 @query(

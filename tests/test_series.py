@@ -185,12 +185,12 @@ def test_two_source_flags_partition_the_rows(spark):
     assert [(r.v, r.v_flag) for r in got] == [(1.0, "n"), (5.0, "s"), (None, "m")]
 
 
-def test_nearest_of_two_equal_distances_is_the_smaller(spark):
+def test_nearest_of_two_equal_distances_is_the_larger(spark):
     places = [5.0, -50.0, 99.0, 10.0, None] + [5.0] * 20
     points = spark.createDataFrame(list(enumerate(places)), "id int, lat double")
     cells = spark.createDataFrame([(0.0,), (10.0,), (20.0,)], "lat double")
     got = {r.id: r.near_lat for r in jn.nearest_cell(points, cells, ["lat"], width=3.0).collect()}
-    assert got == {0: 0.0, 1: 0.0, 2: 20.0, 3: 10.0, 4: None, **{i: 0.0 for i in range(5, 25)}}
+    assert got == {0: 10.0, 1: 0.0, 2: 20.0, 3: 10.0, 4: None, **{i: 10.0 for i in range(5, 25)}}
 
 
 def test_small_side_beyond_the_bound_is_salted(spark):

@@ -11,6 +11,7 @@ from fluxloom.functions import timeparts as tp
 from fluxloom.functions import values as vl
 from fluxloom.operators import derive as de
 from fluxloom.operators import qc
+from fluxloom.operators import reshape as rs
 from fluxloom.operators import summarize as sm
 
 from .conftest import stamp
@@ -171,6 +172,21 @@ def test_range_rules(spark):
 
 
 def test_p_value_of_a_correlation(spark):
-    t = spark.createDataFrame([(2.0, 10), (None, 3)], "t double, df long")
+    t = spark.createDataFrame([(2.0, 10), (None, 3), (0.0, 5), (-1.0, 1), (0.01, 1000), (40.0, 2)], "t double, df long")
     got = [r.p for r in sm.add_p_value(t).collect()]
-    assert got[0] == pytest.approx(0.07338803, abs=1e-8) and got[1] is None
+    assert got[0] == pytest.approx(0.07338803, abs=1e-8) and got[1] is None and got[2] == 1
+    assert got[3] == pytest.approx(0.5, abs=1e-10) and got[5] == pytest.approx(1 - 40 / 1602**0.5, rel=1e-9)
+    assert got[4] == pytest.approx(0.99202, abs=1e-5)
+
+
+def test_correlation_of_a_constant_is_unknown(spark):
+    rows = [("flat", 1.0, float(i)) for i in range(9)] + [("up", float(i), float(i * i)) for i in range(9)]
+    got = {r.k: r for r in sm.add_p_value(sm.corr_test(spark.createDataFrame(rows, "k string, x double, y double"), "x", "y", ["k"])).collect()}
+    assert got["flat"].r is None and got["flat"].t is None and got["flat"].p is None and got["flat"].n == 9
+    assert got["up"].r == pytest.approx(0.9617692) and got["up"].p < 1e-4
+
+
+def test_more_levels_than_declared_end_the_job(spark):
+    df = spark.createDataFrame([([1.0, 2.0, 3.0],)], "TSOI array<double>")
+    with pytest.raises(Exception, match="has 3 levels"):
+        rs.flatten_levels(df, ["TSOI"], 2).collect()
