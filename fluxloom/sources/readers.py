@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,15 +43,40 @@ def _opening(spark: SparkSession, paths: list[str], n: int, keep: Column | None
     return [r.value for r in lines.select("value").limit(n).collect()]
 
 
+def _heads(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list[str]]:
+    """Files by their first two lines. Of several files the first blocks are read through, two lines a file come back."""
+    lines = spark.read.text(paths)
+    if len(lines.inputFiles()) == 1:
+        return {tuple(_opening(spark, paths, 2)): paths}
+    first_blocks = lines.filter("_metadata.file_block_start = 0")
+    at = first_blocks.select(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at"), "value")
+    top = at.groupBy("file").agg(F.min("at").alias("top"))
+    heads = at.join(top, "file").filter("at <= top + 1").groupBy("file").agg(
+        F.array_sort(F.collect_list(F.struct("at", "value")))["value"].alias("head")
+    )
+    files: dict[tuple[str, ...], list[str]] = {}
+    for r in heads.orderBy("file").collect():
+        files.setdefault(tuple(r.head), []).append(unquote(r.file))
+    return files
+
+
 def read_units_table(spark: SparkSession, path, types: Mapping[str, str], sep: str = "\t", sentinel: float = SENTINEL) -> DataFrame:
-    """Table whose first line names the columns and whose second gives their units.
+    """Tables whose first line names the columns and whose second gives their units.
 
-    Names and units come from the first two lines of the first file. Every
-    file carries both lines; the reader skips the first and the units line is
-    recognised by being equal to the one read. Units go to the field metadata.
+    Every file carries both lines. Files are read in groups of equal heads,
+    each by its own names, and united by name: neither the order of columns
+    nor their number need agree. Units go to the field metadata, those of the
+    first file (by name) that has the column. What comes to the driver is one
+    row per file, as many as Spark lists there anyway.
     """
-    paths = _paths(path)
-    names, units = ([t.strip().strip('"') for t in line.split(sep)] for line in _opening(spark, paths, 2))
+    tables = [_read_units(spark, files, head, types, sep, sentinel) for head, files in _heads(spark, _paths(path)).items() if len(head) == 2]
+    if not tables:
+        raise ValueError("no file has the two head lines")
+    return tables[0] if len(tables) == 1 else stack_rows(*tables)
+
+
+def _read_units(spark: SparkSession, paths: list[str], head: tuple[str, ...], types: Mapping[str, str], sep: str, sentinel: float) -> DataFrame:
+    names, units = ([t.strip().strip('"') for t in line.split(sep)] for line in head)
     raw = spark.read.csv(paths, schema=_strings(names), sep=sep, header=True, enforceSchema=True)
     unit_of = dict(zip(names, units))
     same = reduce(lambda a, b: a & b, [F.col(n).eqNullSafe(F.lit(u)) for n, u in unit_of.items()])

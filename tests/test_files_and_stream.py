@@ -31,6 +31,17 @@ def test_units_table_file(spark, tmp_path):
     assert catalog["NEE"] == "umolm-2s-1" and catalog["Year"] == "--"
 
 
+def test_units_tables_of_other_column_orders_meet_by_name(spark, tmp_path):
+    a = put(tmp_path / "a one.txt", "Hour\tv\tw\n--\tm\tkg\n1\t10\t20\n")
+    b = put(tmp_path / "b.txt", "w\tHour\tv\nkg\t--\tm\n21\t2\t11\n")
+    c = put(tmp_path / "c.txt", "Hour\tv\tw\n--\tm\tkg\n3\t-9999\t22\n")
+    d = put(tmp_path / "d.txt", "Hour\tv\n--\tmm\n4\t13\n")
+    df = rd.read_units_table(spark, [a, b, c, d], {})
+    got = [(r.Hour, r.v, r.w) for r in df.orderBy("Hour").collect()]
+    assert got == [(1.0, 10.0, 20.0), (2.0, 11.0, 21.0), (3.0, None, 22.0), (4.0, 13.0, None)]
+    assert df.schema["v"].metadata["units"] == "m"
+
+
 def test_units_table_with_commas_and_quotes(spark, tmp_path):
     p = put(tmp_path / "t.csv", '"time","wc10"\n"--","%"\n"2020-01-01 00:30:00",0.5\n')
     df = rd.read_units_table(spark, p, {"time": "timestamp_ntz"}, sep=",")
