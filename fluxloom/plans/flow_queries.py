@@ -51,6 +51,25 @@ def _(t):
     return wf.half_hour_precipitation(daily, fine, "ppt", "w")
 
 
+@query(
+    "rain_conserved",
+    "date:d steps:i amount:6",
+    "SELECT d.date, CASE WHEN day(d.date)%5=0 THEN 48 ELSE n END AS steps, total AS amount FROM "
+    "(SELECT CAST(ts AS DATE) AS date, sum(value)*0.39e0 AS total FROM events WHERE event_type='purchase' GROUP BY 1) d "
+    "LEFT JOIN (SELECT date, count(*) AS n FROM rainfine GROUP BY date) s USING (date)",
+    "rainfine",
+)
+def _(t):
+    # Every fifth day the fine gauge was out: the total must not go with it.
+    daily = t.events.filter("event_type = 'purchase'").groupBy(F.to_date("ts").alias("date")).agg(F.sum("value").alias("ppt"))
+    gauge = t.events.filter("event_type <> 'purchase'").filter(F.day("ts") % 5 != 0)
+    fine = gauge.select("ts", F.when(F.col("value") > 1, F.col("value")).alias("w"))
+    rain = wf.half_hour_precipitation(daily, fine, "ppt", "w")
+    return rain.groupBy(F.to_date("ts").alias("date")).agg(
+        F.count(F.lit(1)).alias("steps"), (F.sum("PRECTmms") * 1800).alias("amount")
+    )
+
+
 @query(
     "forcing_preparation",
     "community:s ts:t year_mon:s PRECTmms:9 Tair:6 Rg:6 NEE:6 VPD:6",

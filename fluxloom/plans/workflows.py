@@ -56,10 +56,19 @@ def clean_towers(
 
 
 def half_hour_precipitation(daily: DataFrame, fine: DataFrame, total: str, weight: str) -> DataFrame:
-    """Corrected daily gauge spread over half hours, as a rate per second with interval-end stamps."""
+    """Corrected daily gauge spread over half hours, as a rate per second.
+
+    A day without any fine row gets all its half hours at weight 0, so its
+    total is spread evenly and not lost.
+    """
     corrected = qc.null_to_zero(de.month_factor(daily, total, "date"), [total])
     bins = qc.null_to_zero(gr.rebin(fine, [], "ts", {weight: "sum"}, null="strict"), [weight])
-    spread = de.disaggregate(corrected, bins.withColumn("date", F.to_date("ts")), [], "date", total, weight)
+    bins = bins.withColumn("date", F.to_date("ts"))
+    bare = corrected.select("date").join(bins.select("date").distinct(), "date", "left_anti")
+    midnight = F.col("date").cast("timestamp_ntz")
+    steps = F.sequence(midnight, tp.plus_seconds(midnight, F.lit(84600)), F.expr("INTERVAL 30 MINUTE"))
+    whole = bins.unionByName(bare.select("date", F.explode(steps).alias("ts"), F.lit(0.0).alias(weight)))
+    spread = de.disaggregate(corrected, whole, [], "date", total, weight)
     return spread.select("ts", (F.col("amount") / 1800.0).alias("PRECTmms"))
 
 
