@@ -25,8 +25,8 @@ from fluxloom.session import settle
 T_REF, T_ZERO = 15.0, -46.02
 
 
-def sun_elevation_sine(ts, lat: float, lon: float, zone_hours: float) -> Column:
-    """Sine of the sun's height for a standard-time stamp."""
+def sun_elevation_sine(ts, lat: float | Column, lon: float | Column, zone_hours: float | Column) -> Column:
+    """Sine of the sun's height for a standard-time stamp; place and zone are numbers or columns."""
     doy = F.dayofyear(ts)
     angle = 2 * math.pi * (doy - 1) / 365.0
     declination = F.radians(F.lit(23.45)) * F.sin(2 * math.pi * (284 + doy) / 365.0)
@@ -37,10 +37,10 @@ def sun_elevation_sine(ts, lat: float, lon: float, zone_hours: float) -> Column:
         - 0.014615 * F.cos(2 * angle)
         - 0.040849 * F.sin(2 * angle)
     )
-    solar_hour = tp.decimal_hour(ts) + (4.0 * (lon - 15.0 * zone_hours) + minutes) / 60.0
+    solar_hour = tp.decimal_hour(ts) + (4.0 * (F.lit(lon) - 15.0 * F.lit(zone_hours)) + minutes) / 60.0
     hour_angle = F.radians((solar_hour - 12.0) * 15.0)
-    phi = math.radians(lat)
-    return F.lit(math.sin(phi)) * F.sin(declination) + F.lit(math.cos(phi)) * F.cos(declination) * F.cos(hour_angle)
+    phi = F.radians(F.lit(lat))
+    return F.sin(phi) * F.sin(declination) + F.cos(phi) * F.cos(declination) * F.cos(hour_angle)
 
 
 def temperature_term(tair) -> Column:
@@ -49,7 +49,7 @@ def temperature_term(tair) -> Column:
 
 
 def _fit_window(x: np.ndarray, y: np.ndarray, rounds: int = 40) -> tuple[float, float, float]:
-    """Least squares of y = Rref * exp(E0 * x); returns E0, its error and Rref."""
+    """Least squares of y = Rref * exp(E0 * x); returns E0, its error and Rref, all NaN if it has not converged."""
     e0, rref = 100.0, max(float(np.mean(y)), 1e-6)
     for _ in range(rounds):
         shape = np.exp(e0 * x)
@@ -59,6 +59,8 @@ def _fit_window(x: np.ndarray, y: np.ndarray, rounds: int = 40) -> tuple[float,
         rref = rref + float(move[1])
         if abs(move[0]) < 1e-8 * max(1.0, abs(e0)):
             break
+    else:
+        return math.nan, math.nan, math.nan
     shape = np.exp(e0 * x)
     grad = np.column_stack([rref * x * shape, shape])
     rest = y - rref * shape
@@ -101,6 +103,7 @@ def series_sensitivity(
     windows: DataFrame, keys: Sequence[str], best: int = 3, lo: float = 30.0, hi: float = 450.0, max_ratio: float = 0.5
 ) -> DataFrame:
     """One E0 per series: the mean of its most certain plausible windows."""
+    # A fit that has not converged is NaN, which lies in no range.
     ok = windows.filter(F.col("e0").between(lo, hi) & (F.col("e0_sd") <= max_ratio * F.col("e0")))
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy("e0_sd", "window"))
     return ok.withColumn("_r", rank).filter(F.col("_r") <= best).groupBy(*keys).agg(F.avg("e0").alias("e0"))
@@ -128,15 +131,15 @@ def reference_respiration(
 
 
 def partition_flux(
-    df: DataFrame, keys: Sequence[str], ts: str, lat: float, lon: float, zone_hours: float,
+    df: DataFrame, keys: Sequence[str], ts: str, lat: float | Column, lon: float | Column, zone_hours: float | Column,
     nee: str = "NEE", nee_filled: str = "NEE_f", tair: str = "Tair_f", rg: str = "Rg", rg_night: float = 10.0,
-    sensitivity: DataFrame | None = None,
+    sensitivity: DataFrame | None = None, seconds: int = sg.SEGMENT_SECONDS,
 ) -> DataFrame:
     """Add respiration ``Reco`` and uptake ``GPP`` = Reco - NEE.
 
     Place and clock (degrees, hours from UTC) tell night from day together
-    with the measured radiation. ``sensitivity`` gives a known E0 per series
-    instead of fitting one.
+    with the measured radiation; columns give each site its own.
+    ``sensitivity`` gives a known E0 per series instead of fitting one.
     """
     keys = list(keys)
     dark = (F.col(rg) < rg_night) & (sun_elevation_sine(ts, lat, lon, zone_hours) < 0)
@@ -151,7 +154,7 @@ def partition_flux(
         *keys, tp.ts_from_seconds(F.floor(F.col("_centre"))).alias(ts), F.col("rref").alias("_mark")
     )
     line = df.withColumn("_row", F.lit(True)).unionByName(marks, allowMissingColumns=True)
-    seen = sg.bracket(line, keys, ts, "_mark", sg.segment_of(ts)).filter("_row")
+    seen = sg.bracket(line, keys, ts, "_mark", sg.segment_of(ts, seconds)).filter("_row")
     since, gap = tp.seconds_between("_prev_at", ts), tp.seconds_between("_prev_at", "_next_at")
     between = F.col("_prev") + (F.col("_next") - F.col("_prev")) * since / gap
     # Before the first and after the last window its value is kept.

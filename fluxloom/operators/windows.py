@@ -34,6 +34,7 @@ def rolling_mean(
     center: bool = True,
     step: int | None = None,
     out: str | None = None,
+    seconds: int = sg.SEGMENT_SECONDS,
 ) -> DataFrame:
     """Mean of ``n`` consecutive rows, NULL unless all of them are known.
 
@@ -42,7 +43,7 @@ def rolling_mean(
     """
     before = n // 2 if center else n - 1
     after = n - 1 - before
-    placed = sg.with_halo(sg.with_position(df, keys, ts, step), before, after)
+    placed = sg.with_halo(sg.with_position(df, keys, ts, step, seconds), before, after)
     frame = sg.in_block(keys).rowsBetween(-before, after)
     value = F.when(F.count(col).over(frame) == n, F.avg(col).over(frame))
     return sg.keep_core(placed.withColumn(out or col, value))
@@ -79,12 +80,13 @@ def cumulative(
 
 
 def shift(
-    df: DataFrame, keys: list[str], ts: str, cols: list[str], n: int = -1, step: int | None = None
+    df: DataFrame, keys: list[str], ts: str, cols: list[str], n: int = -1, step: int | None = None,
+    seconds: int = sg.SEGMENT_SECONDS,
 ) -> DataFrame:
     """Values moved by ``n`` rows; ``-1`` brings the next row's value, the last is NULL."""
     look = abs(n)
     placed = sg.with_halo(
-        sg.with_position(df, keys, ts, step), look if n > 0 else 0, look if n < 0 else 0
+        sg.with_position(df, keys, ts, step, seconds), look if n > 0 else 0, look if n < 0 else 0
     )
     w = sg.in_block(keys)
 
@@ -114,9 +116,9 @@ def circular_shift(df: DataFrame, keys: list[str], slot: str, cols: list[str], n
     return places.join(source, [*keys, "_rn"]).drop("_rn").select(*df.columns)
 
 
-def time_slice(df: DataFrame, keys: list[str], ts: str, start: int, stop: int) -> DataFrame:
+def time_slice(df: DataFrame, keys: list[str], ts: str, start: int, stop: int, seconds: int = sg.SEGMENT_SECONDS) -> DataFrame:
     """Rows ``start`` … ``stop`` - 1 of every series by order."""
-    placed = sg.global_position(df, keys, ts)
+    placed = sg.global_position(df, keys, ts, seconds=seconds)
     return placed.filter(F.col(sg.POSITION).between(start, stop - 1)).drop(sg.POSITION)
 
 

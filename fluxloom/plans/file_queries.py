@@ -146,21 +146,21 @@ def _(t):
 
 @query(
     "s10_read_stage",
-    "stage:s veg:s hour:3 year:i v_avg:6",
-    f"SELECT 'diurnal' AS stage, veg, CASE WHEN hour(ts)=0 AND minute(ts)=0 THEN 23.5e0 ELSE hour(ts)+minute(ts)/60e0-0.5e0 END AS hour, 0 AS year, avg(v) AS v_avg FROM obs "
-    f"WHERE {season_sql()}='JJA' GROUP BY ALL UNION ALL SELECT 'annual', veg, 0e0, year(ts), avg(v) FROM obs GROUP BY ALL",
+    "stage:s veg:s season:s hour:3 year:i v_avg:6",
+    f"SELECT 'diurnal' AS stage, veg, {season_sql()} AS season, CASE WHEN hour(ts)=0 AND minute(ts)=0 THEN 23.5e0 ELSE hour(ts)+minute(ts)/60e0-0.5e0 END AS hour, 0 AS year, avg(v) AS v_avg FROM obs "
+    f"GROUP BY ALL UNION ALL SELECT 'annual', veg, 'year', 0e0, year(ts), avg(v) FROM obs GROUP BY ALL",
     "obs",
 )
 def _(t):
     base = scratch(t, "stages")
     for name, df in sm.summarize_by_time(t.obs(), ["v"], ["veg"], "ts").items():
         sk.write_stage(df, base, name)
-    diurnal = rd.read_stage(t.spark, base, "diurnal").filter("season = 'JJA'")
+    diurnal = rd.read_stage(t.spark, base, "diurnal")
     annual = rd.read_stage(t.spark, base, "annual")
     return diurnal.select(
-        F.lit("diurnal").alias("stage"), "veg", "hour", F.lit(0).alias("year"), F.col("v_houravg").alias("v_avg")
+        F.lit("diurnal").alias("stage"), "veg", "season", "hour", F.lit(0).alias("year"), F.col("v_houravg").alias("v_avg")
     ).unionByName(
-        annual.select(F.lit("annual").alias("stage"), "veg", F.lit(0.0).alias("hour"), "year", F.col("v_yearavg").alias("v_avg"))
+        annual.select(F.lit("annual").alias("stage"), "veg", F.lit("year").alias("season"), F.lit(0.0).alias("hour"), "year", F.col("v_yearavg").alias("v_avg"))
     )
 
 

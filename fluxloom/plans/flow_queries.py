@@ -91,7 +91,8 @@ def _(t):
     rain = t.sensor().filter("sensor = 'purchase'").select("ts", (F.col("v") / 1800).alias("PRECTmms"))
     light = t.sensor().filter("sensor = 'view'").select("ts", (F.col("v") * 4 - 80).alias("Rg"))
     runoff = t.sensor().filter("sensor = 'error'").select(
-        tp.plus_seconds("ts", F.lit(-1800)).alias("ts"), (F.col("v") / 1e5).alias("QRUNOFF")
+        # UTC, some seconds off the minute.
+        tp.plus_seconds("ts", F.lit(7 * 3600 - 1800) + F.dayofmonth("ts") - 16).alias("ts"), (F.col("v") / 1e5).alias("QRUNOFF")
     )
     return wf.prepare_forcing(towers, rain, light, "East", 40.0, -105.5, runoff=runoff)
 
@@ -130,15 +131,15 @@ def _(t):
     "veg_com:s doy:i soil_dailyavg:6 GPP_dailyavg:6 snow_depth_avg:6",
     "SELECT a.veg AS veg_com, a.doy, a.m AS soil_dailyavg, b.m AS \"GPP_dailyavg\", c.m AS snow_depth_avg FROM "
     "(SELECT veg, doy, avg(v) AS m FROM obsdoy WHERE doy IS NOT NULL GROUP BY ALL) a "
-    "LEFT JOIN (SELECT veg, doy, avg(w) AS m FROM obsdoy WHERE doy IS NOT NULL AND month(ts)>3 GROUP BY ALL) b USING (veg, doy) "
-    "LEFT JOIN (SELECT veg, dayofyear(ts) AS doy, avg(v) AS m FROM obs WHERE month(ts)<6 GROUP BY ALL) c USING (veg, doy)",
+    "LEFT JOIN (SELECT veg, doy, avg(w) AS m FROM obsdoy WHERE doy IS NOT NULL GROUP BY ALL) b USING (veg, doy) "
+    "LEFT JOIN (SELECT veg, dayofyear(ts) AS doy, avg(v) AS m FROM obs GROUP BY ALL) c USING (veg, doy)",
     "obsdoy",
 )
 def _(t):
     obs = t.obs().withColumnRenamed("veg", "veg_com")
     soil = obs.withColumnRenamed("v", "soil")
-    flux = obs.filter(F.month("ts") > 3).withColumnRenamed("w", "GPP")
-    snow = obs.filter(F.month("ts") < 6).select("veg_com", F.to_date("ts").alias("date"), F.col("v").alias("snow_depth"))
+    flux = obs.withColumnRenamed("w", "GPP")
+    snow = obs.select("veg_com", F.to_date("ts").alias("date"), F.col("v").alias("snow_depth"))
     return wf.daily_observations(soil, flux, snow, ["soil"])
 
 

@@ -215,12 +215,12 @@ def _(t):
 @query(
     "u2_concat_cases",
     "run:s ts:t x:6",
-    "SELECT 'base' AS run, ts, x FROM sim WHERE \"case\"='A' UNION ALL SELECT 'future', ts, x FROM sim WHERE \"case\"='R'",
+    "SELECT CASE \"case\" WHEN 'A' THEN 'base' WHEN 'R' THEN 'future' ELSE 'nitrogen' END AS run, ts, x FROM sim",
     "sim",
 )
 def _(t):
-    sides = rs.split_by(t.sim(), "case", ["A", "R"])
-    return rs.concat_cases({"base": sides["A"], "future": sides["R"]}, "run").select("run", "ts", "x")
+    sides = rs.split_by(t.sim(), "case", ["A", "R", "N"])
+    return rs.concat_cases({"base": sides["A"], "future": sides["R"], "nitrogen": sides["N"]}, "run").select("run", "ts", "x")
 
 
 @query(
@@ -260,12 +260,13 @@ def _(t):
 @query(
     "u6_split",
     "site:s n:i v:6",
-    "SELECT site, count(*) AS n, avg(\"view\") AS v FROM tgrid WHERE site='East' GROUP BY site",
+    "SELECT site, count(*) AS n, avg(\"view\") AS v FROM tgrid GROUP BY site",
     "tgrid",
 )
 def _(t):
-    east = rs.split_by(t.tower_grid(), "site", ["East", "West"])["East"]
-    return east.groupBy("site").agg(F.count(F.lit(1)).alias("n"), F.avg("view").alias("v"))
+    sides = rs.split_by(t.tower_grid(), "site", ["East", "West"])
+    east, west = (df.groupBy("site").agg(F.count(F.lit(1)).alias("n"), F.avg("view").alias("v")) for df in sides.values())
+    return east.unionByName(west)
 
 
 @query(

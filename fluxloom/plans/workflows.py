@@ -88,6 +88,7 @@ def prepare_forcing(
     Joins rain and radiation, fills the base tower from the other one, fills
     the rest by similar conditions, splits the flux, converts units, derives
     the communities' precipitation and moves to UTC without leap days.
+    ``runoff`` is stamped in UTC, to the minute.
     """
     joined = jn.join_sources(towers, precipitation, radiation, on=["ts"])
     roles = joined.withColumn("role", F.when(F.col("site") == base, "base").otherwise("fill"))
@@ -113,6 +114,9 @@ def prepare_forcing(
     out = rs.tag(out, ZBOT=2.0)
     by_community = de.apply_regimes(out, "PRECTmms", "Tair", "ts")
     if runoff is not None:
+        # On the tower's clock, as the rows still are.
+        local = tp.plus_seconds("ts", F.lit(round(zone_hours * 3600) + 30))
+        runoff = runoff.withColumn("ts", tp.bin_time(local, 60))
         by_community = de.add_series(
             by_community, runoff, ["ts"], "PRECTmms", "QRUNOFF", when=F.col("community") == "WM", missing="zero"
         )

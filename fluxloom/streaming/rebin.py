@@ -17,8 +17,12 @@ def rebin_stream(
     A bin is emitted once the watermark has passed its end; later rows for it
     are dropped. State holds one partial aggregate per open bin and key.
     Watermarks need zoned timestamps, so stamps are read in the session zone
-    and given back without one; the session runs in UTC.
+    and given back without one. The session must run in UTC: a zone with
+    daylight saving would merge or skip an hour.
     """
+    zone = events.sparkSession.conf.get("spark.sql.session.timeZone")
+    if zone not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
+        raise ValueError(f"spark.sql.session.timeZone is {zone}, must be UTC")
     fns = {"sum": F.sum, "mean": F.avg, "min": F.min, "max": F.max}
     out = []
     for col, how in aggs.items():
