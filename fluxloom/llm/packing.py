@@ -19,7 +19,7 @@ CAPACITY = 2048
 SLACK = 4
 #: Partitions that meet in one at each step up the tree, and bins a task takes at most before the tree stops narrowing.
 FAN_IN, PER_TASK = 8, 200_000
-#: Distinct space-separated chunks whose ids a worker remembers, over its tasks, and bytes of text it looks up in one go.
+#: Distinct space-separated chunks whose ids a worker remembers, over its tasks, and characters of text it looks up in one go.
 REMEMBERED, AT_ONCE = 1_000_000, 4 << 20
 _REMEMBERED: dict[str, tuple] = {}
 
@@ -67,16 +67,6 @@ def packed(sizes: np.ndarray, members: pa.ListArray, last: bool) -> pa.RecordBat
     return as_batch(total, (CAPACITY - total <= SLACK) | last, offsets, members.take(pa.array(order)).flatten())
 
 
-class Ids(dict):
-    """Ids of chunks as bytes; chunks asked for in vain are noted in ``new``."""
-
-    new: set[bytes] = set()
-
-    def __missing__(self, chunk: bytes) -> bytes:
-        self.new.add(chunk)
-        return b""
-
-
 def lookup(path: str) -> tuple:
     """A tokenizer and the ids of the chunks this worker has met, as bytes."""
     if path not in _REMEMBERED:
@@ -84,7 +74,7 @@ def lookup(path: str) -> tuple:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        _REMEMBERED[path] = Tokenizer.from_file(path), Ids()
+        _REMEMBERED[path] = Tokenizer.from_file(path), {}
     return _REMEMBERED[path]
 
 
@@ -106,37 +96,28 @@ def tokenized(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.Recor
 
     def cut(held: list[tuple]) -> None:
         # No token crosses white space, and white space itself has none, so chunks between ASCII spaces are told apart.
-        # Nearly all are known: only texts with a new one are looked up twice.
-        found, again = [], []
-        for k, (_, chunks) in enumerate(held):
-            remembered.new = set()
-            found.append(b"".join(map(remembered.__getitem__, chunks)))
-            if remembered.new:
-                again.append((k, remembered.new))
-        new = set().union(*[n for _, n in again])
+        new = set().union(*[chunks for _, chunks in held]).difference(remembered)
         if len(remembered) + len(new) > REMEMBERED:
             remembered.clear()
-            new = set().union(*[held[k][1] for k, _ in again])
+            new = set().union(*[chunks for _, chunks in held])
         if new:
             learn(tokenizer, remembered, list(new))
-        for k, _ in again:
-            found[k] = b"".join(map(remembered.__getitem__, held[k][1]))
-        for (doc_id, _), ids in zip(held, found, strict=True):
-            ids += b"\0\0\0\0"
+        for doc_id, chunks in held:
+            ids = b"".join(map(remembered.__getitem__, chunks)) + b"\0\0\0\0"
             for k, at in enumerate(range(0, len(ids), 4 * CAPACITY)):
                 part = ids[at : at + 4 * CAPACITY]
                 for column, value in zip(rows, (doc_id, k, at // 4, len(part) // 4, zlib.crc32(part)), strict=True):
                     column.append(value)
 
     held: list[tuple] = []
-    size = 0
+    chars = 0
     for batch in batches:
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), strict=True):
-            held.append((doc_id, (text or b"").split()))
-            size += len(text or b"")
-            if size > AT_ONCE:
+        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            held.append((doc_id, (text or "").encode().split()))
+            chars += len(text or "")
+            if chars > AT_ONCE:
                 cut(held)
-                held, size = [], 0
+                held, chars = [], 0
     cut(held)
     if not rows[0]:
         return
