@@ -128,6 +128,13 @@ def test_respiration_model_is_recovered(spark):
     assert stats.n == len(rows) and stats.balance < 1e-9 and stats.worst < 0.05
 
 
+def test_fit_that_has_not_converged_gives_nothing():
+    x = np.linspace(-0.002, 0.002, 30)
+    y = 2.0 * np.exp(200.0 * x)
+    assert all(math.isnan(v) for v in partition._fit_window(x, y, rounds=1))
+    assert partition._fit_window(x, y)[0] == pytest.approx(200.0)
+
+
 def test_sun_is_up_at_noon_and_down_at_midnight(spark):
     df = spark.sql("select timestamp_ntz'2024-06-21 12:00:00' as ts union all select timestamp_ntz'2024-06-21 00:00:00'")
     noon, night = [r[0] for r in df.select(partition.sun_elevation_sine("ts", 40.0, -105.5, -7.0)).collect()]
