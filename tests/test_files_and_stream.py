@@ -155,3 +155,14 @@ def test_streaming_rebin_equals_batch(spark, tmp_path, null):
     closed = rows[-1][1] - dt.timedelta(minutes=10)
     want = sorted(map(tuple, batch.filter(F.col("ts") <= F.lit(closed)).collect()), key=str)
     assert sorted(map(tuple, spark.table(name).collect()), key=str) == want and want
+
+
+def test_stream_refuses_a_session_zone_other_than_utc(spark):
+    df = spark.sql("SELECT 'a' AS site, timestamp_ntz'2024-03-10 02:30:00' AS ts, 1.0D AS v")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Denver")
+        with pytest.raises(ValueError, match="UTC"):
+            rebin_stream(df, ["site"], "ts", {"v": "sum"})
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
