@@ -256,7 +256,12 @@ def keep_one(docs: DataFrame, width: int = WIDTH, radius: int = RADIUS) -> DataF
     The classes decide which ids go; only rows of those ids are looked at
     again. Of rows that share the kept id one stays.
     """
-    found = settle(classes(docs, width, radius).select("doc_id", "component_id"))
+    return keep_first(docs, classes(docs, width, radius))
+
+
+def keep_first(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """``docs`` with one row of each class in ``found`` (``doc_id, component_id``): the one with the smallest doc_id."""
+    found = settle(found.select("doc_id", "component_id"))
     gone = settle(found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct())
     twice = found.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_id"))
     twice = settle(twice.join(gone, twice["_id"].eqNullSafe(gone["_id"]), "left_anti"))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from fluxloom.llm import chat, chunks, components, langid, mixing, packing, pii, quality, queries, simhash, suffixes, topk
+from fluxloom.llm import chat, chunks, components, langid, mixing, near, packing, pii, quality, queries, simhash, suffixes, topk
 
 SHARED = "the same long passage stands in several of these texts, word for word, and goes on for a good while yet " * 2
 AWKWARD = [
@@ -147,6 +147,48 @@ def test_keep_one(awkward):
     assert sorted(r.doc_id for r in kept.where("doc_id is not null").collect()) == sorted({r.component_id for r in simhash.classes(awkward).collect() if r.component_id is not None})
 
 
+def jaccard_classes(rows):
+    """The smallest id of each row's class, every pair compared."""
+    kept = []
+    for _, t in rows:
+        words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+        kept.append(frozenset(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))))
+    label = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            i = len(kept[a] & kept[b])
+            if label[a] != label[b] and 9 * i >= 4 * (len(kept[a]) + len(kept[b])):
+                label = [label[b] if x == label[a] else x for x in label]
+    first = {}
+    for (i, _), x in zip(rows, label, strict=True):
+        if i is not None:
+            first[x] = min(i, first.get(x, i))
+    return [(i, first.get(x)) for (i, _), x in zip(rows, label, strict=True)]
+
+
+@pytest.mark.parametrize("name", ["docs", "awkward", "edited"])
+def test_near_copies(name, request, spark, sf_dir):
+    if name == "edited":
+        rng = np.random.default_rng(3)
+        rows = []
+        for base in range(12):
+            words = [f"w{x}" for x in rng.integers(0, 3000, int(rng.integers(20, 300)))]
+            for _ in range(12):
+                own = list(words)
+                for at in rng.integers(0, len(own), int(rng.integers(0, 1 + len(own) // 20))):
+                    own[at] = f"other{rng.integers(0, 9)}"
+                rows.append((len(rows), " ".join(own[int(rng.integers(0, 5)) :])))
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    else:
+        df = request.getfixturevalue(name)
+    want = jaccard_classes(texts(df))
+    assert collections.Counter((r.doc_id, r.component_id) for r in near.classes(df).collect()) == collections.Counter(want)
+    if name == "edited":
+        kept = {c for _, c in want}
+        assert len(kept) < len(want) and {r.doc_id for r in near.keep_one(df).collect()} == kept
+        assert {r.doc_id for r in corpus_pipeline.near_dedup(spark, df, sf_dir).collect()} == kept
+
+
 def base_counts(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
     lines = [x for x in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
