@@ -227,6 +227,52 @@ def test_quality(name, request, spark, sf_dir):
         assert r.kept == (not r.base_failed and r.score >= quality.THRESHOLD)
 
 
+def test_quality_of_texts_left_out(spark):
+    """Labels decide what is counted as trusted, not what passes."""
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    good = {r.doc_id for r in labels.where("quality = 1 and toxic = 0").collect()} - {r.doc_id for r in labels.where("quality = 0 or toxic = 1").collect()}
+    bad = {r.doc_id for r in labels.where("quality = 0").collect()}
+    judged = quality.judge(df, labels.where("doc_id % 2 = 0 or quality = 0")).where("not base_failed").collect()
+    rate = lambda ids: sum(r.kept for r in judged if r.doc_id in ids) / sum(r.doc_id in ids for r in judged)
+    assert rate({i for i in good if i % 2}) > 0.95 and rate({i for i in good if i % 2 == 0}) > 0.95
+    assert rate(bad) < 0.4
+
+
+def test_quality_scores_leave_own_counts_out(awkward, docs, spark, sf_dir):
+    df = docs.select("doc_id", "text").where("doc_id < 90").union(docs.select("doc_id", "text").where("doc_id < 20"))
+    df = df.union(awkward.select(F.col("doc_id") + 1000, "text"))
+    rows = spark.read.parquet(f"{sf_dir}/labels.parquet").collect()
+    trusted = {r.doc_id for r in rows if r.quality == 1 and r.toxic == 0} - {r.doc_id for r in rows if not (r.quality == 1 and r.toxic == 0)} | {1005, 1004}
+    labels = spark.createDataFrame([(i, 1, 0) for i in trusted], "doc_id long, quality int, toxic int")
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+
+    def grams(text):
+        h = [xxhash.xxh64_intdigest(w.encode(), 42) for w in re.findall(r"[^\x20\x09-\x0D]+", text or "")]
+        pairs = [xxhash.xxh64_intdigest(b.to_bytes(8, "little"), xxhash.xxh64_intdigest(a.to_bytes(8, "little"), 42)) for a, b in zip(h, h[1:], strict=False)]
+        return [signed(x) % quality.BUCKETS for x in h + pairs]
+
+    raw, good, copies = collections.Counter(), collections.Counter(), collections.Counter(texts(df))
+    for i, t in texts(df):
+        raw.update(g := grams(t))
+        good.update(g if i in trusted else [])
+    a, all_raw, all_good = quality.SMOOTHING, raw.total(), good.total()
+    want = {}
+    for i, t in copies:
+        g = grams(t)
+        own = collections.Counter(g * copies[i, t] if i in trusted else [])
+        rest = all_good - own.total()
+        want[i, t] = sum(math.log(((good[b] - own[b]) * all_raw / raw[b] + a) / (rest + a)) for b in g) / len(g) if g else None
+    long = [want[i, t] for i, t in want if i in trusted and base_counts(t)[0] >= 20]
+    least = min(quality.THRESHOLD, float(np.percentile(long, 100 * quality.STRICT)))
+    found = quality.judge(df.repartition(3), labels).collect()
+    assert collections.Counter((r.doc_id, r.text) for r in found) == copies
+    for r in found:
+        score = want[r.doc_id, r.text]
+        assert r.score == (None if score is None else pytest.approx(score, abs=1e-9))
+        assert score is None or abs(score - least) < 1e-9 or r.kept == (not r.base_failed and score >= least)
+
+
 def test_quality_keeps_columns(awkward, spark, sf_dir):
     kept = quality.keep(awkward, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     assert kept.schema.names == awkward.schema.names and kept.where("score <> 'clash'").isEmpty()
