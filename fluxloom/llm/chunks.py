@@ -82,7 +82,7 @@ def chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def repeated(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """All chunks (settled), and those of at least ``LEAST`` bytes that came before: ``doc_id, number, start, length``.
+    """All chunks (settled), and those that came before: ``doc_id, number, start, length``.
 
     The first occurrence of a digest, by doc_id and place, stays. First
     occurrences are found by an aggregate that is reduced before the shuffle
@@ -91,10 +91,10 @@ def repeated(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     texts = docs.select(F.col("doc_id").cast("bigint"), "text")
     chunks = settle(texts.mapInArrow(chunked, "doc_id long, number int, start long, length long, digest binary"))
-    long_ones = chunks.where(F.col("length") >= LEAST)
-    firsts = long_ones.groupBy("digest").agg(F.min(F.struct("doc_id", "number")).alias("first"), F.count("*").alias("n"))
+    held = chunks.where("length > 0")
+    firsts = held.groupBy("digest").agg(F.min(F.struct("doc_id", "number")).alias("first"), F.count("*").alias("n"))
     firsts = settle(firsts.where("n > 1").select("digest", "first"))
-    later = long_ones.join(firsts, "digest").where(F.struct("doc_id", "number") != F.col("first"))
+    later = held.join(firsts, "digest").where(F.struct("doc_id", "number") != F.col("first"))
     return chunks, later.select("doc_id", "number", "start", "length")
 
 
@@ -104,7 +104,8 @@ def dedup(docs: DataFrame) -> DataFrame:
     ``spans`` are the byte spans (``start:end``, end exclusive, adjacent ones
     joined) whose content came before in a chunk of a smaller doc_id, or
     earlier in the text; ``n_removed`` their bytes, ``n_repeated`` their
-    chunks. Cuts depend on the bytes around them alone, so an insertion moves
+    chunks. A text's last chunk and a text shorter than ``LEAST`` count like
+    any other. Cuts depend on the bytes around them alone, so an insertion moves
     chunks but doesn't change those beyond the next cut.
 
     One row per doc_id: rows that share one count as one document, whose equal

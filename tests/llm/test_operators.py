@@ -372,6 +372,17 @@ def test_chunk_dedup(name, request):
         assert sum(int(b) - int(a) for a, b in (s.split(":") for s in got[i].spans.split(",") if s)) == removed
 
 
+def test_chunks_short_texts_and_tails(spark):
+    whole = " ".join(hashlib.md5(str(i).encode()).hexdigest()[: 3 + i % 6] for i in range(60))
+    rows = [(i, "short text") for i in range(5)] + [(5, ""), (6, ""), (7, None)]
+    rows += [(10 + 2 * n + k, whole[: 200 + n]) for n in range(60) for k in (0, 1)]
+    found = {r.doc_id: r for r in chunks.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [found[i].n_removed for i in range(8)] == [0, 10, 10, 10, 10, 0, 0, 0]
+    assert [found[i].spans for i in (0, 1, 5)] == ["", "0:10", ""]
+    for i, t in rows[8:]:
+        assert i % 2 == 0 or (found[i].n_removed, found[i].spans) == (len(t), f"0:{len(t)}")
+
+
 def test_chunks_find_a_moved_passage(spark):
     words = " ".join(hashlib.md5(str(i).encode()).hexdigest()[: 3 + i % 6] for i in range(120))
     df = spark.createDataFrame([(1, "begin here " + words), (2, "quite another opening, longer than that, " + words + " end")], "doc_id long, text string")
