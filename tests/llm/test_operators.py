@@ -265,7 +265,8 @@ def test_quality_scores_leave_own_counts_out(awkward, docs, spark, sf_dir):
         want[i, t] = sum(math.log(((good[b] - own[b]) * all_raw / raw[b] + a) / (rest + a)) for b in g) / len(g) if g else None
     long = [want[i, t] for i, t in want if i in trusted and base_counts(t)[0] >= 20]
     least = min(quality.THRESHOLD, float(np.percentile(long, 100 * quality.STRICT)))
-    found = quality.judge(df.repartition(3), labels).collect()
+    found = quality.judge(df.repartition(3).withColumn("_id", F.lit("clash")), labels).collect()
+    assert {r._id for r in found} == {"clash"}
     assert collections.Counter((r.doc_id, r.text) for r in found) == copies
     for r in found:
         score = want[r.doc_id, r.text]
