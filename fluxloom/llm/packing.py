@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import zlib
 from collections.abc import Iterator
 
@@ -11,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fluxloom.llm.tokens import encoded
 from fluxloom.session import settle
 
 #: Tokens of a sequence.
@@ -19,9 +19,6 @@ CAPACITY = 2048
 SLACK = 4
 #: Partitions that meet in one at each step up the tree, and bins a task takes at most before the tree stops narrowing.
 FAN_IN, PER_TASK = 8, 200_000
-#: Distinct space-separated chunks whose ids a worker remembers, over its tasks, and characters of text it looks up in one go.
-REMEMBERED, AT_ONCE = 1_000_000, 4 << 20
-_REMEMBERED: dict[str, tuple] = {}
 
 MEMBER = "struct<doc_id:bigint,piece:int,start:bigint,length:bigint,ids_crc32:bigint>"
 BIN = f"total int, done boolean, members array<{MEMBER}>"
@@ -67,58 +64,16 @@ def packed(sizes: np.ndarray, members: pa.ListArray, last: bool) -> pa.RecordBat
     return as_batch(total, (CAPACITY - total <= SLACK) | last, offsets, members.take(pa.array(order)).flatten())
 
 
-def lookup(path: str) -> tuple:
-    """A tokenizer and the ids of the chunks this worker has met, as bytes."""
-    if path not in _REMEMBERED:
-        # Spark's tasks already use every core; threads inside one would only wait for each other.
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        _REMEMBERED[path] = Tokenizer.from_file(path), {}
-    return _REMEMBERED[path]
-
-
-def learn(tokenizer, remembered: dict[bytes, bytes], new: list[bytes]) -> None:
-    """Ids of chunks, all in one call; a chunk without tokens has none."""
-    found = tokenizer.encode([c.decode() for c in new], is_pretokenized=True, add_special_tokens=False)
-    ids = np.array(found.ids, "<u4").tobytes()
-    ends = (4 * np.searchsorted(np.array(found.word_ids, np.int64), np.arange(len(new)), "right")).tolist()
-    start = 0
-    for c, end in zip(new, ends, strict=True):
-        remembered[c] = ids[start:end]
-        start = end
-
-
 def tokenized(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     """Cut every text into pieces; full pieces are bins of their own, the rest of the partition is packed."""
-    tokenizer, remembered = lookup(path)
     rows: list[list] = [[], [], [], [], []]
-
-    def cut(held: list[tuple]) -> None:
-        # No token crosses white space, and white space itself has none, so chunks between ASCII spaces are told apart.
-        new = set().union(*[chunks for _, chunks in held]).difference(remembered)
-        if len(remembered) + len(new) > REMEMBERED:
-            remembered.clear()
-            new = set().union(*[chunks for _, chunks in held])
-        if new:
-            learn(tokenizer, remembered, list(new))
-        for doc_id, chunks in held:
-            ids = b"".join(map(remembered.__getitem__, chunks)) + b"\0\0\0\0"
-            for k, at in enumerate(range(0, len(ids), 4 * CAPACITY)):
-                part = ids[at : at + 4 * CAPACITY]
-                for column, value in zip(rows, (doc_id, k, at // 4, len(part) // 4, zlib.crc32(part)), strict=True):
-                    column.append(value)
-
-    held: list[tuple] = []
-    chars = 0
-    for batch in batches:
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            held.append((doc_id, (text or "").encode().split()))
-            chars += len(text or "")
-            if chars > AT_ONCE:
-                cut(held)
-                held, chars = [], 0
-    cut(held)
+    texts = (row for batch in batches for row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
+    for doc_id, ids in encoded(texts, path):
+        ids += b"\0\0\0\0"
+        for k, at in enumerate(range(0, len(ids), 4 * CAPACITY)):
+            part = ids[at : at + 4 * CAPACITY]
+            for column, value in zip(rows, (doc_id, k, at // 4, len(part) // 4, zlib.crc32(part)), strict=True):
+                column.append(value)
     if not rows[0]:
         return
     members = pa.StructArray.from_arrays([pa.array(r, f.type) for r, f in zip(rows, _MEMBER, strict=True)], fields=list(_MEMBER))

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fluxloom.llm import chat, chunks, langid, mixing, packing, pii, quality, simhash, suffixes, topk
+from fluxloom.llm import chat, chunks, langid, manifest, mixing, packing, pii, quality, simhash, suffixes, tokenfile, topk, whitening
 from fluxloom.llm.common import table
 
 
@@ -76,11 +76,41 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), 4)
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = tokenfile.write(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return tokenfile.read(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    more = F.when(tampered, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    found = manifest.manifest(table(spark, sf_dir, "documents"), changed={"n_chars": more})
+    found = found.withColumn("folded_root", manifest.fold(F.col("changed_leaf"), F.col("path")))
+    return found.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(manifest.siblings(F.col("path")).cast("binary"), 256).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_pii, op2_chunk_dedup, op3_simhash, op4_quality, op5_top_k, op6_packing, op7_language, op8_chat, op9_suffix_dedup, op10_mixing)
+    for f in (op1_pii, op2_chunk_dedup, op3_simhash, op4_quality, op5_top_k, op6_packing, op7_language, op8_chat, op9_suffix_dedup, op10_mixing, op11_whitening, op12_token_files, op13_manifest)
 }
 
+def _leaf_field(value: str) -> str:
+    text = f"CAST({value} AS VARCHAR)"
+    return f"coalesce(strlen({text}) || ':' || {text}, '-')"
+
+
 SQL = {
     "op5_top_k": """
         WITH v AS (
@@ -171,4 +201,51 @@ SQL = {
             CAST(size * (whole + CASE WHEN size > 0 AND below + size / 2.0::DOUBLE <= target - whole * source_size THEN 1 ELSE 0 END) AS BIGINT) AS taken
         FROM x
     """,
+    "op13_manifest": """
+        WITH RECURSIVE d AS (
+            SELECT doc_id, coalesce('+' || lang, '') AS tree, sha256(concat({fields}, {n_chars}, {text})) AS leaf,
+                sha256(concat({fields}, {changed}, {text})) AS changed
+            FROM (SELECT *, n_chars + CAST(xor(list_reduce(
+                list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+                lambda c, b: list_reduce(list_prepend(xor(c, b), CAST(range(8) AS BIGINT[])),
+                    lambda x, i: xor(x >> 1, CASE WHEN (x & 1) = 1 THEN 3988292384::BIGINT ELSE 0::BIGINT END))
+            ), 4294967295::BIGINT) % 7 = 0 AS BIGINT) AS more FROM documents)
+        ), l AS (
+            SELECT *, row_number() OVER (ORDER BY tree, doc_id NULLS FIRST, leaf) AS id,
+                row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n
+            FROM d
+        ), nodes AS (
+            SELECT tree, 0 AS lvl, pos, n, leaf AS h FROM l
+            UNION ALL
+            SELECT tree, lvl + 1, pos // 2, (n + 1) // 2, sha256(h || coalesce(beside, ''))
+            FROM (SELECT *, lead(h) OVER (PARTITION BY tree ORDER BY pos) AS beside FROM nodes WHERE n > 1) WHERE pos % 2 = 0
+        ), s AS (
+            SELECT tree, h AS subroot, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n FROM nodes WHERE n = 1
+        ), uppers AS (
+            SELECT 0 AS lvl, pos, n, subroot AS h FROM s
+            UNION ALL
+            SELECT lvl + 1, pos // 2, (n + 1) // 2, sha256(h || coalesce(beside, ''))
+            FROM (SELECT *, lead(h) OVER (ORDER BY pos) AS beside FROM uppers WHERE n > 1) WHERE pos % 2 = 0
+        ), steps AS (
+            SELECT l.id, k.lvl, CASE WHEN (l.pos >> k.lvl) % 2 = 1 THEN 'L' ELSE 'R' END || coalesce(o.h, '') AS step
+            FROM l JOIN (SELECT DISTINCT tree, lvl FROM nodes WHERE n > 1) AS k USING (tree)
+            LEFT JOIN nodes AS o ON o.tree = l.tree AND o.lvl = k.lvl AND o.pos = xor(l.pos >> k.lvl, 1)
+            UNION ALL
+            SELECT l.id, 1000 + k.lvl, CASE WHEN (s.pos >> k.lvl) % 2 = 1 THEN 'L' ELSE 'R' END || coalesce(o.h, '')
+            FROM l JOIN s USING (tree) CROSS JOIN (SELECT DISTINCT lvl FROM uppers WHERE n > 1) AS k
+            LEFT JOIN uppers AS o ON o.lvl = k.lvl AND o.pos = xor(s.pos >> k.lvl, 1)
+        ), p AS (
+            SELECT id, list(step ORDER BY lvl) AS path FROM steps GROUP BY id
+        ), f AS (
+            SELECT l.doc_id, l.leaf, s.subroot, (SELECT h FROM uppers WHERE n = 1) AS root,
+                sha256(coalesce(array_to_string(list_transform(p.path, lambda x: substr(x, 2)), ''), '')) AS proof_sha256,
+                list_reduce(list_prepend(l.changed, coalesce(p.path, CAST([] AS VARCHAR[]))),
+                    lambda a, x: sha256(CASE WHEN x[1] = 'L' THEN substr(x, 2) || a ELSE a || substr(x, 2) END)) AS folded_root
+            FROM l JOIN s USING (tree) LEFT JOIN p USING (id)
+        )
+        SELECT *, folded_root = root AS verified FROM f
+    """.format(
+        fields=", ".join(_leaf_field(c) for c in ("doc_id", "source", "lang")),
+        n_chars=_leaf_field("n_chars"), text=_leaf_field("text"), changed=_leaf_field("coalesce(more, n_chars)"),
+    ),
 }
