@@ -6,12 +6,12 @@ from collections.abc import Sequence
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Rows a broadcast side may hold; a row of a dimension is well under 1 KB.
-MAX_BROADCAST_ROWS = 100_000
+#: Rows and bytes a broadcast side may hold.
+MAX_BROADCAST_ROWS, MAX_BROADCAST_BYTES = 100_000, 64 << 20
 
 
 _ARROW = {
@@ -37,13 +37,30 @@ def from_rows(spark, rows: Sequence[tuple], schema: str) -> DataFrame:
     return spark.createDataFrame(pa.Table.from_arrays(columns, names=[f.name for f in fields]))
 
 
-def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """Whether the side may be broadcast.
+def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+    """Whether the side may be broadcast, by its rows and the bytes they hold.
 
-    Counting reads no columns: a settled or stored table answers from its file
-    footers.
+    Fixed-width columns aren't read; of others only their lengths are.
     """
-    return df.count() <= max_rows
+    loose = [F.octet_length(F.col(f"`{f.name}`")) for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    nested = [f"`{f.name}`" for f in df.schema.fields if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))]
+    if nested:
+        loose.append(F.octet_length(F.to_json(F.struct(*nested))))
+    width = 8 * len(df.columns)
+    held = sum((F.coalesce(F.sum(x.cast("long")), F.lit(0)) for x in loose), F.lit(0))
+    n, more = df.agg(F.count(F.lit(1)), held).first()
+    return n <= max_rows and n * width + more <= max_bytes
+
+
+def hot_keys(df: DataFrame, on: Sequence[str], share: float = 1 / 256) -> list[int]:
+    """Hashes of the keys that hold more than ``share`` of all rows, from one frequent-items sketch a task.
+
+    At most ``1 / share`` of them; the sketch tracks so many items that none is missed.
+    """
+    most = max(1, int(1 / share))
+    top = F.expr(f"approx_top_k(h, {most}, {min(10_000, 32 * most)})")
+    n, found = df.select(F.xxhash64(*on).alias("h")).agg(F.count(F.lit(1)), top).first()
+    return [r["item"] for r in found or [] if r["count"] > share * n]
 
 
 def attach(
@@ -52,30 +69,36 @@ def attach(
     on: list[str],
     how: str = "left",
     max_rows: int = MAX_BROADCAST_ROWS,
-    salts: int = 64,
     null_safe: bool = False,
+    where: Column | None = None,
+    max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Join a side expected to be small.
 
-    Within ``max_rows`` it is broadcast and the large side is not shuffled at
-    all. Beyond that each of its rows is copied ``salts`` times and the large
-    side spreads every key over that many tasks, so a hot key cannot end up
-    in one task. ``null_safe`` lets NULL keys meet, as grouping does. Joins that
-    keep unmatched rows of the small side are refused: its copies would repeat
-    them.
+    Within ``max_rows`` and ``max_bytes`` it is broadcast and the large side is
+    not shuffled at all. Beyond that hot keys are found by a sketch. Their rows
+    stay where they are and meet the few rows of the small side that have these
+    keys, broadcast if they fit; all others are joined by a shuffle, in which
+    no key is hot. What a row goes through depends on its key alone.
+    ``null_safe`` lets NULL keys meet, as grouping does; ``where`` is a further
+    condition on columns of both sides. Joins that keep unmatched rows of the
+    small side are refused.
     """
     if how not in ("inner", "left", "left_semi", "left_anti", "semi", "anti"):
         raise ValueError(f"attach keeps rows of the large side only, not how={how!r}")
-    fits = is_small(small, max_rows)
-    if not fits:
-        small = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        df = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int"))
-        on = [*on, "_salt"]
-    if null_safe:
-        right = small.withColumnsRenamed({k: f"_r_{k}" for k in on})
-        cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in on])
-        joined = df.join(F.broadcast(right) if fits else right, cond, how)
-        joined = joined.drop(*[f"_r_{k}" for k in on])
-    else:
-        joined = df.join(F.broadcast(small) if fits else small, on, how)
-    return joined.drop("_salt")
+    names = {k: f"_r_{k}" for k in on}
+    same = [F.col(k).eqNullSafe(F.col(r)) if null_safe else F.col(k) == F.col(r) for k, r in names.items()]
+    met = reduce(lambda a, b: a & b, same if where is None else [*same, where])
+
+    def joined(rows: DataFrame, side: DataFrame, fits: bool) -> DataFrame:
+        side = side.withColumnsRenamed(names)
+        return rows.join(F.broadcast(side) if fits else side, met, how).drop(*names.values())
+
+    if is_small(small, max_rows, max_bytes):
+        return joined(df, small, True)
+    hot = hot_keys(df, on)
+    if not hot:
+        return joined(df, small, False)
+    is_hot = F.xxhash64(*on).isin(hot)
+    named = small.filter(is_hot)
+    return joined(df.filter(is_hot), named, is_small(named, max_rows, max_bytes)).unionByName(joined(df.filter(~is_hot), small.filter(~is_hot), False))

@@ -11,8 +11,6 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,62 +46,119 @@ def temperature_term(tair) -> Column:
     return 1.0 / (T_REF - T_ZERO) - 1.0 / (t - T_ZERO)
 
 
-def _fit_window(x: np.ndarray, y: np.ndarray, rounds: int = 40) -> tuple[float, float, float]:
-    """Least squares of y = Rref * exp(E0 * x); returns E0, its error and Rref, all NaN if it has not converged."""
-    e0, rref = 100.0, max(float(np.mean(y)), 1e-6)
-    for _ in range(rounds):
-        shape = np.exp(e0 * x)
-        grad = np.column_stack([rref * x * shape, shape])
-        move, *_ = np.linalg.lstsq(grad, y - rref * shape, rcond=None)
-        e0 = float(np.clip(e0 + move[0], -1000.0, 2000.0))
-        rref = rref + float(move[1])
-        if abs(move[0]) < 1e-8 * max(1.0, abs(e0)):
-            break
-    else:
-        return math.nan, math.nan, math.nan
-    shape = np.exp(e0 * x)
-    grad = np.column_stack([rref * x * shape, shape])
-    rest = y - rref * shape
-    cov = np.linalg.pinv(grad.T @ grad) * (rest @ rest) / max(len(y) - 2, 1)
-    return e0, float(np.sqrt(max(cov[0, 0], 0.0))), rref
-
-
-def sensitivity_windows(
-    night: DataFrame, keys: Sequence[str], ts: str, nee: str, tair: str, half_days: int = 7, step_days: int = 5, min_rows: int = 6, min_range: float = 5.0
+def window_points(
+    night: DataFrame, keys: Sequence[str], ts: str, nee: str, tair: str, half_days: int, step_days: int
 ) -> DataFrame:
-    """E0 with its error for every window of night rows.
+    """One row per (series, window) with its night rows as ``points`` (x, y), the temperature range and their number.
 
-    A group is one series and at most 15 days of rows, 720 at half hours.
+    A window is at most ``2 * half_days + 1`` days of one series: 720 half
+    hours by default, whatever the length of the series.
     """
-    keys = list(keys)
     day = tp.epoch_day(ts)
     first = F.ceil((day - half_days) / step_days)
     last = F.floor((day + half_days) / step_days)
-    rows = night.select(
-        *keys, F.explode(F.sequence(first, last)).alias("window"),
-        temperature_term(tair).alias("x"), F.col(nee).alias("y"), F.col(tair).alias("t"),
+    point = F.struct(temperature_term(tair).alias("x"), F.col(nee).alias("y"))
+    return (
+        night.select(*keys, F.explode(F.sequence(first, last)).alias("window"), point.alias("_p"), F.col(tair).alias("_t"))
+        .groupBy(*keys, "window")
+        .agg(
+            # In order, so that sums of doubles agree between runs.
+            F.array_sort(F.collect_list("_p")).alias("points"),
+            (F.max("_t") - F.min("_t")).alias("range"),
+            F.count(F.lit(1)).alias("n"),
+        )
     )
 
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        head = pdf.iloc[:1][[*keys, "window"]].reset_index(drop=True)
-        usable = len(pdf) >= min_rows and pdf["t"].max() - pdf["t"].min() >= min_range
-        e0, err, rref = _fit_window(pdf["x"].to_numpy(), pdf["y"].to_numpy()) if usable else (None, None, None)
-        return head.assign(e0=e0, e0_sd=err, rref=rref, n=len(pdf)).astype(
-            {"e0": "float64", "e0_sd": "float64", "rref": "float64"}
+
+def _normal_sums(points: Column, e0: Column, then) -> Column:
+    """``then(a, b, c, d, e)`` of the sums of s², s·y, x·s², x²·s² and x·s·y, with s = exp(e0·x)."""
+    shaped = F.transform(points, lambda p: F.struct(F.exp(e0 * p["x"]).alias("s"), p["x"].alias("x"), p["y"].alias("y")))
+
+    def add(done: Column, p: Column) -> Column:
+        s, x, y = p["s"], p["x"], p["y"]
+        terms = {"a": s * s, "b": s * y, "c": x * s * s, "d": x * x * s * s, "e": x * s * y}
+        return F.struct(*[(done[k] + v).alias(k) for k, v in terms.items()])
+
+    zero = F.struct(*[F.lit(0.0).alias(k) for k in "abcde"])
+    return F.aggregate(shaped, zero, add, lambda done: then(*[done[k] for k in "abcde"]))
+
+
+def _step(points: Column, e0: Column, most: float) -> Column:
+    """One Gauss-Newton step of E0 with Rref at its best for the present one: ``e0, move``."""
+
+    def solved(a: Column, b: Column, c: Column, d: Column, e: Column) -> Column:
+        rref = F.try_divide(b, a)
+        move = F.try_divide(a * (e - rref * c), rref * (a * d - c * c))
+        damped = F.greatest(F.lit(-most), F.least(F.lit(most), move))
+        # greatest and least pass over NULL: no step at all must stay unknown.
+        to = F.when(move.isNotNull() & ~F.isnan(move), F.greatest(F.lit(-1000.0), F.least(F.lit(2000.0), e0 + damped)))
+        return F.struct(to.alias("e0"), move.alias("move"))
+
+    return _normal_sums(points, e0, solved)
+
+
+def window_fits(
+    night: DataFrame, keys: Sequence[str], ts: str, nee: str, tair: str, half_days: int, step_days: int, min_rows: int,
+    min_range: float, rounds: int, start: float, most_move: float,
+) -> DataFrame:
+    """Every window's fit as ``f`` (e0, its last move, rref, the parameter's lever and the squared residuals), as one expression."""
+    points = F.col("points")
+    begin = F.struct(F.lit(start).alias("e0"), F.lit(None).cast("double").alias("move"))
+
+    def ends(state: Column) -> Column:
+        return _normal_sums(
+            points, state["e0"],
+            lambda a, b, c, d, e: F.struct(
+                state["e0"].alias("e0"), state["move"].alias("move"), F.try_divide(b, a).alias("rref"), F.try_divide(a, a * d - c * c).alias("lever")
+            ),
         )
 
-    types = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
-    schema = ", ".join(f"`{c}` {types[c]}" for c in [*keys, "window"])
-    return rows.groupBy(*keys, "window").applyInPandas(
-        fit, f"{schema}, e0 double, e0_sd double, rref double, n long"
+    def residual(end: Column) -> Column:
+        left = F.aggregate(points, F.lit(0.0), lambda done, p: done + (p["y"] - end["rref"] * F.exp(end["e0"] * p["x"])) ** 2)
+        return F.struct(*[end[c].alias(c) for c in ("e0", "move", "rref", "lever")], left.alias("left"))
+
+    fitted = F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), begin, lambda state, _: _step(points, state["e0"], most_move), ends)
+    usable = (F.col("n") >= min_rows) & (F.col("range") >= min_range)
+    # A one-element array names the fit for the expression over it.
+    fit = F.when(usable, F.transform(F.array(fitted), residual)[0])
+    windows = window_points(night, keys, ts, nee, tair, half_days, step_days)
+    return windows.select(*keys, "window", "n", "range", fit.alias("f"))
+
+
+def sensitivity_windows(
+    night: DataFrame, keys: Sequence[str], ts: str, nee: str, tair: str, half_days: int = 7, step_days: int = 5, min_rows: int = 6,
+    min_range: float = 5.0, rounds: int = 30, start: float = 100.0, most_move: float = 100.0, tolerance: float = 1e-7,
+) -> DataFrame:
+    """E0 with its error for every window of night rows: ``window, n, status, e0, e0_sd, rref``.
+
+    Least squares of y = Rref * exp(E0 * x) by ``rounds`` damped Gauss-Newton
+    steps (E0 moves by ``most_move`` at most), each from the five sums of the
+    normal equations. The rows of a window are brought together once; all
+    steps run on them where they are, as one expression. ``status`` is
+    ``converged``, ``not converged`` (the last step still moved E0 by more than
+    ``tolerance`` of it), ``few rows`` or ``narrow range``; only a converged
+    window has values.
+    """
+    keys = list(keys)
+    fits = window_fits(night, keys, ts, nee, tair, half_days, step_days, min_rows, min_range, rounds, start, most_move)
+    # Written once, so that no later filter works the fit out again.
+    out = settle(fits).select(*keys, "window", "n", "range", "f.*")
+    status = (
+        F.when(F.col("n") < min_rows, "few rows")
+        .when(F.col("range") < min_range, "narrow range")
+        .when(F.abs("move") < tolerance * F.greatest(F.lit(1.0), F.abs("e0")), "converged")
+        .otherwise("not converged")
     )
+    variance = F.col("lever") / (F.col("rref") * F.col("rref")) * F.col("left") / F.greatest(F.col("n") - 2, F.lit(1))
+    values = {"e0": F.col("e0"), "e0_sd": F.sqrt(F.greatest(variance, F.lit(0.0))), "rref": F.col("rref")}
+    return out.select(*keys, "window", "n", status.alias("status"), *[F.when(status == "converged", v).alias(c) for c, v in values.items()])
 
 
 def series_sensitivity(
     windows: DataFrame, keys: Sequence[str], best: int = 3, lo: float = 30.0, hi: float = 450.0, max_ratio: float = 0.5
 ) -> DataFrame:
     """One E0 per series: the mean of its most certain plausible windows."""
-    # A fit that has not converged is NaN, which lies in no range.
+    # A fit that has not converged is NULL, which lies in no range.
     ok = windows.filter(F.col("e0").between(lo, hi) & (F.col("e0_sd") <= max_ratio * F.col("e0")))
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy("e0_sd", "window"))
     return ok.withColumn("_r", rank).filter(F.col("_r") <= best).groupBy(*keys).agg(F.avg("e0").alias("e0"))

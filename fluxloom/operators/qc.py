@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fluxloom.functions import timeparts as tp
 from fluxloom.functions import values as vl
 from fluxloom.operators.attach import attach
-from fluxloom.session import settle
+from fluxloom.session import release, settle
 
 SENTINEL = -9999.0
 
@@ -57,27 +58,77 @@ def null_outside(df: DataFrame, bounds: Mapping[str, tuple]) -> DataFrame:
 RULE_SCHEMA = "site string, variable string, start date, end date, lower double, upper double"
 
 
+def rule_stretches(rules: DataFrame) -> DataFrame:
+    """Rules of each (site, variable) as disjoint stretches of days with the tightest limits: ``site, variable, first, last, lower, upper``.
+
+    A sweep over the days at which rules begin and end: between two of them
+    the same rules hold. A rule covers a run of stretches, which is cut into
+    blocks of 1, 2, 4 … aligned stretches (at most two of a size); limits are
+    gathered per block, and a stretch takes the tightest of the blocks it
+    lies in. So the work is (rules × log of their number), also where all
+    rules overlap. Rules without a first or last day, without a limit, or of
+    no day between them hold nowhere.
+    """
+    key = ["site", "variable"]
+    live = rules.select(
+        *key, F.date_add("start", 1).alias("_from"), F.col("end").alias("_to"), F.col("lower").cast("double"), F.col("upper").cast("double")
+    ).where((F.col("_from") < F.col("_to")) & (F.col("lower").isNotNull() | F.col("upper").isNotNull()))
+    edges = live.select(*key, F.explode(F.array("_from", "_to")).alias("_day")).distinct()
+    order = Window.partitionBy(*key).orderBy("_day")
+    edges = settle(edges.select(*key, "_day", (F.row_number().over(order) - 1).cast("long").alias("_i"), F.lead("_day").over(order).alias("_next")))
+    at = lambda day, name: edges.select(*key, F.col("_day").alias(day), F.col("_i").alias(name))
+    placed = null_safe(null_safe(live, at("_from", "_a"), [*key, "_from"]), at("_to", "_b"), [*key, "_to"])
+    limits = F.max("lower").alias("lower"), F.min("upper").alias("upper")
+    # The same run of stretches by several rules is one run.
+    placed = settle(placed.groupBy(*key, "_a", "_b").agg(*limits))
+
+    # Blocks of [a, b): from the left as long as sizes grow, from the right as they shrink.
+    level = F.explode(F.sequence(F.lit(0), F.length(F.bin(F.col("_b") - F.col("_a"))))).alias("_level")
+    sized = placed.select(*key, "_a", "_b", "lower", "upper", level).withColumn("_size", F.pow(F.lit(2), F.col("_level")).cast("long"))
+    up = lambda x, size: F.ceil(x / size).cast("long")
+    down = lambda x, size: F.floor(x / size).cast("long")
+    one, two = F.col("_size"), F.col("_size") * 2
+    lo, hi = up(F.col("_a"), one), down(F.col("_b"), one)
+    in_lo, in_hi = up(F.col("_a"), two) * 2, down(F.col("_b"), two) * 2
+    # What blocks twice as large leave over at either end, or the whole if there are none.
+    none = in_lo >= in_hi
+    taken = F.when(none, F.sequence(lo, hi - 1)).otherwise(F.filter(F.array(F.when(lo < in_lo, lo), F.when(in_hi < hi, in_hi)), lambda x: x.isNotNull()))
+    blocks = sized.where(lo < hi).select(*key, "lower", "upper", "_level", F.explode(taken).alias("_block"))
+    blocks = settle(blocks.groupBy(*key, "_level", "_block").agg(*limits))
+    most = blocks.agg(F.max("_level")).first()[0]
+    inside = edges.where("_next is not null").select(*key, "_i", F.explode(F.sequence(F.lit(0), F.lit(most or 0))).alias("_level"))
+    inside = inside.withColumn("_block", F.floor(F.col("_i") / F.pow(F.lit(2), F.col("_level"))).cast("long"))
+    tight = null_safe(inside, blocks, [*key, "_level", "_block"]).groupBy(*key, "_i").agg(*limits)
+    stretch = edges.select(*key, "_i", F.col("_day").alias("first"), F.date_sub("_next", 1).alias("last"))
+    out = settle(null_safe(stretch, tight, [*key, "_i"]).select(*key, "first", "last", "lower", "upper"))
+    release(edges, placed, blocks)
+    return out
+
+
+def null_safe(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """Inner join in which NULL keys meet."""
+    named = right.withColumnsRenamed({c: f"_r_{c}" for c in on})
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in on])
+    return left.join(named, same).drop(*[f"_r_{c}" for c in on])
+
+
 def range_filter(df: DataFrame, rules: DataFrame, ts: str = "ts", value: str = "value") -> DataFrame:
     """NULL the values a rule forbids within its window of days.
 
     Long form: ``site``, ``variable``, ``ts``, ``value``. Both end days are
     outside the window. A rule without a cutoff on one side does not test that
-    side; one without any cutoff tests nothing. All rules of a (site,
-    variable) travel as one array, so rows are neither multiplied nor regrouped.
+    side; one without any cutoff tests nothing. Rules become disjoint
+    stretches first (``rule_stretches``), found by (site, variable, month) and
+    the day inside it: a value meets one stretch at most, however many rules
+    there are, and rows are not multiplied.
     """
-    sets = rules.groupBy("site", "variable").agg(
-        F.collect_list(F.struct("start", "end", "lower", "upper")).alias("_rules")
-    )
-    joined = attach(df, sets, ["site", "variable"])
+    month = lambda day: F.year(day) * 12 + F.month(day)
+    months = F.explode(F.sequence(month("first"), month("last")))
+    limits = rule_stretches(rules).select("site", "variable", months.alias("_month"), *[F.col(c).alias(f"_{c}") for c in ("first", "last", "lower", "upper")])
     day = F.to_date(ts)
-
-    def hit(r: Column) -> Column:
-        beyond = F.coalesce(F.col(value) > r["upper"], F.lit(False)) | F.coalesce(
-            F.col(value) < r["lower"], F.lit(False)
-        )
-        return (day > r["start"]) & (day < r["end"]) & beyond
-
-    bad = F.coalesce(F.exists("_rules", hit), F.lit(False))
+    inside = (F.col("_day") >= F.col("_first")) & (F.col("_day") <= F.col("_last"))
+    joined = attach(df.withColumn("_day", day).withColumn("_month", month("_day")), limits, ["site", "variable", "_month"], where=inside)
+    bad = F.coalesce(F.col(value) > F.col("_upper"), F.lit(False)) | F.coalesce(F.col(value) < F.col("_lower"), F.lit(False))
     return joined.withColumn(value, F.when(~bad, F.col(value))).select(*df.columns)
 
 

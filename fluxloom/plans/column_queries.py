@@ -441,6 +441,30 @@ def _(t):
     return qc.range_filter(long, rules)
 
 
+@query(
+    "q1_many_rules",
+    "event_id:i value:6",
+    "SELECT event_id, CASE WHEN value>u OR value<l THEN NULL ELSE value END AS value FROM events LEFT JOIN (SELECT d, max(lo) AS l, min(hi) AS u FROM "
+    "(SELECT DATE '2023-12-20'+CAST(l_orderkey%45 AS INT) AS s, DATE '2023-12-20'+CAST(l_orderkey%45+l_linenumber AS INT) AS e, "
+    "CASE WHEN l_partkey%3<>0 THEN l_orderkey%45+l_suppkey%7*1e0 END AS lo, CASE WHEN l_partkey%3<>1 THEN 96e0-l_suppkey%11*l_linenumber END AS hi FROM lineitem) r "
+    "JOIN (SELECT DISTINCT CAST(ts AS DATE) AS d FROM events) x ON x.d>s AND x.d<e GROUP BY d) t ON CAST(ts AS DATE)=t.d AND event_type='view'",
+)
+def _(t):
+    """A rule for every line item, all on one sensor."""
+    start = F.lit("2023-12-20").cast("date")
+    day = (F.col("l_orderkey") % 45).cast("int")
+    rules = t.lineitem.select(
+        F.lit("all").alias("site"),
+        F.lit("view").alias("variable"),
+        F.date_add(start, day).alias("start"),
+        F.date_add(start, day + F.col("l_linenumber").cast("int")).alias("end"),
+        F.when(F.col("l_partkey") % 3 != 0, (day + F.col("l_suppkey") % 7).cast("double")).alias("lower"),
+        F.when(F.col("l_partkey") % 3 != 1, (96 - F.col("l_suppkey") % 11 * F.col("l_linenumber")).cast("double")).alias("upper"),
+    )
+    rows = t.events.select("event_id", F.lit("all").alias("site"), F.col("event_type").alias("variable"), "ts", "value")
+    return qc.range_filter(rows, rules)
+
+
 @query(
     "q1_range_filter_wide",
     "site:s ts:t view:6 click:6",

@@ -216,6 +216,38 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         f"(SELECT site, ts, nee, exp(200e0*(1e0/61.02e0-1e0/(ta+46.02e0))) AS s, CAST(epoch(ts) AS BIGINT)//86400 AS d FROM exchange WHERE rg<10 AND {sun_sql()}<0 AND nee IS NOT NULL) x "
         "JOIN (SELECT unnest(generate_series(4900,5000)) AS k) w ON x.d BETWEEN 4*k-4 AND 4*k+4 GROUP BY site, k HAVING count(*)>=2 AND sum(s*nee)>0",
     ),
+    "nightx": (
+        ("exchange",),
+        "SELECT site, CAST(epoch(ts) AS BIGINT) AS s, CAST(epoch(ts) AS BIGINT)//86400 AS d, nee AS y, ta, 1e0/61.02e0-1e0/(ta+46.02e0) AS x "
+        f"FROM exchange WHERE rg<10 AND {sun_sql()}<0 AND nee IS NOT NULL",
+    ),
+    # Every window's fit, step by step, and its error from the residuals.
+    "fits": (
+        ("nightx",),
+        "WITH RECURSIVE w AS (SELECT n.*, k FROM nightx n JOIN (SELECT unnest(generate_series(3900,4010)) AS k) g ON n.d BETWEEN 5*k-7 AND 5*k+7), "
+        "u AS (SELECT site, k, count(*) AS n FROM w GROUP BY site, k HAVING count(*)>=6 AND max(ta)-min(ta)>=5), "
+        "it AS (SELECT site, k, 0 AS i, 100e0 AS e0, CAST(NULL AS DOUBLE) AS move FROM u UNION ALL "
+        "SELECT site, k, i+1, least(2000e0, greatest(-1000e0, e0+least(100e0, greatest(-100e0, move)))), move FROM "
+        "(SELECT site, k, i, e0, a*(e-b/a*c)/(b/a*(a*d-c*c)) AS move FROM (SELECT it.site, it.k, it.i, it.e0, sum(exp(2*it.e0*x)) AS a, "
+        "sum(exp(it.e0*x)*y) AS b, sum(x*exp(2*it.e0*x)) AS c, sum(x*x*exp(2*it.e0*x)) AS d, sum(x*exp(it.e0*x)*y) AS e "
+        "FROM it JOIN w USING (site, k) WHERE it.i<30 GROUP BY it.site, it.k, it.i, it.e0))), "
+        "f AS (SELECT it.site, it.k, it.e0, sum(exp(it.e0*x)*y)/sum(exp(2*it.e0*x)) AS rref, sum(exp(2*it.e0*x))/"
+        "(sum(exp(2*it.e0*x))*sum(x*x*exp(2*it.e0*x))-sum(x*exp(2*it.e0*x))*sum(x*exp(2*it.e0*x))) AS lever FROM it JOIN w USING (site, k) "
+        "WHERE it.i=30 AND abs(it.move)<1e-7*greatest(1,abs(it.e0)) GROUP BY it.site, it.k, it.e0) "
+        "SELECT f.site, f.k, f.e0, f.rref, count(*) AS n, sqrt(f.lever/(f.rref*f.rref)*sum((y-f.rref*exp(f.e0*x))^2)/greatest(count(*)-2,1)) AS sd "
+        "FROM f JOIN w USING (site, k) GROUP BY f.site, f.k, f.e0, f.rref, f.lever",
+    ),
+    "e0s": (
+        ("fits",),
+        "SELECT site, avg(e0) AS e0 FROM (SELECT *, row_number() OVER (PARTITION BY site ORDER BY sd, k) AS r FROM fits "
+        "WHERE e0 BETWEEN 30 AND 450 AND sd<=0.5e0*e0) WHERE r<=3 GROUP BY site",
+    ),
+    "rrefsfit": (
+        ("nightx", "e0s"),
+        "SELECT site, make_timestamp(CAST(floor(avg(s)) AS BIGINT)*1000000) AS ts, sum(exp(e0*x)*y)/sum(exp(2*e0*x)) AS rref FROM nightx "
+        "JOIN e0s USING (site) JOIN (SELECT unnest(generate_series(4900,5000)) AS k) w ON d BETWEEN 4*k-4 AND 4*k+4 "
+        "GROUP BY site, k HAVING count(*)>=2 AND sum(exp(e0*x)*y)>0",
+    ),
     "flowwide": (
         ("tgrid", "grid"),
         "SELECT *, 6.1078e0*exp(17.08085e0*tair/(234.175e0+tair))*(1-rh/100e0) AS vpd FROM (SELECT b.ts, "

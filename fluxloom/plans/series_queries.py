@@ -418,11 +418,31 @@ def _exchange(t):
     return fl.interpolate_linear(df, ["site"], "ts", "NEE", "NEE_f")
 
 
-@query("gf7_partition_flux", "site:s ts:t Reco:6 GPP:6 nee:6", None)
+@query(
+    "gf7_partition_flux",
+    "site:s ts:t Reco:6 GPP:6 nee:6",
+    "SELECT site, ts, reco AS \"Reco\", reco-nee_f AS \"GPP\", nee_f AS nee FROM (SELECT r.site, r.ts, r.nee_f, exp(s.e0*(1e0/61.02e0-1e0/(r.ta+46.02e0)))*"
+    "CASE WHEN a.ts IS NULL THEN b.rref WHEN b.ts IS NULL THEN a.rref ELSE a.rref+(b.rref-a.rref)*(epoch(r.ts)-epoch(a.ts))/(epoch(b.ts)-epoch(a.ts)) END AS reco "
+    "FROM exchange r LEFT JOIN e0s s ON s.site=r.site ASOF LEFT JOIN rrefsfit a ON r.site=a.site AND r.ts>=a.ts ASOF LEFT JOIN rrefsfit b ON r.site=b.site AND r.ts<b.ts)",
+    "exchange e0s rrefsfit",
+)
 def _(t):
     return partition.partition_flux(_exchange(t), ["site"], "ts", 40.0, -105.5, -7.0).withColumn("nee", F.col("NEE_f"))
 
 
+@query(
+    "gf7_sensitivity_windows",
+    "site:s window:i e0:4 e0_sd:4 rref:6 n:i",
+    'SELECT site, k AS "window", e0, sd AS e0_sd, rref, n FROM fits',
+    "fits",
+)
+def _(t):
+    rows = _exchange(t)
+    dark = (F.col("Rg") < 10) & (partition.sun_elevation_sine("ts", 40.0, -105.5, -7.0) < 0)
+    night = qc.complete_pairs(rows.filter(dark), "Tair_f", "NEE")
+    return partition.sensitivity_windows(night, ["site"], "ts", "NEE", "Tair_f").filter("status = 'converged'")
+
+
 @query(
     "gf7_partition_known_sensitivity",
     "site:s ts:t Reco:6 GPP:6",

@@ -128,11 +128,38 @@ def test_respiration_model_is_recovered(spark):
     assert stats.n == len(rows) and stats.balance < 1e-9 and stats.worst < 0.05
 
 
-def test_fit_that_has_not_converged_gives_nothing():
-    x = np.linspace(-0.002, 0.002, 30)
-    y = 2.0 * np.exp(200.0 * x)
-    assert all(math.isnan(v) for v in partition._fit_window(x, y, rounds=1))
-    assert partition._fit_window(x, y)[0] == pytest.approx(200.0)
+def test_fit_that_has_not_converged_gives_nothing(spark):
+    first = dt.datetime(2024, 1, 1)
+    rows = []
+    for i in range(30):
+        t = 5.0 + i / 2
+        term = 1 / (partition.T_REF - partition.T_ZERO) - 1 / (t - partition.T_ZERO)
+        rows.append(("a", first + dt.timedelta(minutes=30 * i), t, 2.0 * math.exp(200.0 * term) * (1 + 0.01 * (i % 3))))
+        rows.append(("flat", first + dt.timedelta(minutes=30 * i), 7.0, 2.0))
+        rows.append(("zero", first + dt.timedelta(minutes=30 * i), t, 0.0))
+    rows += [("few", first, 1.0, 1.0)]
+    df = spark.createDataFrame(rows, "site string, ts timestamp_ntz, Tair double, NEE double")
+    fit = lambda rounds: partition.sensitivity_windows(df, ["site"], "ts", "NEE", "Tair", rounds=rounds).collect()
+    once = {r.status for r in fit(1) if r.site == "a"}
+    assert once == {"not converged"} and all(r.e0 is r.e0_sd is r.rref is None for r in fit(1))
+    got = {(r.site, r.status) for r in fit(30)}
+    assert got == {("a", "converged"), ("flat", "narrow range"), ("zero", "not converged"), ("few", "few rows")}
+    x = np.array([1 / (partition.T_REF - partition.T_ZERO) - 1 / (r[2] - partition.T_ZERO) for r in rows if r[0] == "a"])
+    y = np.array([r[3] for r in rows if r[0] == "a"])
+    for r in fit(30):
+        if r.site == "a":
+            s = np.exp(r.e0 * x)
+            gradient = np.column_stack([r.rref * x * s, s])
+            left = y - r.rref * s
+            assert np.abs(gradient.T @ left).max() < 1e-6
+            cov = np.linalg.inv(gradient.T @ gradient) * (left @ left) / (len(y) - 2)
+            assert r.e0_sd == pytest.approx(math.sqrt(cov[0, 0]), rel=1e-6)
+
+
+def test_fit_runs_without_python(spark):
+    df = spark.createDataFrame([], "site string, ts timestamp_ntz, Tair double, NEE double")
+    plan = partition.window_fits(df, ["site"], "ts", "NEE", "Tair", 7, 5, 6, 5.0, 30, 100.0, 100.0)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan
 
 
 def test_sun_is_up_at_noon_and_down_at_midnight(spark):

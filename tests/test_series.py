@@ -193,11 +193,27 @@ def test_nearest_of_two_equal_distances_is_the_larger(spark):
     assert got == {0: 10.0, 1: 0.0, 2: 20.0, 3: 10.0, 4: None, **{i: 10.0 for i in range(5, 25)}}
 
 
-def test_small_side_beyond_the_bound_is_salted(spark):
+def test_hot_keys_stay_where_they_are(spark):
+    """A thousand equal rows meet a side too large to broadcast in the tasks that hold them."""
+    big = spark.range(0, 3000, 1, 16).select(F.when(F.col("id") % 3 > 0, F.lit(7)).otherwise(F.col("id")).alias("k"), F.lit("same").alias("v"))
+    small = spark.range(3000).select(F.col("id").alias("k"), (F.col("id") * 10).alias("x"))
+    assert len(at.hot_keys(big, ["k"])) == 1
+    got = at.attach(big, small, ["k"], max_rows=100)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, at.attach(big, small, ["k"]).collect()))
+    tasks = got.filter("k = 7").select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+    assert len(tasks) > 8 and sum(r["count"] for r in tasks) == 2000
+
+
+def test_a_broadcast_side_is_bounded_by_its_bytes(spark):
+    small = spark.range(100).select("id", F.repeat(F.lit("x"), 1000).alias("text"), F.array(F.lit(1), F.lit(2)).alias("a"))
+    assert at.is_small(small) and at.is_small(small, max_bytes=120_000) and not at.is_small(small, max_bytes=100_000)
+
+
+def test_small_side_beyond_the_bound_gives_the_same_rows(spark):
     big = spark.range(200).select((F.col("id") % 3).alias("k"), "id")
     small = spark.range(3).select(F.col("id").alias("k"), (F.col("id") * 10).alias("x"))
     a = at.attach(big, small, ["k"])
-    b = at.attach(big, small, ["k"], max_rows=2, salts=5)
+    b = at.attach(big, small, ["k"], max_rows=2)
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
     assert "Broadcast" in a._jdf.queryExecution().toString()
     nulls = big.withColumn("k", F.when(F.col("k") > 0, F.col("k")))

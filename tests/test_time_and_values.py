@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -191,3 +192,28 @@ def test_more_levels_than_declared_end_the_job(spark):
     df = spark.createDataFrame([([1.0, 2.0, 3.0],)], "TSOI array<double>")
     with pytest.raises(Exception, match="has 3 levels"):
         rs.flatten_levels(df, ["TSOI"], 2).collect()
+
+
+def test_many_overlapping_rules_equal_a_direct_test(spark):
+    rng = random.Random(4)
+    first = dt.date(2023, 12, 20)
+    rules = []
+    for _ in range(400):
+        a = first + dt.timedelta(days=rng.randrange(60))
+        limits = [rng.choice([None, rng.uniform(0, 40)]), rng.choice([None, rng.uniform(60, 100)])]
+        rules.append((rng.choice(["a", "b"]), rng.choice(["x", "y"]), a, a + dt.timedelta(days=rng.choice([0, 1, 2, 3, 9, 40])), *limits))
+    rules += [("a", "x", None, first, 0.0, 1.0), ("a", "x", first, None, 0.0, 1.0), (None, "x", first, first + dt.timedelta(days=90), None, 0.0)]
+    rows = [(i, rng.choice(["a", "b", None]), rng.choice(["x", "y"]), dt.datetime(2023, 12, 10) + dt.timedelta(hours=rng.randrange(24 * 90)), rng.choice([None, rng.uniform(-10, 110)])) for i in range(600)]
+
+    def hit(site, variable, ts, v):
+        for s, n, start, end, lower, upper in rules:
+            if None not in (v, start, end) and (s, n) == (site, variable) and start < ts.date() < end and (lower is not None and v < lower or upper is not None and v > upper):
+                return True
+        return False
+
+    df = spark.createDataFrame(rows, "id int, site string, variable string, ts timestamp_ntz, value double")
+    got = {r.id: r.value for r in qc.range_filter(df, spark.createDataFrame(rules, qc.RULE_SCHEMA)).collect()}
+    assert got == {i: None if hit(*rest) else rest[-1] for i, *rest in rows}
+    stretches = qc.rule_stretches(spark.createDataFrame(rules, qc.RULE_SCHEMA)).where("site = 'a' and variable = 'x'").orderBy("first").collect()
+    assert all(a["last"] < b["first"] for a, b in zip(stretches, stretches[1:], strict=False))
+    assert qc.range_filter(df, spark.createDataFrame([], qc.RULE_SCHEMA)).count() == len(rows)
