@@ -207,7 +207,7 @@ def test_many_overlapping_rules_equal_a_direct_test(spark):
 
     def hit(site, variable, ts, v):
         for s, n, start, end, lower, upper in rules:
-            if None not in (v, start, end) and (s, n) == (site, variable) and start < ts.date() < end and (lower is not None and v < lower or upper is not None and v > upper):
+            if None not in (v, start, end, site) and (s, n) == (site, variable) and start < ts.date() < end and (lower is not None and v < lower or upper is not None and v > upper):
                 return True
         return False
 
