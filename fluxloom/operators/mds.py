@@ -91,32 +91,105 @@ def _lookup_pairs(
     return gaps.join(give, on).filter(alike).select(*ids, "_pos", ring.alias("_ring"), "_y")
 
 
-def _diurnal_pairs(
+def _merged(parts: Column) -> Column:
+    """Number, mean and squared deviations of moments ``(n, m, q)`` put together, in two passes over them: nothing cancels."""
+    n = F.aggregate(parts, F.lit(0).cast("long"), lambda done, p: done + p["n"])
+    mean = F.aggregate(parts, F.lit(0.0), lambda done, p: done + p["n"] * p["m"]) / n
+    return F.transform(
+        F.array(F.struct(n.alias("n"), mean.alias("m"))),
+        lambda whole: F.struct(
+            whole["n"].alias("n"), whole["m"].alias("m"),
+            F.aggregate(parts, F.lit(0.0), lambda done, p: done + p["q"] + p["n"] * (p["m"] - whole["m"]) ** 2).alias("q"),
+        ),
+    )[0]
+
+
+def _moment_tree(days: DataFrame, by: list[str], levels: int, at_once: int = 4) -> DataFrame:
+    """Moments of 1, 2, 4 … days aligned to their number: ``by, _level, _node, n, m, q``.
+
+    ``at_once`` levels are made in one pass from the last level of the pass before.
+    """
+    tree = level = days.select(*by, F.lit(0).alias("_level"), F.col("_day").alias("_node"), "n", "m", "q")
+    for base in range(0, levels, at_once):
+        top = min(base + at_once, levels)
+        up = level.withColumn("_up", F.explode(F.sequence(F.lit(1), F.lit(top - base))))
+        node = F.floor(F.col("_node") / F.pow(F.lit(2.0), F.col("_up"))).cast("long").alias("_node")
+        found = up.groupBy(*by, (F.col("_up") + base).alias("_level"), node).agg(_merged(F.collect_list(F.struct("n", "m", "q"))).alias("s"))
+        found = settle(found.select(*by, "_level", "_node", "s.*"))
+        tree, level = tree.unionByName(found), found.filter(F.col("_level") == top)
+    return tree
+
+
+def _aligned(first: Column, end: Column, levels: int) -> Column:
+    """Nodes (level, node) of a moment tree that make up the days ``first`` … ``end - 1``: at most two a level."""
+    up = lambda x, size: F.ceil(x / size).cast("long")
+    down = lambda x, size: F.floor(x / size).cast("long")
+
+    def at(k: int) -> Column:
+        lo, hi = up(first, 1 << k), down(end, 1 << k)
+        in_lo, in_hi = up(first, 2 << k) * 2, down(end, 2 << k) * 2
+        # Of the top level all; below it what larger nodes leave over at either end.
+        ends = F.array(F.when(lo < in_lo, lo), F.when(in_hi < hi, in_hi))
+        alone = F.array(F.when(lo < hi, lo), F.when(lo + 1 < hi, lo + 1))
+        taken = F.when(in_lo < in_hi, ends).otherwise(alone) if k < levels else F.sequence(lo, F.greatest(lo, hi - 1))
+        taken = F.filter(taken, lambda x: x.isNotNull() & (x < hi))
+        return F.transform(taken, lambda x: F.struct(F.lit(k).alias("level"), x.alias("node")))
+
+    return F.flatten(F.array(*[at(k) for k in range(levels + 1)]))
+
+
+def _diurnal_found(
     todo: DataFrame, donors: DataFrame, ids: list[str], days: Sequence[int], per_day: int, near: int
 ) -> DataFrame:
-    reach = days[-1]
-    length = 2 * reach + 1
+    """Mean, deviation and number of donors at the same clock time, of the narrowest window with two of them.
+
+    No gap is paired with a donor. Donors become moments per clock time and
+    day; a sweep along the days finds, for every day with a gap, how far away
+    the second nearest donor is, and so the window; its moments are put
+    together from the nodes of a tree over the days.
+    """
+    by = [*ids, "_clock"]
     day, clock = F.floor(F.col("_pos") / per_day), F.pmod(F.col("_pos"), F.lit(per_day))
-    gaps = (
-        todo.select(*ids, "_pos")
-        .withColumn("_day", day)
-        .withColumn("_clock", clock)
-        .withColumn("_stretch", F.explode(_stretches(F.col("_day"), reach, length)))
-    )
     # A donor serves the clock times up to one hour either side of its own.
-    give = (
-        donors.select(*ids, "_y", F.explode(F.sequence(F.col("_pos") - near, F.col("_pos") + near)).alias("_pos"))
-        .withColumn("_gday", day)
-        .withColumn("_clock", clock)
-        .withColumn("_stretch", F.floor(F.col("_gday") / length))
-        .drop("_pos")
-    )
-    away = F.abs(F.col("_gday") - F.col("_day"))
-    return (
-        gaps.join(give, [*ids, "_clock", "_stretch"])
-        .filter(away <= reach)
-        .select(*ids, "_pos", _ring(away, days).alias("_ring"), "_y")
+    served = donors.select(*ids, "_y", F.explode(F.sequence(F.col("_pos") - near, F.col("_pos") + near)).alias("_pos"))
+    served = served.select(*by[:-1], clock.alias("_clock"), day.alias("_day"), "_y")
+    moments = [F.count(F.lit(1)).alias("n"), F.avg("_y").alias("m"), (F.var_pop("_y") * F.count(F.lit(1))).alias("q")]
+    base = settle(served.groupBy(*by, "_day").agg(*moments))
+    gaps = todo.select(*ids, "_pos", clock.alias("_clock"), day.alias("_day"))
+
+    # Days with donors and days with gaps on one line per clock time; each day sees the nearest donors on either side.
+    line = gaps.select(*by, "_day").distinct().join(base.select(*by, "_day", "n"), [*by, "_day"], "full")
+    held = F.when(F.col("n") > 0, F.struct(F.col("_day").alias("d"), F.col("n").alias("n")))
+    place = ", ".join(f"`{k}`" for k in by)
+
+    def beside(order: str, k: int) -> Column:
+        return F.expr(f"lag(_held, {k}) IGNORE NULLS OVER (PARTITION BY {place} ORDER BY _day {order})")
+
+    line = line.withColumn("_held", held)
+    line = line.select(*by, "_day", "n", *[beside(o, k).alias(f"_{o}{k}") for o in ("ASC", "DESC") for k in (1, 2)])
+    seen = [F.when(F.col("n") > 0, F.struct(F.lit(0).cast("long").alias("away"), F.col("n").alias("n")))]
+    for name in ("_ASC1", "_ASC2", "_DESC1", "_DESC2"):
+        seen.append(F.when(F.col(name).isNotNull(), F.struct(F.abs(F.col(f"{name}.d") - F.col("_day")).alias("away"), F.col(f"{name}.n").alias("n"))))
+    near_by = F.array_sort(F.filter(F.array(*seen), lambda x: x.isNotNull()))
+    # Along the sorted distances: where two donors are reached.
+    reached = F.aggregate(
+        near_by, F.struct(F.lit(0).cast("long").alias("n"), F.lit(None).cast("long").alias("away")),
+        lambda done, x: F.struct(
+            (done["n"] + x["n"]).alias("n"), F.when(done["away"].isNotNull(), done["away"]).when(done["n"] + x["n"] >= 2, x["away"]).alias("away")
+        ),
+        lambda done: done["away"],
     )
+    half = F.element_at(F.array(*[F.lit(d) for d in days]), _ring(F.col("_reached"), days) + 1)
+    line = line.select(*by, "_day", reached.alias("_reached")).where(F.col("_reached") <= days[-1]).select(*by, "_day", half.alias("_half"))
+    wanted = settle(line)
+
+    levels = (2 * days[-1] + 1).bit_length() - 1
+    tree = _moment_tree(base, by, levels)
+    nodes = _aligned(F.col("_day") - F.col("_half"), F.col("_day") + F.col("_half") + 1, levels)
+    asked = wanted.select(*by, "_day", "_half", F.explode(nodes).alias("_x")).select(*by, "_day", "_half", F.col("_x.level").alias("_level"), F.col("_x.node").alias("_node"))
+    got = asked.join(tree, [*by, "_level", "_node"]).groupBy(*by, "_day", "_half").agg(_merged(F.collect_list(F.struct("n", "m", "q"))).alias("s"))
+    got = got.select(*by, "_day", "_half", F.col("s.m").alias("_mean"), F.sqrt(F.col("s.q") / (F.col("s.n") - 1)).alias("_sd"), F.col("s.n").cast("int").alias("_n"))
+    return gaps.join(got, [*by, "_day"]).select(*ids, "_pos", "_mean", "_sd", "_n", "_half")
 
 
 def _first_enough(pairs: DataFrame, ids: list[str], days: Sequence[int]) -> DataFrame:
@@ -198,12 +271,11 @@ def mds_fill(
     found: DataFrame | None = None
     for method, days in stages:
         if method == DIURNAL:
-            pairs = _diurnal_pairs(todo, donors, ids, days, per_day, near)
-            length = F.col("_half") * 2 + 1
+            got, length = _diurnal_found(todo, donors, ids, days, per_day, near), F.col("_half") * 2 + 1
         else:
             pairs = _lookup_pairs(todo, donors, ids, days, per_day, tol, method == LOOKUP3)
-            length = F.col("_half") * 2
-        got = _first_enough(pairs, ids, days).withColumn("_method", F.lit(method)).withColumn("_window", length)
+            got, length = _first_enough(pairs, ids, days), F.col("_half") * 2
+        got = got.withColumn("_method", F.lit(method)).withColumn("_window", length)
         state = settle(todo.join(got.drop("_half"), [*ids, "_pos"], "left"))
         taken = state.filter(F.col("_n").isNotNull()).select(
             *ids, "_pos", "_mean", "_sd", "_n", "_method", "_window"

@@ -166,3 +166,30 @@ def test_sun_is_up_at_noon_and_down_at_midnight(spark):
     df = spark.sql("select timestamp_ntz'2024-06-21 12:00:00' as ts union all select timestamp_ntz'2024-06-21 00:00:00'")
     noon, night = [r[0] for r in df.select(partition.sun_elevation_sine("ts", 40.0, -105.5, -7.0)).collect()]
     assert noon == pytest.approx(math.sin(math.radians(90 - 40.0 + 23.44)), abs=0.01) and night < -0.3
+
+
+def test_clock_time_lines_pair_no_gap_with_a_donor(spark):
+    """Half a year without any value: the clock-time lines join moments only, a few a gap, none of their keys hot."""
+    step, per_day = 10800, 8
+    rows = [("a", "y", day * per_day + clock, float(day + clock)) for day in range(200) for clock in range(per_day)]
+    donors = spark.createDataFrame(rows, "site string, variable string, _pos long, _y double")
+    gaps = [("a", "y", day * per_day + clock) for day in range(200, 382) for clock in range(per_day)]
+    todo = spark.createDataFrame(gaps, "site string, variable string, _pos long")
+    days = tuple(range(7, 211, 7))
+    got = mds._diurnal_found(todo, donors, ["site", "variable"], days, per_day, 3600 // step).collect()
+    want = {}
+    for _, _, pos in gaps:
+        day, clock = divmod(pos, per_day)
+        half = next(d for d in days if day - d <= 198)
+        picks = [x + clock for x in range(day - half, 200) if x >= 0]
+        want[pos] = half, len(picks), np.mean(picks), np.std(picks, ddof=1)
+    assert {r._pos for r in got} == set(want)
+    for r in got:
+        half, n, mean, sd = want[r._pos]
+        assert (r._half, r._n) == (half, n) and r._mean == pytest.approx(mean) and r._sd == pytest.approx(sd)
+    # Nodes of windows as wide as these: far fewer than their days, and no node asked for by an eighth of all.
+    first, end = F.col("day") - F.col("half"), F.col("day") + F.col("half") + 1
+    windows = spark.createDataFrame([(r._pos // per_day, r._pos % per_day, r._half) for r in got], "day long, clock long, half int")
+    asked = windows.select("clock", F.explode(mds._aligned(first, end, 8)).alias("x")).select("clock", "x.*")
+    total, most = asked.count(), max(r["count"] for r in asked.groupBy("clock", "level", "node").count().collect())
+    assert total <= 18 * len(got) and most < total / 8
