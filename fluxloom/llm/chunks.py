@@ -67,14 +67,18 @@ def chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 # A hash near the start of a text must not see the text before it.
                 own = places[bounds[k] : bounds[k + 1]]
                 ends = chunk_ends(own[own >= s + SEEN].tolist(), s, e) or [e]
-                begin = s
+                before = begin = s
                 for n, end in enumerate(ends):
                     rows.append(a + k)
                     number.append(n)
                     starts.append(begin - s)
                     lengths.append(end - begin)
-                    digests.append(hashlib.blake2b(whole[begin:end], digest_size=16).digest())
-                    begin = end
+                    if n and end - begin < LEAST:
+                        # The rest of a text is too short to tell by itself: it counts with the chunk before it.
+                        digests.append(hashlib.blake2b(whole[before:end], digest_size=16, person=b"tail").digest())
+                    else:
+                        digests.append(hashlib.blake2b(whole[begin:end], digest_size=16).digest())
+                    before, begin = begin, end
             yield pa.RecordBatch.from_arrays(
                 [ids.take(pa.array(rows, pa.int64())), pa.array(number, pa.int32()), pa.array(starts, pa.int64()), pa.array(lengths, pa.int64()), pa.array(digests, pa.binary())],
                 ["doc_id", "number", "start", "length", "digest"],
@@ -104,8 +108,9 @@ def dedup(docs: DataFrame) -> DataFrame:
     ``spans`` are the byte spans (``start:end``, end exclusive, adjacent ones
     joined) whose content came before in a chunk of a smaller doc_id, or
     earlier in the text; ``n_removed`` their bytes, ``n_repeated`` their
-    chunks. A text's last chunk and a text shorter than ``LEAST`` count like
-    any other. Cuts depend on the bytes around them alone, so an insertion moves
+    chunks. A text shorter than ``LEAST`` counts as a whole; a last chunk shorter
+    than that only together with the chunk before it, so unlike texts that end
+    in the same few bytes lose nothing. Cuts depend on the bytes around them alone, so an insertion moves
     chunks but doesn't change those beyond the next cut.
 
     One row per doc_id: rows that share one count as one document, whose equal

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 KINDS = ("email", "ip", "card", "phone", "url", "account")
 
 SCHEMES = ("http://", "https://", "ftp://", "sftp://")
-CUES = ("token", "api_key", "apikey", "api key", "secret", "password", "passwd", "iban", "account", "acct", "ssn", "passport", "customer id")
+CUES = ("token", "api_key", "api-key", "apikey", "api key", "secret", "password", "passwd", "iban", "account", "acct", "ssn", "passport", "customer id", "customer_id")
 
 LOCAL = re.compile(r"[A-Za-z0-9._%+-]+")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -27,7 +27,14 @@ RUN = re.compile(r"[0-9]+")
 CHAIN = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 ADDRESS = re.compile(r"(?:[^\s/@<>\"'|]+@)?[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*(?::[0-9]+)?(?:[/?#][^\s<>\"'|]*)?")
-VALUE = re.compile(r"(?:\s+(?:number|no\.?|id))?\s*[:=#]?\s*[\"']?([A-Za-z0-9](?:[A-Za-z0-9_-]|\x20(?=[A-Z0-9]{1,4}\b)){5,126})")
+#: What may stand between a cue and its value.
+GAP = re.compile(r"(?:\s+(?:number|no\.?|id))?\s*[:=#]?\s*[\"']?")
+#: A value in one piece, to its true end: letters and digits, and what joins them in web tokens, keys and base64.
+TOKEN = re.compile(r"[A-Za-z0-9][A-Za-z0-9_./+=-]{5,}")
+#: An account number written in groups.
+GROUPS = re.compile(r"[A-Z]{2}[0-9]{2}(?:\x20[A-Z0-9]{1,4}\b)+")
+#: Fixed value: letters and digits an IBAN has at most.
+LONGEST_IBAN = 34
 NOT_DIGIT = re.compile(r"[^0-9]+")
 SPOT = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
@@ -39,11 +46,9 @@ def anchors() -> ahocorasick.Automaton:
     found.add_word("@", ("at", 1))
     found.add_word("+", ("plus", 1))
     for scheme in SCHEMES:
-        for form in (scheme, scheme.upper(), scheme.capitalize()):
-            found.add_word(form, ("scheme", len(form)))
+        found.add_word(scheme, ("scheme", len(scheme)))
     for cue in CUES:
-        for form in (cue, cue.upper(), cue.capitalize()):
-            found.add_word(form, ("cue", len(form)))
+        found.add_word(cue, ("cue", len(cue)))
     found.make_automaton()
     return found
 
@@ -56,12 +61,30 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
-def account(value: str) -> bool:
-    """An IBAN by its check digits, anything else by holding at least four digits."""
-    plain = value.replace(" ", "")
-    if re.fullmatch(r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}", plain):
-        return int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1
-    return " " not in value and sum(c.isdigit() for c in value) >= 4
+def iban(plain: str) -> bool:
+    return int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1
+
+
+def account(text: str, at: int) -> int:
+    """The end of the identifier that starts at ``at``; ``at`` itself if none does.
+
+    An IBAN, in one piece or in groups, by its check digits; any other token
+    by holding at least four digits.
+    """
+    if m := GROUPS.match(text, at):
+        # Other words may follow the groups: the longest run of them that checks out counts.
+        ends = [i for i, c in enumerate(text[at : min(m.end(), at + 2 * LONGEST_IBAN)] + " ", at) if c == " " and i <= m.end()]
+        for end in reversed(ends):
+            plain = text[at:end].replace(" ", "")
+            if 15 <= len(plain) <= LONGEST_IBAN and iban(plain):
+                return end
+    if m := TOKEN.match(text, at):
+        value = m[0].rstrip("._/+-")
+        if re.fullmatch(r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}", value):
+            return at + len(value) * iban(value)
+        if len(value) > 5 and sum(map(value.count, "0123456789")) >= 4:
+            return at + len(value)
+    return at
 
 
 def scan(text: str, automaton: ahocorasick.Automaton) -> list[tuple[int, int, int]]:
@@ -72,7 +95,8 @@ def scan(text: str, automaton: ahocorasick.Automaton) -> list[tuple[int, int, in
     """
     spans: list[list[tuple[int, int]]] = [[] for _ in KINDS]
     email, ip, card, phone, url, owner, run = 0, 0, 0, 0, 0, 0, 0
-    for last, (what, n) in automaton.iter(text):
+    # One letter more in lower case would move what follows it; all others keep their place.
+    for last, (what, n) in automaton.iter(text.replace("İ", "I").lower()):
         at = last - n + 1
         if what == "digit":
             if at >= run:
@@ -110,16 +134,11 @@ def scan(text: str, automaton: ahocorasick.Automaton) -> list[tuple[int, int, in
             if at >= url and not (at and text[at - 1].isalnum()) and (m := ADDRESS.match(text, last + 1)):
                 url = last + 1 + len(m[0].rstrip(".,;:!?)]}*"))
                 spans[4].append((at, url))
-        elif at >= owner and not (at and text[at - 1].isalnum()) and (m := VALUE.match(text, last + 1)):
-            value = m[1].rstrip(" -_")
-            # A value may be followed by other words: then its first groups alone count.
-            groups = value.split(" ")
-            for k in range(len(groups), 0, -1):
-                candidate = " ".join(groups[:k])
-                if account(candidate):
-                    owner = m.start(1) + len(candidate)
-                    spans[5].append((m.start(1), owner))
-                    break
+        elif at >= owner and not (at and text[at - 1].isalnum()):
+            begin = GAP.match(text, last + 1).end()
+            if (end := account(text, begin)) > begin:
+                owner = end
+                spans[5].append((begin, end))
     return [(k, s, e) for k, found in enumerate(spans) for s, e in found]
 
 
