@@ -62,15 +62,25 @@ def align_summaries(left: DataFrame, right: DataFrame, on: Sequence[str], how: s
     return left.join(right, list(on), how)
 
 
-def nearest_cell(points: DataFrame, cells: DataFrame, axes: Sequence[str], width: float = 1.0) -> DataFrame:
+RANGE = "_range"
+
+
+def in_ranges(df: DataFrame, order: list[str]) -> DataFrame:
+    """Rows in as many ranges of ``order`` as a shuffle has partitions, about equally full, their number in ``RANGE``; a stored table."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return settle(df.repartitionByRange(n, *order).withColumn(RANGE, F.spark_partition_id()))
+
+
+def nearest_cell(points: DataFrame, cells: DataFrame, axes: Sequence[str]) -> DataFrame:
     """Nearest grid coordinate of every point, axis by axis (``near_<axis>``).
 
     The distinct places of the points and the grid's coordinates are laid
     along each axis together, and every place looks at the coordinate before
     and after it: points and cells are never paired off, and a place shared by
-    very many points is looked up once. ``width`` is the length of axis
-    handled by one task group. Of two coordinates equally near the larger one
-    is taken.
+    very many points is looked up once. The line is dealt to tasks in ranges
+    of equal numbers of places, wherever they lie; what a range passes to the
+    next ones goes by its number. Of two coordinates equally near the larger
+    one is taken.
     """
     axes = list(axes)
 
@@ -82,7 +92,8 @@ def nearest_cell(points: DataFrame, cells: DataFrame, axes: Sequence[str], width
     line = places(points).withColumn("_mark", F.lit(None).cast("double")).unionByName(
         places(cells).withColumn("_mark", F.col("_at"))
     )
-    seen = sg.bracket(line, ["_axis"], "_at", "_mark", F.floor(F.col("_at") / width))
+    line = in_ranges(line, ["_axis", "_at"])
+    seen = sg.bracket(line, ["_axis"], "_at", "_mark", F.col(RANGE))
     back, ahead = F.col("_at") - F.col("_prev"), F.col("_next") - F.col("_at")
     near = F.when(F.col("_next").isNull() | (back < ahead), F.col("_prev")).otherwise(F.col("_next"))
     found = settle(seen.filter(F.col("_mark").isNull()).select("_axis", "_at", near.alias("_near")))

@@ -231,14 +231,31 @@ def check_conservation(
     )
 
 
-def check_dims(df: DataFrame, counts: Mapping[str, int]) -> list[str]:
-    """Array columns whose nesting depth differs from the expected one."""
-
-    def depth(t: T.DataType) -> int:
-        return 1 + depth(t.elementType) if isinstance(t, T.ArrayType) else 0
-
-    found = {f.name: depth(f.dataType) for f in df.schema.fields}
-    return [name for name, n in counts.items() if found.get(name) != n]
+def check_dims(df: DataFrame, ids: Sequence[str], lengths: Mapping[str, Sequence[int]]) -> DataFrame:
+    """Values whose dimensions differ from the declared ones: ``ids, variable, dimension, expected, found``.
+
+    ``lengths`` has a variable's length along each dimension, outermost first.
+    One row per value and dimension in which it (or, further in, any part of
+    it) has another length; ``found`` is the first such one. A variable that is
+    no array along a declared dimension has the length -1 there. Missing values
+    and missing parts have no dimensions and pass.
+    """
+    types = {f.name: f.dataType for f in df.schema.fields}
+    found: list[Column] = []
+    for name, expected in lengths.items():
+        kind: T.DataType | None = types[name]
+        # All arrays of this depth in one list.
+        parts = F.array(F.col(name))
+        for k, n in enumerate(expected, 1):
+            if isinstance(kind, T.ArrayType):
+                off = F.filter(parts, lambda x: x.isNotNull() & (F.size(x) != n))  # noqa: B023
+                odd = F.when(F.size(off) > 0, F.size(off[0]))
+                kind, parts = kind.elementType, F.flatten(F.filter(parts, lambda x: x.isNotNull()))
+            else:
+                kind, odd = None, F.when(F.col(name).isNotNull(), -1)
+            found.append(F.struct(F.lit(name).alias("variable"), F.lit(k).alias("dimension"), F.lit(n).alias("expected"), odd.alias("found")))
+    rows = df.select(*ids, F.explode(F.array(*found)).alias("_d")).select(*ids, "_d.*")
+    return rows.filter(F.col("found").isNotNull())
 
 
 def qc_compare(before: DataFrame, after: DataFrame, cols: Sequence[str], ids: Sequence[str]) -> DataFrame:

@@ -150,7 +150,8 @@ def flatten_levels(df: DataFrame, cols: Sequence[str], n: int) -> DataFrame:
             m = dict(meta[c])
             if "long_name" in m:
                 m["long_name"] = f"{m['long_name']} at level {j}"
-            out.append(F.get(whole if j == 1 else F.col(c), F.lit(j - 1)).alias(f"{c}_{j}", metadata=m))
+            # Every level asks, so that a plan that needs only one of them can't lose the question.
+            out.append(F.get(whole, F.lit(j - 1)).alias(f"{c}_{j}", metadata=m))
     return df.select(*out)
 
 

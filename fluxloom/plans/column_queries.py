@@ -569,6 +569,19 @@ def _(t):
     return qc.check_grid(t.sensor(), t.grid(), ["sensor", "ts"])
 
 
+@query(
+    "q8_check_dims",
+    "vec_id:i variable:s dimension:i expected:i found:i",
+    "SELECT vec_id, 'flat' AS variable, 1 AS dimension, 64 AS expected, 64-vec_id%3 AS found FROM embeddings WHERE vec_id%3<>0 UNION ALL "
+    "SELECT vec_id, 'nested', 2, 64, 64-vec_id%3 FROM embeddings WHERE vec_id%3<>0 UNION ALL SELECT vec_id, 'nested', 1, 2, 1 FROM embeddings WHERE vec_id%5=0",
+)
+def _(t):
+    flat = F.slice("embedding", 1, (64 - F.col("vec_id") % 3).cast("int"))
+    nested = F.when(F.col("vec_id") % 5 == 0, F.array("flat")).otherwise(F.array("flat", "flat"))
+    df = t.embeddings.withColumn("flat", flat).withColumn("nested", nested)
+    return qc.check_dims(df, ["vec_id"], {"flat": [64], "nested": [2, 64]})
+
+
 @query(
     "q8_check_conservation",
     "day:d sensor:s difference:4",

@@ -6,6 +6,8 @@ the given shape are made by Spark from the supplied tables.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from fluxloom.functions import timeparts as tp
@@ -146,22 +148,30 @@ def _(t):
 
 @query(
     "s10_read_stage",
-    "stage:s veg:s season:s hour:3 year:i v_avg:6",
-    f"SELECT 'diurnal' AS stage, veg, {season_sql()} AS season, CASE WHEN hour(ts)=0 AND minute(ts)=0 THEN 23.5e0 ELSE hour(ts)+minute(ts)/60e0-0.5e0 END AS hour, 0 AS year, avg(v) AS v_avg FROM obs "
-    f"GROUP BY ALL UNION ALL SELECT 'annual', veg, 'year', 0e0, year(ts), avg(v) FROM obs GROUP BY ALL",
+    "stage:s veg:s season:s hour:3 year:i doy:i v_avg:6",
+    f"SELECT 'diurnal' AS stage, veg, {season_sql()} AS season, CASE WHEN hour(ts)=0 AND minute(ts)=0 THEN 23.5e0 ELSE hour(ts)+minute(ts)/60e0-0.5e0 END AS hour, 0 AS year, 0 AS doy, avg(v) AS v_avg FROM obs "
+    f"GROUP BY ALL UNION ALL SELECT 'annual', veg, 'year', 0e0, year(ts), 0, avg(v) FROM obs GROUP BY ALL UNION ALL SELECT 'daily', veg, 'day', 0e0, 0, dayofyear(ts), avg(v) FROM obs GROUP BY ALL "
+    "UNION ALL SELECT 'all', veg, 'none', CASE WHEN hour(ts)=0 AND minute(ts)=0 THEN 23.5e0 ELSE hour(ts)+minute(ts)/60e0-0.5e0 END, year(ts), dayofyear(ts), v FROM obs",
     "obs",
 )
 def _(t):
+    """Every written stage, read back."""
     base = scratch(t, "stages")
     for name, df in sm.summarize_by_time(t.obs(), ["v"], ["veg"], "ts").items():
         sk.write_stage(df, base, name)
-    diurnal = rd.read_stage(t.spark, base, "diurnal")
-    annual = rd.read_stage(t.spark, base, "annual")
-    return diurnal.select(
-        F.lit("diurnal").alias("stage"), "veg", "season", "hour", F.lit(0).alias("year"), F.col("v_houravg").alias("v_avg")
-    ).unionByName(
-        annual.select(F.lit("annual").alias("stage"), "veg", F.lit("year").alias("season"), F.lit(0.0).alias("hour"), "year", F.col("v_yearavg").alias("v_avg"))
-    )
+    none = F.lit(0)
+    whole = {
+        "diurnal": ("season", "hour", none, none, "v_houravg"),
+        "annual": (F.lit("year"), F.lit(0.0), "year", none, "v_yearavg"),
+        "daily": (F.lit("day"), F.lit(0.0), none, "doy", "v_dailyavg"),
+        "all": (F.lit("none"), "hour", F.year("ts"), F.dayofyear("ts"), "v"),
+    }
+    names = ("season", "hour", "year", "doy", "v_avg")
+    parts = []
+    for stage, columns in whole.items():
+        shown = [(F.col(c) if isinstance(c, str) else c).alias(n) for c, n in zip(columns, names, strict=True)]
+        parts.append(rd.read_stage(t.spark, base, stage).select(F.lit(stage).alias("stage"), "veg", *shown))
+    return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 @query(

@@ -127,7 +127,7 @@ def _(t):
     cells = t.supplier.select(
         F.col("s_acctbal").alias("lat"), (F.col("s_suppkey") * 7 % 360).cast("double").alias("lon")
     )
-    return jn.nearest_cell(points, cells, ["lat", "lon"], width=500.0)
+    return jn.nearest_cell(points, cells, ["lat", "lon"])
 
 
 @query(

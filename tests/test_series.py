@@ -189,10 +189,20 @@ def test_nearest_of_two_equal_distances_is_the_larger(spark):
     places = [5.0, -50.0, 99.0, 10.0, None] + [5.0] * 20
     points = spark.createDataFrame(list(enumerate(places)), "id int, lat double")
     cells = spark.createDataFrame([(0.0,), (10.0,), (20.0,)], "lat double")
-    got = {r.id: r.near_lat for r in jn.nearest_cell(points, cells, ["lat"], width=3.0).collect()}
+    got = {r.id: r.near_lat for r in jn.nearest_cell(points, cells, ["lat"]).collect()}
     assert got == {0: 10.0, 1: 0.0, 2: 20.0, 3: 10.0, 4: None, **{i: 10.0 for i in range(5, 25)}}
 
 
+def test_places_close_together_spread_over_all_ranges(spark):
+    """Every point within one unit of the axis: still as many ranges as tasks, none with a quarter of the places."""
+    points = spark.range(4000).select("id", (F.col("id") / 4000).alias("lat"))
+    sizes = [r["count"] for r in jn.in_ranges(points, ["lat"]).groupBy(jn.RANGE).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 1000
+    cells = spark.createDataFrame([(-5.0,), (0.3,), (0.7,), (44.0,)], "lat double")
+    got = jn.nearest_cell(points, cells, ["lat"])
+    assert got.count() == 4000 and got.where(F.col("near_lat") != F.when(F.col("lat") < 0.5, 0.3).otherwise(0.7)).isEmpty()
+
+
 def test_hot_keys_stay_where_they_are(spark):
     """A thousand equal rows meet a side too large to broadcast in the tasks that hold them."""
     big = spark.range(0, 3000, 1, 16).select(F.when(F.col("id") % 3 > 0, F.lit(7)).otherwise(F.col("id")).alias("k"), F.lit("same").alias("v"))

@@ -217,3 +217,19 @@ def test_many_overlapping_rules_equal_a_direct_test(spark):
     stretches = qc.rule_stretches(spark.createDataFrame(rules, qc.RULE_SCHEMA)).where("site = 'a' and variable = 'x'").orderBy("first").collect()
     assert all(a["last"] < b["first"] for a, b in zip(stretches, stretches[1:], strict=False))
     assert qc.range_filter(df, spark.createDataFrame([], qc.RULE_SCHEMA)).count() == len(rows)
+
+
+def test_dimensions_are_checked_at_every_depth(spark):
+    df = spark.createDataFrame(
+        [(1, [1.0, 2.0], [[1, 2], [3, 4]]), (2, [1.0], [[1, 2], [3]]), (3, None, None), (4, [], [None, [1, 2]]), (5, [1.0, 2.0], [[1, 2]])],
+        "id int, flat array<double>, nested array<array<int>>",
+    )
+    got = sorted(map(tuple, qc.check_dims(df, ["id"], {"flat": [2], "nested": [2, 2]}).collect()))
+    assert got == [(2, "flat", 1, 2, 1), (2, "nested", 2, 2, 1), (4, "flat", 1, 2, 0), (5, "nested", 1, 2, 1)]
+    assert sorted(map(tuple, qc.check_dims(df, ["id"], {"flat": [2, 9]}).where("dimension = 2").collect())) == [(i, "flat", 2, 9, -1) for i in (1, 2, 4, 5)]
+
+
+def test_too_many_levels_end_the_job_whichever_is_read(spark):
+    df = spark.createDataFrame([([1.0] * 10,)], "v array<double>")
+    with pytest.raises(Exception, match="10 levels"):
+        rs.flatten_levels(df, ["v"], 8).select("v_8").collect()
