@@ -183,7 +183,8 @@ def _diurnal_found(
     line = line.select(*by, "_day", reached.alias("_reached")).where(F.col("_reached") <= days[-1]).select(*by, "_day", half.alias("_half"))
     wanted = settle(line)
 
-    levels = (2 * days[-1] + 1).bit_length() - 1
+    # A window of a few days is its days.
+    levels = (2 * days[-1] + 1).bit_length() - 1 if days[-1] > 3 else 0
     tree = _moment_tree(base, by, levels)
     nodes = _aligned(F.col("_day") - F.col("_half"), F.col("_day") + F.col("_half") + 1, levels)
     asked = wanted.select(*by, "_day", "_half", F.explode(nodes).alias("_x")).select(*by, "_day", "_half", F.col("_x.level").alias("_level"), F.col("_x.node").alias("_node"))
