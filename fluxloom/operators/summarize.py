@@ -8,7 +8,7 @@ cost no more than cold ones.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -115,21 +115,78 @@ def precip_totals(
     )
 
 
-def resample(df: DataFrame, keys: Sequence[str], ts: str, freq: str, aggs: dict[str, str]) -> DataFrame:
-    """Calendar re-binning to days (D), months (M), years (Y) or quarters from December (QS-DEC)."""
-    d = F.to_date(ts)
-    start = {
+def _bin_start(d: Column, freq: str) -> Column:
+    return {
         "D": d,
         "M": F.make_date(F.year(d), F.month(d), F.lit(1)),
         "Y": F.make_date(F.year(d), F.lit(1), F.lit(1)),
         "QS-DEC": tp.quarter_from_december(d),
     }[freq]
+
+
+def resample(df: DataFrame, keys: Sequence[str], ts: str, freq: str, aggs: dict[str, str]) -> DataFrame:
+    """Calendar re-binning to days (D), months (M), years (Y) or quarters from December (QS-DEC)."""
+    start = _bin_start(F.to_date(ts), freq)
     fns = {"mean": F.avg, "min": F.min, "max": F.max, "sum": F.sum}
     return df.groupBy(*keys, start.alias("start")).agg(
         *[fns[how](c).alias(f"{c}_{how}") for c, how in aggs.items()]
     )
 
 
+def day_cube(df: DataFrame, keys: Sequence[str], ts: str, cols: Sequence[str]) -> DataFrame:
+    """One row per series and day with states that merge: number, sum, least and greatest of every column.
+
+    The table is read once, for whatever calendar levels are rolled up from it.
+    """
+    states = [fn(c).alias(f"{c}_{name}") for c in cols for name, fn in (("n", F.count), ("sum", F.sum), ("min", F.min), ("max", F.max))]
+    return df.groupBy(*keys, F.to_date(ts).alias("date")).agg(*states)
+
+
+def _merged(c: str, how: str) -> Column:
+    total, n = F.sum(f"{c}_sum"), F.sum(f"{c}_n")
+    return {"mean": F.try_divide(total, n), "sum": total, "min": F.min(f"{c}_min"), "max": F.max(f"{c}_max")}[how]
+
+
+def roll_up(cube: DataFrame, keys: Sequence[str], freqs: Sequence[str], aggs: Mapping[str, str]) -> DataFrame:
+    """Several calendar levels of a day cube side by side: ``freq, start`` and the aggregates.
+
+    Every day is sent to its bin of each level; levels as in ``resample``.
+    """
+    bins = [F.struct(F.lit(f).alias("freq"), _bin_start(F.col("date"), f).alias("start")) for f in freqs]
+    dealt = cube.withColumn("_bin", F.explode(F.array(*bins)))
+    return dealt.groupBy(*keys, F.col("_bin.freq").alias("freq"), F.col("_bin.start").alias("start")).agg(
+        *[_merged(c, how).alias(f"{c}_{how}") for c, how in aggs.items()]
+    )
+
+
+def precip_levels(cube: DataFrame, rate: str, keys: Sequence[str], levels: Sequence[str]) -> DataFrame:
+    """Totals of ``precip_totals`` for several levels of one day cube: ``level, year, month`` (0 above months), ``total``.
+
+    ``autumn`` is what ``summer_bug`` gives.
+    """
+    date = F.col("date")
+    year, month, none = F.year(date), F.month(date), F.lit(0)
+    known = {
+        "annual": (F.lit(True), none, F.lit(365)),
+        "monthly": (F.lit(True), month, tp.days_in_month(month)),
+        "summer": (month.between(6, 9), none, F.lit(122)),
+        "autumn": (month > 9, none, F.lit(122)),
+    }
+    bins = [
+        F.when(
+            known[name][0],
+            F.struct(F.lit(name).alias("level"), year.alias("year"), known[name][1].alias("month"), known[name][2].cast("int").alias("days")),
+        )
+        for name in levels
+    ]
+    dealt = cube.withColumn("_bin", F.explode(F.array_compact(F.array(*bins)))).select("*", "_bin.*")
+    return (
+        dealt.groupBy(*keys, "level", "year", "month", "days").agg(_merged(rate, "mean").alias("_rate"))
+        .withColumn("total", F.col("_rate") * float(tp.DAY_SECONDS) * F.col("days"))
+        .drop("_rate", "days")
+    )
+
+
 def by_season(resampled: DataFrame, month: int) -> DataFrame:
     """Quarters that start in the given month (12, 3, 6 or 9)."""
     return resampled.filter(F.month("start") == month)

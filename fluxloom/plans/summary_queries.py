@@ -347,18 +347,8 @@ _DAYS = "CASE WHEN month IN (1,3,5,7,8,10,12) THEN 31 WHEN month=2 THEN 28 ELSE
     "obs",
 )
 def _(t):
-    obs = t.obs()
-    zero = F.lit(0).alias("month")
-
-    def part(level: str, name: str, **kw):
-        out = sm.precip_totals(obs, "v", ["veg"], "ts", level, **kw)
-        month = F.col("month") if level == "monthly" else zero
-        return out.select(F.lit(name).alias("level"), "veg", "year", month, "total")
-
-    return rs.stack_rows(
-        part("annual", "annual"), part("monthly", "monthly"), part("summer", "summer"),
-        part("summer", "autumn", summer_bug=True),
-    )
+    cube = sm.day_cube(t.obs(), ["veg"], "ts", ["v"])
+    return sm.precip_levels(cube, "v", ["veg"], ["annual", "monthly", "summer", "autumn"])
 
 
 @query(
@@ -371,13 +361,8 @@ def _(t):
     "obs",
 )
 def _(t):
-    obs = t.obs()
-    return rs.stack_rows(
-        *[
-            sm.resample(obs, ["veg"], "ts", f, {"v": "mean", "w": "max"}).withColumn("freq", F.lit(f))
-            for f in ("D", "M", "Y", "QS-DEC")
-        ]
-    )
+    cube = sm.day_cube(t.obs(), ["veg"], "ts", ["v", "w"])
+    return sm.roll_up(cube, ["veg"], ["D", "M", "Y", "QS-DEC"], {"v": "mean", "w": "max"})
 
 
 @query(

@@ -17,6 +17,9 @@ from fluxloom.operators.reshape import stack_rows
 #: Column types for the domains used in data-set descriptions.
 DOMAINS = {"text": "string", "dateTime": "timestamp_ntz", "date": "date", "numeric": "double", "enumerated": "string"}
 
+#: Files asked for their first lines by one job.
+FILES = 32
+
 
 def _paths(path) -> list[str]:
     return [path] if isinstance(path, str) else list(path)
@@ -43,20 +46,24 @@ def _opening(spark: SparkSession, paths: list[str], n: int, keep: Column | None
     return [r.value for r in lines.select("value").limit(n).collect()]
 
 
-def _heads(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list[str]]:
-    """Files by their first two lines. Of several files the first blocks are read through, two lines a file come back."""
-    lines = spark.read.text(paths)
-    if len(lines.inputFiles()) == 1:
-        return {tuple(_opening(spark, paths, 2)): paths}
-    first_blocks = lines.filter("_metadata.file_block_start = 0")
-    at = first_blocks.select(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at"), "value")
-    top = at.groupBy("file").agg(F.min("at").alias("top"))
-    heads = at.join(top, "file").filter("at <= top + 1").groupBy("file").agg(
-        F.array_sort(F.collect_list(F.struct("at", "value")))["value"].alias("head")
-    )
+def _heads(spark: SparkSession, paths: list[str], n: int = 2) -> dict[tuple[str, ...], list[str]]:
+    """Files by their first ``n`` lines.
+
+    Every file is asked for its first lines by a limit of its own, ``FILES``
+    of them in one job; the scan behind a limit stops after one buffer. A
+    session of its own keeps files whole: a limit takes lines of any split.
+    """
+    session = spark.newSession()
+    session.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 50))
+    listed = sorted({unquote(f) for f in spark.read.text(paths).inputFiles()})
     files: dict[tuple[str, ...], list[str]] = {}
-    for r in heads.orderBy("file").collect():
-        files.setdefault(tuple(r.head), []).append(unquote(r.file))
+    for at in range(0, len(listed), FILES):
+        some = listed[at : at + FILES]
+        tops = [session.read.text(f).limit(n).select(F.lit(i).alias("i"), F.monotonically_increasing_id().alias("at"), "value") for i, f in enumerate(some)]
+        lines = sorted(reduce(DataFrame.unionAll, tops).collect())
+        for i, f in enumerate(some):
+            if head := tuple(r.value for r in lines if r.i == i):
+                files.setdefault(head, []).append(f)
     return files
 
 

@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,17 +25,17 @@ def _as_text(f: T.StructField, sentinel: float):
 def write_lines(lines: DataFrame, path: str, head: Sequence[str] = ()) -> None:
     """Text lines, every part file opening with the head lines.
 
-    Lines are put together by Spark; the per-task step only sends the head first.
+    A task writes one file: its first row, told by its number within the
+    partition, brings the head along. Of a table without rows the head is left.
     """
-    first = list(head)
-
-    def with_head(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield pa.RecordBatch.from_pydict({"value": first})
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0)], names=["value"])
-
-    out = lines.mapInArrow(with_head, "value string") if first else lines
-    out.write.mode("overwrite").text(path)
+    write = lambda df: df.write.mode("overwrite").option("maxRecordsPerFile", 0).text(path)
+    if not head:
+        return write(lines)
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    top = F.when(place == 0, F.lit("".join(f"{line}\n" for line in head))).otherwise("")
+    write(lines.select(F.concat(top, F.coalesce("value", F.lit(""))).alias("value")))
+    if lines.sparkSession.read.text(path).isEmpty():
+        write(from_rows(lines.sparkSession, [("\n".join(head),)], "value string"))
 
 
 def write_units_table(df: DataFrame, path: str, sep: str = "\t", sentinel: float = SENTINEL) -> None:

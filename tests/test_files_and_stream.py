@@ -42,6 +42,43 @@ def test_units_tables_of_other_column_orders_meet_by_name(spark, tmp_path):
     assert df.schema["v"].metadata["units"] == "m"
 
 
+def test_heads_are_read_without_the_files(spark, tmp_path):
+    size = 0
+    for i in range(6):
+        text = f"Hour\tv{i % 2}\n--\tm\n" + "".join(f"{k}\t{k / 7:.12f}\n" for k in range(200_000 if i else 1))
+        put(tmp_path / f"h{i}.txt", text)
+        size += len(text)
+    put(tmp_path / "short.txt", "Hour\tv0\n")
+    files = [str(p) for p in tmp_path.iterdir()]
+    sc = spark.sparkContext
+    sc.setJobGroup("heads", "heads")
+    try:
+        heads = rd._heads(spark, files)
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert {h: len(f) for h, f in heads.items()} == {("Hour\tv0", "--\tm"): 3, ("Hour\tv1", "--\tm"): 3, ("Hour\tv0",): 1}
+    tracker, store = sc.statusTracker(), sc._jsc.sc().statusStore()
+    stages = {s for j in tracker.getJobIdsForGroup("heads") for s in tracker.getJobInfo(j).stageIds}
+    read = sum(store.lastStageAttempt(s).inputBytes() for s in stages if tracker.getStageInfo(s))
+    assert 0 < read < size / 10
+
+
+@pytest.mark.parametrize("parts", [1, 3])
+def test_every_part_opens_with_the_head(spark, tmp_path, parts):
+    df = spark.range(10).select(F.col("id").cast("double").alias("a"), F.when(F.col("id") > 4, F.col("id")).alias("b"))
+    sk.write_units_table(df.repartition(parts), str(tmp_path / "t"))
+    texts = [p.read_text().splitlines() for p in (tmp_path / "t").glob("part-*")]
+    assert sum(len(t) - 2 for t in texts if t) == 10 and len(texts) == parts
+    assert all(t[:2] == ["a\tb", "--\t--"] for t in texts if t)
+    assert "Python" not in df._jdf.queryExecution().toString()
+
+
+def test_a_table_without_rows_keeps_its_head(spark, tmp_path):
+    df = spark.range(0).select(F.col("id").cast("double").alias("a"))
+    sk.write_units_table(df, str(tmp_path / "t"))
+    assert [r.value for r in spark.read.text(str(tmp_path / "t")).collect()] == ["a", "--"]
+
+
 def test_units_table_with_commas_and_quotes(spark, tmp_path):
     p = put(tmp_path / "t.csv", '"time","wc10"\n"--","%"\n"2020-01-01 00:30:00",0.5\n')
     df = rd.read_units_table(spark, p, {"time": "timestamp_ntz"}, sep=",")
