@@ -135,9 +135,15 @@ def add_series(
     return joined.withColumn(target, total).drop("_add").select(*df.columns)
 
 
-def model_ready(df: DataFrame, ts: str, offset: str = "-07:00") -> DataFrame:
-    """UTC stamps, no 29 February (by UTC date), month label anew."""
-    utc = df.withColumn(ts, tp.shift_zone(ts, offset, "+00:00"))
+def model_ready(df: DataFrame, ts: str, offset: str | Column = "-07:00") -> DataFrame:
+    """UTC stamps, no 29 February (by UTC date), month label anew.
+
+    ``offset`` of the clock the stamps are on: the same for all rows, or a
+    column of hours from UTC.
+    """
+    utc = df.withColumn(
+        ts, tp.shift_zone(ts, offset, "+00:00") if isinstance(offset, str) else tp.plus_seconds(ts, F.round(offset * -3600))
+    )
     return drop_leap_day(utc, ts).withColumn("year_mon", tp.year_mon(ts))
 
 

@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fluxloom.functions import timeparts as tp
-from fluxloom.operators import partition
+from fluxloom.operators import partition, qc
 from fluxloom.operators import summarize as sm
 from fluxloom.operators.attach import from_rows
 from fluxloom.operators.joins import classify
 from fluxloom.plans import workflows as wf
 from fluxloom.plans.inputs import bin_sql, season_sql
-from fluxloom.plans.registry import query
+from fluxloom.plans.registry import query, scratch
+from fluxloom.streaming.rebin import rebin_available
 
 
 @query(
@@ -82,19 +83,111 @@ def _(t):
     "flowfilled grid",
 )
 def _(t):
+    runoff = t.sensor().filter("sensor = 'error'").select(
+        # UTC, some seconds off the minute.
+        tp.plus_seconds("ts", F.lit(7 * 3600 - 1800) + F.dayofmonth("ts") - 16).alias("ts"), (F.col("v") / 1e5).alias("QRUNOFF")
+    )
+    return wf.prepare_forcing(_flux_towers(t), _rain(t), _light(t, 4, -80), "East", 40.0, -105.5, runoff=runoff)
+
+
+def _flux_towers(t):
     # Respiration of known sensitivity to temperature, disturbed by another sensor.
     celsius = F.col("click") / 10 - 5
     term = partition.temperature_term(celsius)
     nee = 2.0 * F.exp(200.0 * term) * (1 + (F.col("purchase") - 50) / 500)
     cols = {"NEE": nee, "Tair": celsius, "rH": F.col("signup"), "P": F.col("error") / 10 + 60}
-    towers = t.tower_grid().select("site", "ts", *[c.alias(n) for n, c in cols.items()])
-    rain = t.sensor().filter("sensor = 'purchase'").select("ts", (F.col("v") / 1800).alias("PRECTmms"))
-    light = t.sensor().filter("sensor = 'view'").select("ts", (F.col("v") * 4 - 80).alias("Rg"))
+    return t.tower_grid().select("site", "ts", *[c.alias(n) for n, c in cols.items()])
+
+
+def _rain(t):
+    return t.sensor().filter("sensor = 'purchase'").select("ts", (F.col("v") / 1800).alias("PRECTmms"))
+
+
+def _light(t, factor: int, offset: int):
+    return t.sensor().filter("sensor = 'view'").select("ts", (F.col("v") * factor + offset).alias("Rg"))
+
+
+@query(
+    "forcing_of_stations",
+    "station:s community:s ts:t year_mon:s PRECTmms:9 Tair:6 Rg:6 NEE:6 VPD:6",
+    "SELECT station, community, ts, strftime(ts,'%Y-%m') AS year_mon, \"Rg\", \"NEE\", \"VPD\", tk AS \"Tair\", "
+    "CASE WHEN community='MM' OR tk>=273.15 THEN p WHEN tk<273.15 THEN p*CASE community WHEN 'WM' THEN 0.75e0 WHEN 'SB' THEN 2e0 ELSE 0.1e0 END END "
+    "+ CASE WHEN community='WM' AND station='north' THEN coalesce(q/1e5,0) ELSE 0 END AS \"PRECTmms\" FROM "
+    "(SELECT w.*, k.community, g.error AS q, w.own + CASE w.station WHEN 'north' THEN INTERVAL 390 MINUTE ELSE INTERVAL (-90) MINUTE END AS ts FROM "
+    "(SELECT site AS station, ts AS own, max(filled) FILTER (WHERE variable='NEE') AS \"NEE\", max(filled) FILTER (WHERE variable='Tair')+273.15e0 AS tk, "
+    "max(filled) FILTER (WHERE variable='PRECTmms') AS p, max(filled) FILTER (WHERE variable='Rg') AS \"Rg\", max(filled) FILTER (WHERE variable='VPD') AS \"VPD\" "
+    "FROM stationfilled GROUP BY site, ts) w CROSS JOIN (VALUES ('FF'),('DM'),('MM'),('WM'),('SB')) k(community) LEFT JOIN kinds g ON g.ts=w.own)",
+    "stationfilled kinds",
+)
+def _(t):
+    # Two stations on clocks eight hours apart; either tower is the base of one of them.
+    def at(station: str, df):
+        return df.withColumn("station", F.lit(station))
+
+    stations = from_rows(
+        t.spark, [("north", "East", 40.0, -105.5, -7.0), ("south", "West", 45.0, 7.0, 1.0)],
+        "station string, base string, lat double, lon double, zone_hours double",
+    )
+    both = F.explode(F.array(F.lit("north"), F.lit("south"))).alias("station")
+    light = at("north", _light(t, 4, -80)).unionByName(at("south", _light(t, 3, -40)))
     runoff = t.sensor().filter("sensor = 'error'").select(
-        # UTC, some seconds off the minute.
-        tp.plus_seconds("ts", F.lit(7 * 3600 - 1800) + F.dayofmonth("ts") - 16).alias("ts"), (F.col("v") / 1e5).alias("QRUNOFF")
+        F.lit("north").alias("station"), tp.plus_seconds("ts", F.lit(7 * 3600 - 1800)).alias("ts"), (F.col("v") / 1e5).alias("QRUNOFF")
     )
-    return wf.prepare_forcing(towers, rain, light, "East", 40.0, -105.5, runoff=runoff)
+    return wf.prepare_forcings(_flux_towers(t).select("*", both), _rain(t).select("*", both), light, stations, runoff=runoff)
+
+
+@query(
+    "rain_of_gauges",
+    "gauge:s ts:t PRECTmms:9",
+    "SELECT f.gauge, f.ts, CASE WHEN d.total=0 THEN 0 WHEN s.w=0 THEN d.total/s.n ELSE d.total*f.w/s.w END/3600e0 AS \"PRECTmms\" FROM "
+    "(SELECT user_id%3 AS gauge, CAST(ts AS DATE) AS date, date_trunc('hour',ts) AS ts, coalesce(CASE WHEN count(*) FILTER (WHERE value<=1)=0 "
+    "THEN sum(value) END, 0) AS w FROM events WHERE event_type<>'purchase' AND user_id%3<>2 GROUP BY ALL UNION ALL "
+    "SELECT 2, date, unnest(generate_series(date + INTERVAL 0 HOUR, date + INTERVAL 23 HOUR, INTERVAL 1 HOUR)), 0 FROM "
+    "(SELECT DISTINCT CAST(ts AS DATE) AS date FROM events WHERE event_type='purchase' AND user_id%3=2)) f JOIN "
+    "(SELECT user_id%3 AS gauge, CAST(ts AS DATE) AS date, sum(value)*0.39e0 AS total FROM events WHERE event_type='purchase' GROUP BY ALL) d USING (gauge, date) "
+    "JOIN (SELECT gauge, date, sum(w) AS w, count(*) AS n FROM (SELECT user_id%3 AS gauge, CAST(ts AS DATE) AS date, date_trunc('hour',ts) AS h, "
+    "coalesce(CASE WHEN count(*) FILTER (WHERE value<=1)=0 THEN sum(value) END, 0) AS w FROM events WHERE event_type<>'purchase' AND user_id%3<>2 GROUP BY ALL) GROUP BY ALL "
+    "UNION ALL SELECT DISTINCT 2, CAST(ts AS DATE), 0, 24 FROM events WHERE event_type='purchase' AND user_id%3=2) s USING (gauge, date)",
+)
+def _(t):
+    # Hourly steps; records of every third number came twice, and the last gauge's fine sensor was out.
+    gauge = (F.col("user_id") % 3).alias("gauge")
+    daily = t.events.filter("event_type = 'purchase'").groupBy(gauge, F.to_date("ts").alias("date")).agg(F.sum("value").alias("ppt"))
+    read = t.events.filter("event_type <> 'purchase' AND user_id % 3 <> 2")
+    fine = read.union(read.filter("event_id % 3 = 0")).select(gauge, "event_id", "ts", F.when(F.col("value") > 1, F.col("value")).alias("w"))
+    rain = wf.half_hour_precipitation(daily, fine, "ppt", "w", ["gauge"], step=3600, repeats=False)
+    return rain.filter(F.col("PRECTmms").isNotNull())
+
+
+@query(
+    "a6_rebin_stream",
+    "sensor:s ts:t v:6",
+    f"SELECT sensor, ts, coalesce(v,0) AS v FROM (SELECT event_type AS sensor, {bin_sql('start')} AS ts, "
+    "CASE WHEN count(*) FILTER (WHERE value<1)=0 THEN sum(value) END AS v FROM events GROUP BY ALL)",
+)
+def _(t):
+    # The feed comes in four parts; the stream is stopped after each and goes on from its checkpoint.
+    place = scratch(t, "feed")
+    feed = qc.null_outside(t.events.select(F.col("event_type").alias("sensor"), F.col("ts").cast("timestamp_ntz"), F.col("value").alias("v")), {"v": (1, None)})
+    ends = feed.agg(F.min("ts").alias("first"), F.max("ts").alias("last")).first()
+    session = t.spark.newSession()
+    session.conf.set("spark.sql.session.timeZone", "UTC")
+    session.conf.set("spark.sql.shuffle.partitions", t.spark.conf.get("spark.sql.shuffle.partitions"))
+    cuts = [ends["first"] + (ends["last"] - ends["first"]) * i / 4 for i in range(1, 4)]
+    # A row of another day closes the last bins.
+    closing = t.spark.range(1).select(F.lit(None).cast("string").alias("sensor"), (F.lit(ends["last"]).cast("timestamp_ntz") + F.expr("INTERVAL 2 DAYS")).alias("ts"), F.lit(None).cast("double").alias("v"))
+    edges = [None, *cuts, None]
+    for low, high in zip(edges, edges[1:]):
+        part = feed
+        if low is not None:
+            part = part.filter(F.col("ts") >= F.lit(low).cast("timestamp_ntz"))
+        if high is not None:
+            part = part.filter(F.col("ts") < F.lit(high).cast("timestamp_ntz"))
+        (part if high is not None else part.union(closing)).write.mode("append").parquet(f"{place}/in")
+        rebin_available(
+            session, f"{place}/in", "sensor string, ts timestamp_ntz, v double", f"{place}/out", f"{place}/state", ["sensor"], "ts", {"v": "sum"}, null="strict"
+        )
+    return qc.null_to_zero(t.spark.read.schema("sensor string, ts timestamp_ntz, v double").parquet(f"{place}/out"), ["v"])
 
 
 @query(

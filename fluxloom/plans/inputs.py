@@ -148,6 +148,25 @@ def sun_sql(lat: str = "40.0e0", lon: str = "-105.5e0", zone: str = "-7e0") -> s
     return f"(sin(radians({lat}))*sin({decl})+cos(radians({lat}))*cos({decl})*cos({angle}))"
 
 
+def flow_sql(base: str, fill: str, light: str, rain: str, rains: str, lights: str) -> str:
+    """One tower filled from the other, beside rain and radiation."""
+    nee = "2e0*exp(200e0*(1e0/61.02e0-1e0/(click/10e0-5+46.02e0)))*(1+(purchase-50)/500e0)"
+    return (
+        "SELECT *, 6.1078e0*exp(17.08085e0*tair/(234.175e0+tair))*(1-rh/100e0) AS vpd FROM (SELECT b.ts, "
+        "CASE WHEN coalesce(b.nee,f.nee) BETWEEN -100 AND 100 THEN coalesce(b.nee,f.nee) END AS nee, coalesce(b.click,f.click)/10e0-5 AS tair, "
+        f"CASE WHEN coalesce(b.signup,f.signup)>100 THEN 100 ELSE coalesce(b.signup,f.signup) END AS rh, {rain}/1800e0 AS prect, "
+        f"CASE WHEN {light}<0 THEN 0 WHEN {light}>1200 THEN 1200 ELSE {light} END AS rg FROM "
+        f"(SELECT *, {nee} AS nee FROM {base}) b JOIN (SELECT *, {nee} AS nee FROM {fill}) f ON f.ts=b.ts LEFT JOIN {rains} LEFT JOIN {lights})"
+    )
+
+
+def _long_sql(site: str, wide: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{site}' AS site, ts, '{name}' AS variable, CAST(epoch(ts) AS BIGINT)//1800 AS pos, rg, vpd, tair AS ta, {col} AS y FROM {wide}"
+        for name, col in (("NEE", "nee"), ("Tair", "tair"), ("PRECTmms", "prect"), ("Rg", "rg"), ("VPD", "vpd"))
+    )
+
+
 _KIND_COLS = ", ".join(f"avg(value) FILTER (WHERE event_type='{k}') AS {k}" for k in KINDS)
 
 #: Name: (expressions it needs, SQL).
@@ -250,21 +269,25 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "flowwide": (
         ("tgrid", "grid"),
-        "SELECT *, 6.1078e0*exp(17.08085e0*tair/(234.175e0+tair))*(1-rh/100e0) AS vpd FROM (SELECT b.ts, "
-        "CASE WHEN coalesce(b.nee,f.nee) BETWEEN -100 AND 100 THEN coalesce(b.nee,f.nee) END AS nee, coalesce(b.click,f.click)/10e0-5 AS tair, "
-        "CASE WHEN coalesce(b.signup,f.signup)>100 THEN 100 ELSE coalesce(b.signup,f.signup) END AS rh, p.v/1800e0 AS prect, "
-        "CASE WHEN l.v*4-80<0 THEN 0 WHEN l.v*4-80>1200 THEN 1200 ELSE l.v*4-80 END AS rg FROM "
-        "(SELECT *, 2e0*exp(200e0*(1e0/61.02e0-1e0/(click/10e0-5+46.02e0)))*(1+(purchase-50)/500e0) AS nee FROM tgrid WHERE site='East') b JOIN "
-        "(SELECT *, 2e0*exp(200e0*(1e0/61.02e0-1e0/(click/10e0-5+46.02e0)))*(1+(purchase-50)/500e0) AS nee FROM tgrid WHERE site='West') f ON f.ts=b.ts "
-        "LEFT JOIN grid p ON p.ts=b.ts AND p.sensor='purchase' LEFT JOIN grid l ON l.ts=b.ts AND l.sensor='view')",
-    ),
-    "flowlong": (
-        ("flowwide",),
-        " UNION ALL ".join(
-            f"SELECT 'both' AS site, ts, '{name}' AS variable, CAST(epoch(ts) AS BIGINT)//1800 AS pos, rg, vpd, tair AS ta, {col} AS y FROM flowwide"
-            for name, col in (("NEE", "nee"), ("Tair", "tair"), ("PRECTmms", "prect"), ("Rg", "rg"), ("VPD", "vpd"))
+        flow_sql(
+            "tgrid WHERE site='East'", "tgrid WHERE site='West'", "l.v*4-80", "p.v",
+            "grid p ON p.ts=b.ts AND p.sensor='purchase'", "grid l ON l.ts=b.ts AND l.sensor='view'",
         ),
     ),
+    # The same towers and sensors side by side.
+    "slots": (
+        (),
+        "SELECT unnest(generate_series(CASE WHEN a=date_trunc('day',a) THEN a ELSE date_trunc('day',a) + INTERVAL 1 DAY END + INTERVAL 30 MINUTE, "
+        f"date_trunc('day',z), INTERVAL 30 MINUTE)) AS ts FROM (SELECT {bin_sql(ts='min(ts)')} AS a, {bin_sql(ts='max(ts)')} AS z FROM events)",
+    ),
+    "kinds": (("slots",), f"SELECT * FROM slots LEFT JOIN (SELECT {bin_sql()} AS ts, {_KIND_COLS} FROM events GROUP BY 1) USING (ts)"),
+    "east": (("slots",), f"SELECT * FROM slots LEFT JOIN (SELECT {bin_sql()} AS ts, {_KIND_COLS} FROM events WHERE user_id%2=0 GROUP BY 1) USING (ts)"),
+    "west": (("slots",), f"SELECT * FROM slots LEFT JOIN (SELECT {bin_sql()} AS ts, {_KIND_COLS} FROM events WHERE user_id%2=1 GROUP BY 1) USING (ts)"),
+    "northwide": (("east", "west", "kinds"), flow_sql("east", "west", "l.view*4-80", "p.purchase", "kinds p ON p.ts=b.ts", "kinds l ON l.ts=b.ts")),
+    "southwide": (("east", "west", "kinds"), flow_sql("west", "east", "l.view*3-40", "p.purchase", "kinds p ON p.ts=b.ts", "kinds l ON l.ts=b.ts")),
+    "flowlong": (("flowwide",), _long_sql("both", "flowwide")),
+    "stationlong": (("northwide", "southwide"), _long_sql("north", "northwide") + " UNION ALL " + _long_sql("south", "southwide")),
+    "stationfilled": (("stationlong",), mds_sql("stationlong", "'NEE'")),
     "flowfilled": (("flowlong",), mds_sql("flowlong", "'NEE'")),
     "mdsown": (
         ("tgrid",),

@@ -20,6 +20,7 @@ from fluxloom.operators import joins as jn
 from fluxloom.operators import mds, partition, qc
 from fluxloom.operators import reshape as rs
 from fluxloom.operators import summarize as sm
+from fluxloom.operators.attach import attach, from_rows
 from fluxloom.session import settle
 
 # Variables a two-tower record carries, in the order they are filled.
@@ -55,21 +56,31 @@ def clean_towers(
     return fl.fill_from(joined, fill_variable, "_fallback", guard).drop("_fallback")
 
 
-def half_hour_precipitation(daily: DataFrame, fine: DataFrame, total: str, weight: str) -> DataFrame:
-    """Corrected daily gauge spread over half hours, as a rate per second.
+def half_hour_precipitation(
+    daily: DataFrame, fine: DataFrame, total: str, weight: str, keys: Sequence[str] = (), step: int = 1800,
+    repeats: bool = True,
+) -> DataFrame:
+    """Corrected daily gauge spread over steps of ``step`` seconds, as a rate per second.
 
-    A day without any fine row gets all its half hours at weight 0, so its
-    total is spread evenly and not lost.
+    A day without any fine row gets all its steps at weight 0, so its total is
+    spread evenly and not lost. ``keys`` name the gauges of a table that holds
+    several. Without ``repeats`` rows of ``fine`` that agree in all columns, as
+    where files overlap, count once.
     """
+    keys = list(keys)
+    if not repeats:
+        fine = fine.distinct()
     corrected = qc.null_to_zero(de.month_factor(daily, total, "date"), [total])
-    bins = qc.null_to_zero(gr.rebin(fine, [], "ts", {weight: "sum"}, null="strict"), [weight])
+    bins = qc.null_to_zero(gr.rebin(fine, keys, "ts", {weight: "sum"}, width=step, null="strict"), [weight])
     bins = bins.withColumn("date", F.to_date("ts"))
-    bare = corrected.select("date").join(bins.select("date").distinct(), "date", "left_anti")
+    bare = corrected.select(*keys, "date").join(bins.select(*keys, "date").distinct(), [*keys, "date"], "left_anti")
     midnight = F.col("date").cast("timestamp_ntz")
-    steps = F.sequence(midnight, tp.plus_seconds(midnight, F.lit(84600)), F.expr("INTERVAL 30 MINUTE"))
-    whole = bins.unionByName(bare.select("date", F.explode(steps).alias("ts"), F.lit(0.0).alias(weight)))
-    spread = de.disaggregate(corrected, whole, [], "date", total, weight)
-    return spread.select("ts", (F.col("amount") / 1800.0).alias("PRECTmms"))
+    slots = F.sequence(F.lit(0), F.lit(tp.DAY_SECONDS // step - 1))
+    steps = bare.select(*keys, "date", F.explode(slots).alias("_slot")).select(
+        *keys, "date", tp.plus_seconds(midnight, F.col("_slot") * step).alias("ts"), F.lit(0.0).alias(weight)
+    )
+    spread = de.disaggregate(corrected, bins.unionByName(steps), keys, "date", total, weight)
+    return spread.select(*keys, "ts", (F.col("amount") / float(step)).alias("PRECTmms"))
 
 
 def prepare_forcing(
@@ -83,44 +94,70 @@ def prepare_forcing(
     variables: Sequence[str] = TOWER_VARIABLES,
     runoff: DataFrame | None = None,
 ) -> DataFrame:
-    """Cleaned towers to model forcing, one row per community and step.
+    """The forcing of one pair of towers, ``prepare_forcings`` with a single station."""
+    one = lambda df: df.withColumn("station", F.lit("both"))
+    stations = from_rows(
+        towers.sparkSession, [("both", base, float(lat), float(lon), float(zone_hours))],
+        "station string, base string, lat double, lon double, zone_hours double",
+    )
+    out = prepare_forcings(
+        one(towers), one(precipitation), one(radiation), stations, variables, None if runoff is None else one(runoff)
+    )
+    return out.drop("station")
+
+
+def prepare_forcings(
+    towers: DataFrame,
+    precipitation: DataFrame,
+    radiation: DataFrame,
+    stations: DataFrame,
+    variables: Sequence[str] = TOWER_VARIABLES,
+    runoff: DataFrame | None = None,
+) -> DataFrame:
+    """Cleaned towers of many stations to model forcing, one row per station, community and step.
 
-    Joins rain and radiation, fills the base tower from the other one, fills
+    Joins rain and radiation, fills the base tower from the other ones, fills
     the rest by similar conditions, splits the flux, converts units, derives
-    the communities' precipitation and moves to UTC without leap days.
-    ``runoff`` is stamped in UTC, to the minute.
+    the communities' precipitation and moves to UTC without leap days. All
+    tables name the ``station``; ``stations`` gives each one's ``base`` tower,
+    ``lat``, ``lon`` and ``zone_hours`` (its fixed clock, hours from UTC), and
+    towers of a station it does not name are left out. ``runoff`` is stamped
+    in UTC, to the minute.
     """
-    joined = jn.join_sources(towers, precipitation, radiation, on=["ts"])
-    roles = joined.withColumn("role", F.when(F.col("site") == base, "base").otherwise("fill"))
+    on = ["station", "ts"]
+    joined = jn.join_sources(towers, precipitation, radiation, on=on)
     have = [v for v in variables if v in joined.columns]
-    merged = fl.fill_two_sources(roles, ["ts"], "role", have).select(F.lit("both").alias("site"), "ts", *have)
+    known = attach(joined, stations.select("station", "base"), ["station"], "inner")
+    roles = known.withColumn("role", F.when(F.col("site") == F.col("base"), "base").otherwise("fill"))
+    merged = fl.fill_two_sources(roles, on, "role", have).select(*on, *have)
     bounded = qc.null_outside(qc.clamp(merged, {"rH": (None, 100), "Rg": (0, 1200)}), {"NEE": (-100, 100)})
     if "VPD" not in have:
         bounded = bounded.withColumn("VPD", vl.vpd_hpa("rH", "Tair"))
         have.append("VPD")
     bounded = settle(bounded)
     long = mds.mds_fill(
-        bounded, ["site"], "ts", have, fill_all=[v for v in UNCERTAIN if v in have]
+        bounded, ["station"], "ts", have, fill_all=[v for v in UNCERTAIN if v in have]
     )
-    filled = rs.widen(long, ["site", "ts"], "variable", have, ["filled"])
+    filled = rs.widen(long, on, "variable", have, ["filled"])
     named = filled.withColumnsRenamed({f"filled_{v}": f"{v}_f" for v in have})
-    seen = bounded.select("site", "ts", F.col("NEE").alias("NEE_seen"), F.col("Rg").alias("Rg_seen"))
+    seen = bounded.select(*on, F.col("NEE").alias("NEE_seen"), F.col("Rg").alias("Rg_seen"))
+    placed = attach(named.join(seen, on), stations.select("station", "lat", "lon", "zone_hours"), ["station"])
     split = partition.partition_flux(
-        named.join(seen, ["site", "ts"]), ["site"], "ts", lat, lon, zone_hours, "NEE_seen", "NEE_f",
-        "Tair_f", "Rg_seen",
+        placed, ["station"], "ts", F.col("lat"), F.col("lon"), F.col("zone_hours"), "NEE_seen", "NEE_f", "Tair_f", "Rg_seen"
     )
-    out = fl.take_filled(split.withColumnRenamed("GPP", "GPP_f"), ["site"], "ts")
+    out = fl.take_filled(split.withColumnRenamed("GPP", "GPP_f"), ["station", "zone_hours"], "ts")
     out = out.withColumns({"Tair": vl.convert("Tair", "degC", "K"), "P": vl.convert("P", "kPa", "Pa")})
     out = rs.tag(out, ZBOT=2.0)
     by_community = de.apply_regimes(out, "PRECTmms", "Tair", "ts")
     if runoff is not None:
-        # On the tower's clock, as the rows still are.
-        local = tp.plus_seconds("ts", F.lit(round(zone_hours * 3600) + 30))
-        runoff = runoff.withColumn("ts", tp.bin_time(local, 60))
+        # On the station's clock, as the rows still are.
+        clock = attach(runoff, stations.select("station", "zone_hours"), ["station"], "inner")
+        local = tp.plus_seconds("ts", F.round(F.col("zone_hours") * 3600) + 30)
+        runoff = clock.withColumn("ts", tp.bin_time(local, 60))
         by_community = de.add_series(
-            by_community, runoff, ["ts"], "PRECTmms", "QRUNOFF", when=F.col("community") == "WM", missing="zero"
+            by_community, runoff, on, "PRECTmms", "QRUNOFF", when=F.col("community") == "WM", missing="zero"
         )
-    return de.model_ready(by_community.drop("site"), "ts")
+    return de.model_ready(by_community, "ts", F.col("zone_hours")).drop("zone_hours")
 
 
 def soil_half_hours(
