@@ -29,6 +29,8 @@ FAMILIES = {
 BUCKETS, LENGTHS = 1 << 12, (1, 2, 3, 4)
 #: Training texts of a language at most; those with the smallest hash of doc_id.
 MOST_OF_A_LANGUAGE = 400
+#: Groups in which the texts of a language are ranked before they are ranked together.
+SALTS = 16
 
 #: Bytes as features see them: ASCII letters in lower case, other bytes of letters as they are, all else one space.
 _SEEN = np.full(256, 32, np.uint8)
@@ -104,21 +106,26 @@ def machine(x: np.ndarray, y: np.ndarray, rounds: int = 300, cost: float = 10.0)
 def train(docs: DataFrame, most: int = MOST_OF_A_LANGUAGE, families: Mapping[str, str] = FAMILIES) -> Model:
     """Fit on at most ``most`` texts a language (columns ``doc_id, text, lang``; NULL lang, NULL text and texts without letters give nothing).
 
-    The sample is chosen from narrow rows, cut per task before the shuffle, so
-    a language with most of the rows is no hot group. Its texts' features, a
-    few kilobytes each, are what the driver gets.
+    The sample is chosen from narrow rows, cut per task before the shuffle and
+    again per ``SALTS``-th of all tasks, so a language with most of the rows is
+    no hot group. Rows that repeat id, label and text are one text of it; rows
+    without an id take no place. Its texts' features, a few kilobytes each,
+    are what the driver gets.
     """
-    narrow = docs.where("lang is not null and text is not null").select("doc_id", "lang")
-    order = W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = narrow.withColumn("n", F.row_number().over(order)).where(F.col("n") <= most).select("doc_id").distinct()
-    # At most ``most`` ids a language: bounded, so it may be broadcast.
-    sample = docs.where("lang is not null").join(F.broadcast(chosen), "doc_id", "left_semi")
+    labelled = docs.where("lang is not null and text is not null and doc_id is not null").withColumn("h", F.xxhash64("text"))
+    first = [F.xxhash64("doc_id"), F.col("doc_id"), F.col("h")]
+    salted = labelled.select("doc_id", "lang", "h").withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
+    ahead = salted.withColumn("n", F.dense_rank().over(W.partitionBy("lang", "salt").orderBy(*first))).where(F.col("n") <= most)
+    ranked = ahead.select("doc_id", "lang", "h").distinct().withColumn("n", F.row_number().over(W.partitionBy("lang").orderBy(*first)))
+    chosen = ranked.where(F.col("n") <= most).select("doc_id", "lang", "h")
+    # At most ``most`` keys a language: bounded, so they may be broadcast.
+    sample = labelled.join(F.broadcast(chosen), ["doc_id", "lang", "h"], "left_semi").dropDuplicates(["doc_id", "lang", "h"])
 
     @F.arrow_udf("binary")
     def features(texts: pa.Array) -> pa.Array:
         return pa.array([x.tobytes() for x in counts(texts)], pa.binary())
 
-    rows = sample.where(F.col("text").rlike(r"\p{L}")).select("doc_id", "lang", features(F.col("text")).alias("x")).toArrow().sort_by([("doc_id", "ascending"), ("lang", "ascending")])
+    rows = sample.where(F.col("text").rlike(r"\p{L}")).select("doc_id", "lang", "h", features(F.col("text")).alias("x")).toArrow().sort_by([("doc_id", "ascending"), ("lang", "ascending"), ("h", "ascending")])
     langs = np.array(rows["lang"].to_pylist(), dtype=object)
     x = np.stack([np.frombuffer(b, np.float32) for b in rows["x"].to_pylist()]) if len(langs) else np.zeros((0, BUCKETS), np.float32)
     known = sorted(set(langs.tolist()))

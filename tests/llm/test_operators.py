@@ -10,6 +10,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -308,6 +309,35 @@ def test_language(docs, awkward):
     assert len(odd) == len(AWKWARD) and {r.lang_pred for r in odd if r.doc_id in (1, 2, 3)} == {"und"}
 
 
+def test_language_sample_is_bounded(docs, spark, monkeypatch):
+    rows = [(7, "the one repeated text", "en"), (None, "a text without an id", "en")]
+    many = spark.range(3000).select(F.element_at(F.array(*[F.struct(*[F.lit(v).alias(n) for v, n in zip(r, ("doc_id", "text", "lang"))]) for r in rows]), (F.col("id") % 2 + 1).cast("int")).alias("r")).select("r.*")
+    few = docs.select("doc_id", "text", "lang").where("lang is not null and text is not null and doc_id <> 7")
+    seen = []
+    fit = langid.machine
+    monkeypatch.setattr(langid, "machine", lambda x, y, *more, **named: seen.append(len(x)) or fit(x, y, *more, **named))
+    langid.train(few.unionByName(many.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))).repartition(20), 5)
+    langs = few.select("lang").distinct().count()
+    assert seen and max(seen) <= 5 * langs
+
+
+def test_language_votes(docs):
+    """Margins and votes once more, text by text, over dense counts."""
+    model = langid.train(docs.where("doc_id % 2 = 0"), 50)
+    some = docs.where("text is not null and length(text) between 1 and 2000").orderBy("doc_id").limit(50)
+    got = {r.doc_id: r.p for r in some.select("doc_id", langid.predict(F.col("text"), model).alias("p")).collect()}
+    for r in some.collect():
+        x = langid.counts(pa.array([r.text]))[0].astype(np.float64)
+        margin = {pair: float(x @ w) + bias for pair, (w, bias) in model.pairs.items()}
+
+        def best(names):
+            won = {k: sum((s * m > 0) + 1e-3 * np.clip(s * m, -10, 10) for (a, b), m in margin.items() if a in names and b in names for s in ((a == k) - (b == k),) if s) for k in names}
+            return max(names, key=lambda k: won[k])
+
+        want = best(model.members[best(model.families)])
+        assert got[r.doc_id].lang == (want if any(c.isalpha() for c in r.text) else "und")
+
+
 @pytest.mark.parametrize("odd", [True, False])
 def test_chat_round_trip(odd, spark, sf_dir):
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
