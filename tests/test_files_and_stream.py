@@ -12,7 +12,7 @@ from fluxloom.operators import reshape as rs
 from fluxloom.session import settle, shared_dir
 from fluxloom.sources import readers as rd
 from fluxloom.sources import sinks as sk
-from fluxloom.streaming.rebin import rebin_stream
+from fluxloom.streaming.rebin import rebin_available, rebin_stream
 
 from .conftest import stamp
 
@@ -194,6 +194,20 @@ def test_streaming_rebin_equals_batch(spark, tmp_path, null):
     assert sorted(map(tuple, spark.table(name).collect()), key=str) == want and want
 
 
+def test_a_stopped_stream_goes_on_and_counts_late_rows(spark, tmp_path):
+    schema, first = "k string, ts timestamp_ntz, v double", stamp("2024-01-01 00:00:00")
+    places = [str(tmp_path / n) for n in ("in", "out", "state")]
+    dropped = []
+    # The second part goes on in the first one's last bin; the third begins with a row of the first bin.
+    for minutes in ([1, 5, 40], [45, 70, 130], [2, 190, 600]):
+        rows = [("a", first + dt.timedelta(minutes=m), float(m)) for m in minutes]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(places[0])
+        dropped.append(rebin_available(spark, places[0], schema, *places[1:], ["k"], "ts", {"v": "sum"}))
+    got = [(r.ts.hour * 60 + r.ts.minute, r.v) for r in spark.read.schema(schema).parquet(places[1]).orderBy("ts").collect()]
+    assert got == [(0, 6.0), (30, 85.0), (60, 70.0), (120, 130.0), (180, 190.0)]
+    assert dropped == [0, 0, 1]
+
+
 def test_stream_refuses_a_session_zone_other_than_utc(spark):
     df = spark.sql("SELECT 'a' AS site, timestamp_ntz'2024-03-10 02:30:00' AS ts, 1.0D AS v")
     zone = spark.conf.get("spark.sql.session.timeZone")

@@ -15,7 +15,7 @@ from fluxloom.plans.inputs import Tables
 
 QUERIES = entry.queries()
 #: Queries that run jobs while being built are planned in the oracle test already.
-STAGED = {"gf6_mds_fill", "gf6_mds_own_driver", "gf7_partition_flux", "gf7_partition_known_sensitivity", "forcing_preparation"}
+STAGED = {"gf6_mds_fill", "gf6_mds_own_driver", "gf7_partition_flux", "gf7_partition_known_sensitivity", "forcing_preparation", "forcing_of_stations"}
 
 
 def plan_of(df) -> str:
@@ -57,6 +57,12 @@ def test_filters_and_columns_reach_the_scan(spark, sf_dir):
     assert "In(event_type" in plan
 
 
+@pytest.mark.parametrize("name", ["a12_precip_totals", "a13_resample"])
+def test_calendar_levels_come_from_one_scan(name, spark, sf_dir):
+    plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"Relation \[", plan)) == 1
+
+
 def test_series_windows_are_cut_into_segments(spark, sf_dir):
     t = Tables(spark, sf_dir)
     plan = plan_of(wn.cumulative(t.sensor(), ["sensor"], "ts", "v"))
