@@ -19,7 +19,7 @@ def interpolate_linear(
 
     Leading and trailing gaps stay NULL; there is no longest gap.
     """
-    seen = sg.bracket(df, keys, ts, col, sg.segment_of(ts, seconds))
+    seen = sg.bracket(df, keys, ts, col, sg.own_segment(df, ts, seconds))
     since, gap = tp.seconds_between("_prev_at", ts), tp.seconds_between("_prev_at", "_next_at")
     line = F.col("_prev") + (F.col("_next") - F.col("_prev")) * since / gap
     value = F.coalesce(F.col(col), line)

@@ -84,6 +84,8 @@ def complete_grid(
     """Every step of the grid for every series, values NULL where none were read.
 
     ``common`` uses one span for all series, as when two towers are stacked.
+    Without ``bounds`` the rows are read twice, first for keys and stamps
+    alone; settle rows that are dear to make.
     """
     if bounds is None:
         bounds = series_bounds(df, keys, ts, inward)
@@ -113,8 +115,9 @@ def gap_runs(
     missing = F.lit(False)
     for c in required:
         missing = missing | F.col(c).isNull()
-    flagged = df.select(*keys, ts, F.when(~missing, F.col(ts)).alias("_whole"))
-    cut = sg.with_segment(flagged, keys, ts, seconds)
+    cut = sg.with_segment(df, keys, ts, seconds).select(
+        *keys, ts, sg.SEGMENT, F.when(~missing, F.col(ts)).alias("_whole")
+    )
     earlier = sg.across(keys).rowsBetween(Window.unboundedPreceding, -1)
     carry = (
         cut.groupBy(*keys, sg.SEGMENT)

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fluxloom.functions.timeparts import bin_time, epoch_seconds
+from fluxloom.session import settle_buckets
 
 SEGMENT = "_segment"
 POSITION = "_position"
@@ -29,6 +30,31 @@ def segment_of(ts, seconds: int = SEGMENT_SECONDS) -> Column:
     return bin_time(ts, seconds)
 
 
+def stage(df: DataFrame, keys: list[str], ts: str, seconds: int = SEGMENT_SECONDS) -> DataFrame:
+    """Write the rows once, in buckets of (series, segment), for any number of ordered operators.
+
+    Operators on series read their rows twice, for the carry and for the work
+    inside segments. From a staged table both read buckets: what made the rows
+    runs once, and no operator shuffles them again. ``_segment`` is an
+    additional column, which the operators' results don't have. Worth its
+    writing where rows come from joins or aggregates, or several operators
+    follow; a plain table of few columns may as well be scanned twice.
+    """
+    cut = df.withColumn(SEGMENT, segment_of(ts, seconds))
+    marked = cut.withMetadata(SEGMENT, {"seconds": seconds})
+    return settle_buckets(marked, [*keys, SEGMENT], [*keys, SEGMENT, ts])
+
+
+def own_segment(df: DataFrame, ts: str, seconds: int = SEGMENT_SECONDS) -> Column:
+    """The segment of each row: the stored one of a staged table, which must have the same length."""
+    staged = df.schema[SEGMENT].metadata.get("seconds") if SEGMENT in df.columns else None
+    if staged is None:
+        return segment_of(ts, seconds)
+    if staged != seconds:
+        raise ValueError(f"table is staged in segments of {staged} seconds, not {seconds}")
+    return F.col(SEGMENT)
+
+
 def with_segment(df: DataFrame, keys: list[str], ts: str, seconds: int = SEGMENT_SECONDS) -> DataFrame:
     """Add the segment each row belongs to.
 
@@ -36,7 +62,7 @@ def with_segment(df: DataFrame, keys: list[str], ts: str, seconds: int = SEGMENT
     segment) itself, and the carry is reduced by partial aggregation before
     anything moves.
     """
-    return df.withColumn(SEGMENT, segment_of(ts, seconds))
+    return df.withColumn(SEGMENT, own_segment(df, ts, seconds))
 
 
 def inside(keys: list[str], order: list[str]):
@@ -160,7 +186,7 @@ def bracket(df: DataFrame, keys: list[str], order: str, value: str, segment: Col
     )
     joined = attach_carry(seen, carry, keys)
     return joined.select(
-        *df.columns,
+        *[c for c in df.columns if c != SEGMENT],
         near("lag", "at", "_left_at").alias("_prev_at"),
         near("lag", "v", "_left").alias("_prev"),
         near("lead", "at", "_right_at").alias("_next_at"),

@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from fluxloom.functions import timeparts as tp
 from fluxloom.operators import grid as gr
+from fluxloom.operators import segments as sg
 from fluxloom.operators.mds import STAGES
+from fluxloom.session import settle
 
 NAMES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -42,7 +44,12 @@ class Tables:
         return gr.rebin(events, ["sensor"], "ts", {"v": "mean"}, label="end")
 
     def grid(self) -> DataFrame:
-        return gr.complete_grid(self.sensor(), ["sensor"], "ts")
+        """Re-binned once: the span and the rows of the grid read what is settled."""
+        return gr.complete_grid(settle(self.sensor()), ["sensor"], "ts")
+
+    def segments(self, seconds: int) -> DataFrame:
+        """The grid staged for ordered work."""
+        return sg.stage(self.grid(), ["sensor"], "ts", seconds)
 
     def towers(self) -> DataFrame:
         """Two towers (by user parity) with one column per event type."""
@@ -53,7 +60,7 @@ class Tables:
         return gr.rebin(wide, ["site"], "ts", {k: "mean" for k in KINDS}, label="end")
 
     def tower_grid(self) -> DataFrame:
-        return gr.complete_grid(self.towers(), ["site"], "ts")
+        return gr.complete_grid(settle(self.towers()), ["site"], "ts")
 
     def obs(self) -> DataFrame:
         """Several years of observations of five communities."""

@@ -31,7 +31,7 @@ _RUNS = (
 
 
 def _runs(t):
-    return gr.gap_runs(t.grid(), ["sensor"], "ts", ["v"], seconds=FIVE_DAYS)
+    return gr.gap_runs(t.segments(FIVE_DAYS), ["sensor"], "ts", ["v"], seconds=FIVE_DAYS)
 
 
 @query("w1_gap_runs", "sensor:s start:t end:t n:i ndays:6", _RUNS, "grid")
@@ -106,7 +106,7 @@ def _(t):
     "grid",
 )
 def _(t):
-    return wn.cumulative(t.grid(), ["sensor"], "ts", "v", 1800.0 / 1000.0, "total", seconds=FIVE_DAYS)
+    return wn.cumulative(t.segments(FIVE_DAYS), ["sensor"], "ts", "v", 1800.0 / 1000.0, "total", seconds=FIVE_DAYS)
 
 
 @query(
@@ -324,7 +324,7 @@ def _(t):
     "grid",
 )
 def _(t):
-    return fl.interpolate_linear(t.grid(), ["sensor"], "ts", "v", seconds=FIVE_DAYS)
+    return fl.interpolate_linear(t.segments(FIVE_DAYS), ["sensor"], "ts", "v", seconds=FIVE_DAYS)
 
 
 @query(

@@ -57,12 +57,29 @@ def settle(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def settle_buckets(df: DataFrame, by: list[str], order: list[str]) -> DataFrame:
+    """``settle`` in as many buckets of ``by`` as the session has shuffle partitions, one sorted file each.
+
+    Joins, aggregates and windows by these columns read the buckets without a
+    shuffle. Only a catalogue entry tells Spark of buckets; ``release`` drops
+    it with the folder.
+    """
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    run = uuid.uuid4().hex
+    dealt = df.repartition(buckets, *by)
+    writer = dealt.write.format("parquet").bucketBy(buckets, *by).sortBy(*order)
+    writer.option("path", f"{shared_dir(spark)}/fluxloom/settled-{run}").saveAsTable(f"settled_{run}")
+    return spark.table(f"settled_{run}")
+
+
 def release(*tables: DataFrame) -> None:
-    """Delete the folders of settled tables that nothing reads any more."""
+    """Delete the folders, and catalogue entries, of settled tables that nothing reads any more."""
     for df in tables:
         hadoop = df.sparkSession._jvm.org.apache.hadoop.fs.Path
         conf = df.sparkSession._jsc.hadoopConfiguration()
         for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
             if "/fluxloom/settled-" in folder:
+                df.sparkSession.sql(f"DROP TABLE IF EXISTS settled_{folder.rpartition('-')[2]}")
                 path = hadoop(folder)
                 path.getFileSystem(conf).delete(path, True)

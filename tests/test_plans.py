@@ -105,3 +105,50 @@ def test_one_series_is_worked_on_by_many_tasks(spark, series, work):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", old)
     assert len(sizes) >= 5 and max(sizes) < 0.5 * sum(sizes)
+
+
+@pytest.mark.parametrize("work", ["cumulative", "interpolate", "gaps", "position"])
+def test_staged_series_are_made_once_and_stay_in_place(spark, series, work):
+    """A staged table is read in its buckets: rows don't move again, and results are those of the plain table."""
+    from fluxloom.operators import fill as fl
+    from fluxloom.operators import grid as gr
+    from fluxloom.session import release
+
+    made = spark.sparkContext.accumulator(0)
+    plain = series([float(i) if i % 7 else None for i in range(3000)])
+
+    def count(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    run = {
+        "cumulative": lambda df: wn.cumulative(df, ["k"], "ts", "v"),
+        "interpolate": lambda df: fl.interpolate_linear(df, ["k"], "ts", "v"),
+        "gaps": lambda df: gr.gap_runs(df, ["k"], "ts", ["v"]),
+        "position": lambda df: sg.global_position(df, ["k"], "ts"),
+    }[work]
+    staged = sg.stage(plain.mapInArrow(count, plain.schema), ["k"], "ts")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = run(staged)
+        assert sg.SEGMENT not in out.columns
+        assert sorted(out.collect()) == sorted(run(plain).select(*out.columns).collect())
+        assert made.value == 3000
+        moved = [m for m in re.findall(r"Exchange hashpartitioning\(.*", plan_of(out).split("Initial Plan")[0]) if sg.SEGMENT in m]
+        # Only the carry moves by series and segment.
+        assert len(moved) <= 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    with pytest.raises(ValueError, match="staged in segments"):
+        gr.gap_runs(staged, ["k"], "ts", ["v"], seconds=86_400)
+    tables = spark.catalog.listTables()
+    release(staged)
+    assert len(spark.catalog.listTables()) == len(tables) - 1
+
+
+@pytest.mark.parametrize("name", ["j1_complete_grid", "w1_gap_runs", "w5_cumulative", "gf1_interpolate_linear"])
+def test_series_queries_read_their_table_once(name, spark, sf_dir):
+    """What the last job reads are settled rows, the source isn't among them."""
+    assert "events.parquet" not in "".join(QUERIES[name](spark, sf_dir).inputFiles())
