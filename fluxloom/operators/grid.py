@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -78,18 +78,24 @@ def complete_grid(
     step: int = HALF_HOUR,
     label: str = "end",
     bounds: DataFrame | None = None,
-    common: bool = True,
+    common: bool | Sequence[str] = True,
     inward: bool = True,
 ) -> DataFrame:
     """Every step of the grid for every series, values NULL where none were read.
 
-    ``common`` uses one span for all series, as when two towers are stacked.
+    ``common`` uses one span for all series, as when two towers are stacked;
+    named keys use one span for all series that agree in them.
     Without ``bounds`` the rows are read twice, first for keys and stamps
     alone; settle rows that are dear to make.
     """
     if bounds is None:
         bounds = series_bounds(df, keys, ts, inward)
-        if common and keys:
+        if not isinstance(common, bool):
+            # One row per series: windows over the series of a group stay small.
+            group = Window.partitionBy(*common)
+            dated = bounds.filter(F.coalesce("start", "end").isNotNull())
+            bounds = dated.select(*keys, F.min("start").over(group).alias("start"), F.max("end").over(group).alias("end"))
+        elif common and keys:
             # Both uses keep start and end, so that they share one aggregate.
             dated = bounds.filter(F.coalesce("start", "end").isNotNull())
             span = dated.agg(F.struct(F.min("start").alias("start"), F.max("end").alias("end"))).scalar()

@@ -58,9 +58,11 @@ def null_outside(df: DataFrame, bounds: Mapping[str, tuple]) -> DataFrame:
 RULE_SCHEMA = "site string, variable string, start date, end date, lower double, upper double"
 
 
-def rule_stretches(rules: DataFrame) -> DataFrame:
+def rule_stretches(rules: DataFrame, keys: Sequence[str] = ("site", "variable")) -> DataFrame:
     """Rules of each (site, variable) as disjoint stretches of days with the tightest limits: ``site, variable, first, last, lower, upper``.
 
+    ``keys`` name what a rule holds for, if not site and variable.
+
     A sweep over the days at which rules begin and end: between two of them
     the same rules hold. A rule covers a run of stretches, which is cut into
     blocks of 1, 2, 4 … aligned stretches (at most two of a size); limits are
@@ -69,7 +71,7 @@ def rule_stretches(rules: DataFrame) -> DataFrame:
     rules overlap. Rules without a first or last day, without a limit, or of
     no day between them hold nowhere.
     """
-    key = ["site", "variable"]
+    key = list(keys)
     live = rules.select(
         *key, F.date_add("start", 1).alias("_from"), F.col("end").alias("_to"), F.col("lower").cast("double"), F.col("upper").cast("double")
     ).where((F.col("_from") < F.col("_to")) & (F.col("lower").isNotNull() | F.col("upper").isNotNull()))
@@ -132,6 +134,37 @@ def range_filter(df: DataFrame, rules: DataFrame, ts: str = "ts", value: str = "
     return joined.withColumn(value, F.when(~bad, F.col(value))).select(*df.columns)
 
 
+def range_filter_days(
+    df: DataFrame, rules: DataFrame, keys: Sequence[str], variables: Sequence[str], ts: str = "ts"
+) -> DataFrame:
+    """``range_filter`` on wide columns with rules from a table: ``*keys, variable, start, end, lower, upper``.
+
+    Disjoint stretches, clipped to the days a series has, become one row of
+    limits per series and day. A row meets one of them at most: one join
+    serves all variables and the wide rows are not melted. NULL keys meet no
+    rule, as there. ``df`` is read twice, first for keys and stamps.
+    """
+    on, day = list(keys), F.to_date(ts)
+    spans = df.groupBy(*on).agg(F.min(day).alias("_lo"), F.max(day).alias("_hi"))
+    held = rule_stretches(rules.where(F.col("variable").isin(list(variables))), [*on, "variable"])
+    clipped = held.join(spans, on).select(
+        *on, "variable", "lower", "upper", F.greatest("first", "_lo").alias("_from"), F.least("last", "_hi").alias("_to")
+    )
+    days = clipped.where("_from <= _to").withColumn("_day", F.explode(F.sequence("_from", "_to")))
+    limits = settle(
+        days.groupBy(*on, "_day").agg(
+            *[F.max(F.when(F.col("variable") == v, F.col("lower"))).alias(f"_lower_{i}") for i, v in enumerate(variables)],
+            *[F.min(F.when(F.col("variable") == v, F.col("upper"))).alias(f"_upper_{i}") for i, v in enumerate(variables)],
+        )
+    )
+    joined = attach(df.withColumn("_day", day), limits, [*on, "_day"])
+    new: dict[str, Column] = {}
+    for i, v in enumerate(variables):
+        beyond = (F.col(v) > F.col(f"_upper_{i}")) | (F.col(v) < F.col(f"_lower_{i}"))
+        new[v] = F.when(~F.coalesce(beyond, F.lit(False)), F.col(v))
+    return _replace(joined, new).select(*df.columns)
+
+
 def range_filter_wide(df: DataFrame, rules: Sequence[tuple], ts: str = "ts", only: Column | None = None) -> DataFrame:
     """The same on wide columns: rules are (variable, start, end, lower, upper).
 

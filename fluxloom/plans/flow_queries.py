@@ -38,6 +38,36 @@ def _(t):
     )
 
 
+@query(
+    "station_cleaning",
+    "station:i site:s ts:t view:6 click:6",
+    "SELECT g.station, g.site, g.ts, CASE WHEN EXISTS (SELECT 1 FROM strules r WHERE r.variable='view' AND r.station=g.station AND r.site=g.site AND CAST(g.ts AS DATE)>r.a AND CAST(g.ts AS DATE)<r.b "
+    "AND (g.\"view\">r.hi OR g.\"view\"<r.lo)) THEN NULL ELSE g.\"view\" END AS \"view\", "
+    "CASE WHEN (g.click IS NULL OR EXISTS (SELECT 1 FROM strules r WHERE r.variable='click' AND r.station=g.station AND r.site=g.site AND CAST(g.ts AS DATE)>r.a AND CAST(g.ts AS DATE)<r.b "
+    "AND (g.click>r.hi OR g.click<r.lo))) THEN CASE WHEN g.station=0 AND g.ts>TIMESTAMP '2024-01-10' OR g.station=1 AND g.ts>TIMESTAMP '2024-01-20' THEN "
+    "CASE WHEN f.v IS NOT NULL THEN f.v ELSE f.v0+(f.v1-f.v0)*(epoch(f.ts)-epoch(f.t0))/(epoch(f.t1)-epoch(f.t0)) END END ELSE g.click END AS click "
+    "FROM stgrid g LEFT JOIN (SELECT *, last_value(v IGNORE NULLS) OVER b AS v0, last_value(CASE WHEN v IS NOT NULL THEN ts END IGNORE NULLS) OVER b AS t0, "
+    "first_value(v IGNORE NULLS) OVER f AS v1, first_value(CASE WHEN v IS NOT NULL THEN ts END IGNORE NULLS) OVER f AS t1 FROM "
+    "(SELECT s.station, s.ts, h.v FROM (SELECT DISTINCT station, ts FROM stgrid) s LEFT JOIN strows h ON h.site='all' AND h.station=s.station AND h.ts=s.ts) "
+    "WINDOW b AS (PARTITION BY station ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), "
+    "f AS (PARTITION BY station ORDER BY ts ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) f ON f.station=g.station AND f.ts=g.ts",
+    "stgrid strules strows",
+)
+def _(t):
+    towers, readings = t.station_towers()
+    # A rule per purchase, for its day and the two behind it.
+    day = F.to_date("ts")
+    rules = t.stationed().where("event_type = 'purchase'").select(
+        "station", "site", F.when(F.col("user_id") % 5 < 3, "view").otherwise("click").alias("variable"),
+        F.date_sub(day, 1).alias("start"), F.date_add(day, 3).alias("end"),
+        (F.col("value") / 10).alias("lower"), (100 - F.col("value") / 10).alias("upper"),
+    )
+    stations = from_rows(
+        t.spark, [(0, "2024-01-10 00:00:00"), (1, "2024-01-20 00:00:00")], "station long, fill_after string"
+    ).withColumn("fill_after", F.col("fill_after").cast("timestamp_ntz"))
+    return wf.clean_stations(towers, ["view", "click"], rules, readings, "v", stations, "click")
+
+
 @query(
     "rain_to_half_hours",
     "ts:t PRECTmms:9",

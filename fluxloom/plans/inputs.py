@@ -59,6 +59,20 @@ class Tables:
         )
         return gr.rebin(wide, ["site"], "ts", {k: "mean" for k in KINDS}, label="end")
 
+    def stationed(self) -> DataFrame:
+        """Events of three stations (by user), each with two towers."""
+        return self.events.selectExpr("CAST(user_id % 3 AS BIGINT) AS station", "CASE WHEN user_id % 2 = 0 THEN 'East' ELSE 'West' END AS site", "*")
+
+    def station_towers(self) -> tuple[DataFrame, DataFrame]:
+        """Towers of three stations, and each station's hourly readings."""
+        kinds = [F.when(F.col("event_type") == k, F.col("value")).alias(k) for k in ("view", "click")]
+        towers = gr.rebin(
+            self.stationed().select("station", "site", "ts", *kinds), ["station", "site"], "ts", {"view": "mean", "click": "mean"}, label="end"
+        )
+        errors = self.stationed().where("event_type = 'error'").select("station", "ts", F.col("value").alias("v"))
+        hourly = gr.rebin(errors, ["station"], "ts", {"v": "mean"}, label="end").where(F.minute("ts") == 0)
+        return towers, hourly
+
     def tower_grid(self) -> DataFrame:
         return gr.complete_grid(settle(self.towers()), ["site"], "ts")
 
@@ -281,6 +295,24 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
             "grid p ON p.ts=b.ts AND p.sensor='purchase'", "grid l ON l.ts=b.ts AND l.sensor='view'",
         ),
     ),
+    # Three stations of two towers, their hourly readings as a third site, rules by purchases.
+    "strows": (
+        (),
+        "SELECT user_id%3 AS station, CASE WHEN user_id%2=0 THEN 'East' ELSE 'West' END AS site, "
+        f"{bin_sql()} AS ts, avg(value) FILTER (event_type='view') AS \"view\", avg(value) FILTER (event_type='click') AS click, NULL AS v FROM events GROUP BY 1,2,3 "
+        f"UNION ALL SELECT user_id%3, 'all', {bin_sql()} AS b, NULL, NULL, avg(value) FROM events WHERE event_type='error' GROUP BY 1,3 HAVING minute(b)=0",
+    ),
+    "stgrid": (
+        ("strows",),
+        "SELECT k.station, k.site, k.ts, x.\"view\", x.click FROM (SELECT station, site, unnest(generate_series(min(s) OVER w + INTERVAL 30 MINUTE, max(e) OVER w, INTERVAL 30 MINUTE)) AS ts FROM "
+        "(SELECT station, site, CASE WHEN min(ts)=date_trunc('day',min(ts)) THEN min(ts) ELSE date_trunc('day',min(ts)) + INTERVAL 1 DAY END AS s, date_trunc('day',max(ts)) AS e "
+        "FROM strows WHERE site<>'all' GROUP BY 1,2) WINDOW w AS (PARTITION BY station)) k LEFT JOIN strows x USING (station, site, ts)",
+    ),
+    "strules": (
+        (),
+        "SELECT user_id%3 AS station, CASE WHEN user_id%2=0 THEN 'East' ELSE 'West' END AS site, CASE WHEN user_id%5<3 THEN 'view' ELSE 'click' END AS variable, "
+        "CAST(ts AS DATE) - 1 AS a, CAST(ts AS DATE) + 3 AS b, value/10 AS lo, 100-value/10 AS hi FROM events WHERE event_type='purchase'",
+    ),
     # The same towers and sensors side by side.
     "slots": (
         (),

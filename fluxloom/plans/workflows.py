@@ -19,6 +19,7 @@ from fluxloom.operators import grid as gr
 from fluxloom.operators import joins as jn
 from fluxloom.operators import mds, partition, qc
 from fluxloom.operators import reshape as rs
+from fluxloom.operators import segments as sg
 from fluxloom.operators import summarize as sm
 from fluxloom.operators.attach import attach, from_rows
 from fluxloom.session import settle
@@ -56,6 +57,34 @@ def clean_towers(
     return fl.fill_from(joined, fill_variable, "_fallback", guard).drop("_fallback")
 
 
+def clean_stations(
+    towers: DataFrame,
+    variables: Sequence[str],
+    rules: DataFrame,
+    readings: DataFrame,
+    value: str,
+    stations: DataFrame,
+    fill_variable: str = "Tair",
+    seconds: int = sg.SEGMENT_SECONDS,
+) -> DataFrame:
+    """``clean_towers`` for the towers of many stations, each with its own span, rules and weather station.
+
+    ``towers`` and ``rules`` name ``station`` and ``site``, ``readings`` the
+    ``station``. ``stations`` gives ``fill_after``, from when a station's own
+    readings may stand for ``fill_variable``; without it, or without a row
+    there, nothing is filled. Towers of a station lie on one grid.
+    """
+    on = ["station", "ts"]
+    raw = settle(qc.null_sentinels(towers, cols=variables))
+    grid = settle(gr.complete_grid(raw, ["station", "site"], "ts", common=["station"]))
+    clean = qc.range_filter_days(grid, rules, ["station", "site"], variables)
+    steps = grid.select(*on).distinct().join(readings.select(*on, F.col(value).alias("_v")), on, "left")
+    line = fl.interpolate_linear(sg.stage(steps, ["station"], "ts", seconds), ["station"], "ts", "_v", seconds=seconds)
+    joined = attach(jn.join_fallback(clean, line, on, "_v", "_fallback"), stations.select("station", "fill_after"), ["station"])
+    guard = F.col("ts") > F.col("fill_after")
+    return fl.fill_from(joined, fill_variable, "_fallback", guard).drop("_fallback", "fill_after")
+
+
 def half_hour_precipitation(
     daily: DataFrame, fine: DataFrame, total: str, weight: str, keys: Sequence[str] = (), step: int = 1800,
     repeats: bool = True,

@@ -245,3 +245,37 @@ def test_repeated_dimension_keys_fan_out(spark):
     dim = spark.createDataFrame([(1, "a"), (1, "b")], "k int, c string")
     assert jn.lookup(df, dim, ["k"]).count() == 3
     assert qc.check_unique(dim, ["k"]).count() == 1
+
+
+def test_rules_from_a_table_on_wide_columns(spark):
+    """As the long form does it: open ends, overlaps, a far end day, a NULL station, rules of other columns."""
+    rows = [(s, dt.datetime(2024, 1, d, 12), float(d), float(-d)) for s in ("a", "b", None) for d in range(1, 11)]
+    wide = spark.createDataFrame(rows, "station string, ts timestamp_ntz, u double, v double")
+    rules = spark.createDataFrame(
+        [
+            ("a", "u", dt.date(2024, 1, 2), dt.date(9999, 12, 31), None, 5.0),
+            ("a", "u", dt.date(2023, 12, 1), dt.date(2024, 1, 5), 3.0, None),
+            (None, "v", dt.date(2024, 1, 3), dt.date(2024, 1, 6), -4.0, None),
+            ("b", "w", dt.date(2024, 1, 1), dt.date(2024, 1, 9), 0.0, 0.0),
+            ("b", "u", dt.date(2024, 1, 4), dt.date(2024, 1, 6), None, None),
+        ],
+        "station string, variable string, start date, end date, lower double, upper double",
+    )
+    got = qc.range_filter_days(wide, rules, ["station"], ["u", "v"])
+    assert got.columns == wide.columns
+    long = wide.unpivot(["station", "ts"], ["u", "v"], "variable", "value").withColumnRenamed("station", "site")
+    want = qc.range_filter(long, rules.withColumnRenamed("station", "site"))
+    key = lambda r: tuple(str(x) for x in r)
+    flat = got.unpivot(["station", "ts"], ["u", "v"], "variable", "value")
+    assert sorted(map(key, flat.collect())) == sorted(map(key, want.select("site", "ts", "variable", "value").collect()))
+    assert {r.ts.day for r in got.where("station = 'a' and u is null").collect()} == {1, 2, 6, 7, 8, 9, 10}
+
+
+def test_grid_of_groups_with_their_own_span(spark):
+    at = dt.datetime
+    rows = [("x", "p", at(2024, 1, 1), 1.0), ("x", "p", at(2024, 1, 3), 2.0), ("x", "q", at(2024, 1, 2), 3.0), ("x", "q", at(2024, 1, 4), 4.0), ("y", "p", at(2024, 5, 1), 5.0), ("y", "p", at(2024, 5, 2), 6.0)]
+    df = spark.createDataFrame(rows, "station string, site string, ts timestamp_ntz, v double")
+    got = gr.complete_grid(df, ["station", "site"], "ts", common=["station"])
+    spans = {(r[0], r[1]): (r[2], r[3], r[4]) for r in got.groupBy("station", "site").agg(F.min("ts"), F.max("ts"), F.count("*")).collect()}
+    whole = (at(2024, 1, 1, 0, 30), at(2024, 1, 4), 144)
+    assert spans == {("x", "p"): whole, ("x", "q"): whole, ("y", "p"): (at(2024, 5, 1, 0, 30), at(2024, 5, 2), 48)}
