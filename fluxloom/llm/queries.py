@@ -38,7 +38,7 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return topk.top(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+    return topk.top(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0).drop("asked")
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -370,6 +370,44 @@ def test_top_k_odd_vectors(spark):
     assert topk.top(df.limit(0), F.col("vec_id") == 50).isEmpty()
 
 
+@pytest.mark.parametrize("k", [1, 5])
+def test_top_k_equal_vectors_and_ids(spark, k):
+    """A third of all rows hold one vector; ids repeat with equal and with different vectors."""
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in rng.normal(size=6)]) for i in range(300)]
+    hot = [2.0] * 6
+    rows += [(1000 + i // 2, hot) for i in range(300)] + [(50, hot)] * 9 + [(50, [-1.0] * 6), (150, [3.0, 0.0, 0.0, 0.0, 0.0, -1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    got = collections.defaultdict(list)
+    for r in topk.top(df, F.col("vec_id") % 50 == 0, k).orderBy("rank").collect():
+        got[r.query_id, r.asked].append((-r.score, r.vec_id))
+    fine = [(i, tuple(math.floor(256 * x) for x in v)) for i, v in rows]
+    want = {}
+    for q in sorted({i for i, _ in fine if i % 50 == 0}):
+        for asked, v in enumerate(sorted({v for i, v in fine if i == q}), 1):
+            want[q, asked] = sorted((-sum(a * b for a, b in zip(v, c, strict=True)), i) for i, c in fine if i != q)[:k]
+    assert got == want
+
+
+def test_top_k_reads_few_exact_vectors(spark, monkeypatch):
+    """On clustered vectors the cells rule out nearly all; several blocks of either side give the same."""
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(60, 32))
+    rows = [(i, [float(x) for x in centres[i % 60] + 0.05 * rng.normal(size=32)]) for i in range(9000)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    monkeypatch.setattr(topk, "QUERIES", 4)
+    asks = F.col("vec_id") % 900 == 7
+    got, read = topk.search(df, asks, 5)
+    blocks = read.select("qb").distinct().count()
+    assert blocks > 1
+    assert read.count() < 0.1 * len(rows) * blocks
+    v = np.floor(256 * np.array([x for _, x in rows])).astype(np.int64)
+    for q in range(7, 9000, 900):
+        scores = v @ v[q]
+        want = sorted((-int(s), i) for i, s in enumerate(scores) if i != q)[:5]
+        assert [(-r.score, r.vec_id) for r in sorted(got.where(F.col("query_id") == q).collect(), key=lambda r: r["rank"])] == want
+
+
 @pytest.mark.parametrize("name", ["docs", "awkward"])
 def test_chunk_dedup(name, request):
     df = request.getfixturevalue(name).where("doc_id is not null").dropDuplicates(["doc_id"])
