@@ -7,7 +7,7 @@ n-grams of the lower-cased text.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from itertools import combinations
 
 import numpy as np
@@ -18,6 +18,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from fluxloom.llm.common import byte_runs
+from fluxloom.operators.attach import from_rows
+from fluxloom.session import release, settle
 
 #: Families of common languages; one that isn't listed is a family of its own.
 FAMILIES = {
@@ -29,6 +31,8 @@ FAMILIES = {
 BUCKETS, LENGTHS = 1 << 12, (1, 2, 3, 4)
 #: Training texts of a language at most; those with the smallest hash of doc_id.
 MOST_OF_A_LANGUAGE = 400
+#: Training texts of a family at most, shared evenly by its languages, where families are told apart.
+MOST_OF_A_FAMILY = 1_600
 #: Groups in which the texts of a language are ranked before they are ranked together.
 SALTS = 16
 
@@ -76,6 +80,8 @@ class Model:
     families: Sequence[str]
     members: Mapping[str, Sequence[str]]
     pairs: Mapping[tuple[str, str], tuple[np.ndarray, float]]
+    #: Texts each pair was fit on.
+    sizes: Mapping[tuple[str, str], int] = field(default_factory=dict)
 
     @property
     def languages(self) -> list[str]:
@@ -109,35 +115,49 @@ def train(docs: DataFrame, most: int = MOST_OF_A_LANGUAGE, families: Mapping[str
     The sample is chosen from narrow rows, cut per task before the shuffle and
     again per ``SALTS``-th of all tasks, so a language with most of the rows is
     no hot group. Rows that repeat id, label and text are one text of it; rows
-    without an id take no place. Its texts' features, a few kilobytes each,
-    are what the driver gets.
+    without an id take no place. Every pair of classes is fit in a group of
+    its own, of at most twice ``MOST_OF_A_FAMILY`` texts with some kilobytes of
+    features each; the driver gets the names of the languages and the weights
+    of each pair.
     """
     labelled = docs.where("lang is not null and text is not null and doc_id is not null").withColumn("h", F.xxhash64("text"))
     first = [F.xxhash64("doc_id"), F.col("doc_id"), F.col("h")]
     salted = labelled.select("doc_id", "lang", "h").withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
     ahead = salted.withColumn("n", F.dense_rank().over(W.partitionBy("lang", "salt").orderBy(*first))).where(F.col("n") <= most)
     ranked = ahead.select("doc_id", "lang", "h").distinct().withColumn("n", F.row_number().over(W.partitionBy("lang").orderBy(*first)))
-    chosen = ranked.where(F.col("n") <= most).select("doc_id", "lang", "h")
+    chosen = ranked.where(F.col("n") <= most)
     # At most ``most`` keys a language: bounded, so they may be broadcast.
-    sample = labelled.join(F.broadcast(chosen), ["doc_id", "lang", "h"], "left_semi").dropDuplicates(["doc_id", "lang", "h"])
+    sample = labelled.join(F.broadcast(chosen), ["doc_id", "lang", "h"]).dropDuplicates(["doc_id", "lang", "h"])
 
     @F.arrow_udf("binary")
     def features(texts: pa.Array) -> pa.Array:
         return pa.array([x.tobytes() for x in counts(texts)], pa.binary())
 
-    rows = sample.where(F.col("text").rlike(r"\p{L}")).select("doc_id", "lang", "h", features(F.col("text")).alias("x")).toArrow().sort_by([("doc_id", "ascending"), ("lang", "ascending"), ("h", "ascending")])
-    langs = np.array(rows["lang"].to_pylist(), dtype=object)
-    x = np.stack([np.frombuffer(b, np.float32) for b in rows["x"].to_pylist()]) if len(langs) else np.zeros((0, BUCKETS), np.float32)
-    known = sorted(set(langs.tolist()))
+    rows = settle(sample.where(F.col("text").rlike(r"\p{L}")).select("doc_id", "lang", "h", "n", features(F.col("text")).alias("x")))
+    known = sorted(r.lang for r in rows.select("lang").distinct().collect())
     family = {k: families.get(k, k) for k in known}
     members = {f: [k for k in known if family[k] == f] for f in sorted(set(family.values()))}
-    of = np.array([family[k] for k in langs], dtype=object)
-    pairs = {}
-    for labels, names in [(of, list(members)), *[(langs, m) for m in members.values()]]:
-        for a, b in combinations(names, 2):
-            own = (labels == a) | (labels == b)
-            pairs[a, b] = machine(x[own], np.where(labels[own] == a, 1.0, -1.0))
-    return Model(list(members), members, pairs)
+    # Which texts a pair is fit on: language, the pair, its side, and up to which rank.
+    share = lambda f: max(1, MOST_OF_A_FAMILY // len(members[f]))
+    sides = [(k, a, b, y, share(f)) for a, b in combinations(members, 2) for f, y in ((a, 1.0), (b, -1.0)) for k in members[f]]
+    sides += [(k, a, b, y, most) for m in members.values() for a, b in combinations(m, 2) for k, y in ((a, 1.0), (b, -1.0))]
+    pairs, sizes = {}, {}
+    if sides:
+        of = from_rows(docs.sparkSession, sides, "lang string, a string, b string, y double, upto long")
+        met = rows.join(F.broadcast(of), "lang").where(F.col("n") <= F.col("upto")).drop("n", "upto")
+        fits = met.groupBy("a", "b").applyInArrow(fit, "a string, b string, n long, weights binary, bias double").toArrow()
+        for a, b, n, weights, bias in zip(*[c.to_pylist() for c in fits.columns], strict=True):
+            pairs[a, b], sizes[a, b] = (np.frombuffer(weights, np.float32), bias), n
+    release(rows)
+    return Model(list(members), members, pairs, sizes)
+
+
+def fit(table: pa.Table) -> pa.Table:
+    """The machine of one pair; rows in a fixed order give the same weights again."""
+    table = table.sort_by([("doc_id", "ascending"), ("lang", "ascending"), ("h", "ascending")])
+    x = np.stack([np.frombuffer(b, np.float32) for b in table["x"].to_pylist()])
+    weights, bias = machine(x, table["y"].to_numpy())
+    return pa.table({**{name: table[name][:1].cast(pa.string()) for name in "ab"}, "n": [len(x)], "weights": pa.array([weights.tobytes()], pa.binary()), "bias": [bias]})
 
 
 def decide(names: Sequence[str], margins: Mapping[tuple[str, str], np.ndarray], rows: int) -> tuple[np.ndarray, np.ndarray]:

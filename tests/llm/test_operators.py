@@ -309,16 +309,29 @@ def test_language(docs, awkward):
     assert len(odd) == len(AWKWARD) and {r.lang_pred for r in odd if r.doc_id in (1, 2, 3)} == {"und"}
 
 
-def test_language_sample_is_bounded(docs, spark, monkeypatch):
+def test_language_sample_is_bounded(docs, spark):
     rows = [(7, "the one repeated text", "en"), (None, "a text without an id", "en")]
     many = spark.range(3000).select(F.element_at(F.array(*[F.struct(*[F.lit(v).alias(n) for v, n in zip(r, ("doc_id", "text", "lang"))]) for r in rows]), (F.col("id") % 2 + 1).cast("int")).alias("r")).select("r.*")
     few = docs.select("doc_id", "text", "lang").where("lang is not null and text is not null and doc_id <> 7")
-    seen = []
-    fit = langid.machine
-    monkeypatch.setattr(langid, "machine", lambda x, y, *more, **named: seen.append(len(x)) or fit(x, y, *more, **named))
-    langid.train(few.unionByName(many.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))).repartition(20), 5)
+    model = langid.train(few.unionByName(many.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))).repartition(20), 5)
     langs = few.select("lang").distinct().count()
-    assert seen and max(seen) <= 5 * langs
+    assert set(model.sizes) == set(model.pairs) and model.sizes
+    assert max(model.sizes.values()) <= 5 * langs
+
+
+def test_language_fits_are_those_of_the_whole_sample(docs, monkeypatch):
+    """Pairs fit in groups equal machines over dense counts of the texts with the smallest hashes."""
+    monkeypatch.setattr(langid, "MOST_OF_A_FAMILY", 12)
+    known = docs.where("lang is not null and text is not null and doc_id is not null").dropDuplicates(["doc_id"])
+    model = langid.train(known, 10)
+    rows = known.select("doc_id", "lang", "text", F.xxhash64("doc_id").alias("k")).collect()
+    best = {k: sorted((r for r in rows if r.lang == k), key=lambda r: (r.k, r.doc_id))[:10] for k in {r.lang for r in rows}}
+    for (a, b), (weights, bias) in model.pairs.items():
+        side = lambda name: [r for m in model.members[name] for r in best[m][: 12 // len(model.members[name])]] if name in model.families else best[name]  # noqa: E731,B023
+        chosen = sorted([(r.doc_id, r.text, y) for name, y in ((a, 1.0), (b, -1.0)) for r in side(name) if any(c.isalpha() for c in r.text)])
+        assert model.sizes[a, b] == len(chosen)
+        want, off = langid.machine(langid.counts(pa.array([t for _, t, _ in chosen])), np.array([y for *_, y in chosen]))
+        assert np.allclose(weights, want) and np.isclose(bias, off)
 
 
 def test_language_votes(docs):
