@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,8 +13,6 @@ from fluxloom.session import settle
 
 #: Buckets of the multinomials; the table of ratios has so many rows.
 BUCKETS = 1 << 16
-#: Labelled rows the trusted multinomial is fitted on, at most; the raw one covers all rows.
-MOST_TRUSTED = 20_000
 #: Mean log ratio per n-gram below which a text is rejected, unless more than ``STRICT`` of the trusted texts lie there.
 THRESHOLD = -0.1
 STRICT = 0.01
@@ -37,7 +38,7 @@ def shifted(name: str, by: int) -> Column:
 
 def grams() -> Column:
     """Buckets of a text's words and word pairs."""
-    bucket = lambda h: F.pmod(h, F.lit(BUCKETS)).cast("int")
+    bucket = lambda h: h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
     pairs = F.slice("_h2", 1, F.greatest(F.size("_h2") - 1, F.lit(0)))
     return F.concat(F.transform("_h1", bucket), F.transform(pairs, bucket))
 
@@ -55,10 +56,10 @@ def base_counts(docs: DataFrame) -> DataFrame:
     docs = docs.withColumn("_h8", F.zip_with("_h4", shifted("_h4", 4), lambda a, b: F.xxhash64(a, b)))
     docs = docs.withColumn("_h8", F.slice("_h8", 1, F.greatest(F.size("_h8") - 7, F.lit(0))))
     twice = F.size(F.array_distinct("_h8")) < F.size("_h8")
-    placed = F.array_sort(F.transform("_h8", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    placed = F.sort_array(F.transform("_h8", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
     docs = docs.withColumn("_s", F.when(twice, placed))
     pairs = F.zip_with("_s", shifted("_s", 1), lambda a, b: F.when(a["h"] == b["h"], F.array(a["i"], b["i"])).otherwise(F.array().cast("array<int>")))
-    docs = docs.withColumn("_p", F.array_sort(F.array_distinct(F.flatten(pairs))))
+    docs = docs.withColumn("_p", F.sort_array(F.array_distinct(F.flatten(pairs))))
     steps = F.zip_with("_p", shifted("_p", 1), lambda a, b: F.least(F.lit(8), F.coalesce(b - a, F.lit(8))))
     covered = F.aggregate(steps, F.lit(0), lambda s, x: s + x)
     counts = {
@@ -71,92 +72,137 @@ def base_counts(docs: DataFrame) -> DataFrame:
     return docs.withColumns({k: c.cast("long") for k, c in counts.items()}).drop("_lines", "_h4", "_h8", "_s", "_p")
 
 
-def ratios(docs: DataFrame, labels: DataFrame, smoothing: float = SMOOTHING) -> tuple[Column, DataFrame]:
-    """The log of trusted over raw probability by bucket, as a constant array of ``BUCKETS`` doubles, and the trusted texts' own scores.
+def marked(docs: DataFrame, bits: DataFrame) -> DataFrame:
+    """``docs`` with ``_trusted``: 1 for ids in ``bits`` (``trusted``), else 0."""
+    by = F.col("doc_id").cast("bigint")
+    found = docs.join(bits, F.shiftright(by, 6) == F.col("_of"), "left")
+    return found.withColumn("_trusted", F.coalesce(F.getbit("_bits", by.bitwiseAND(63).cast("int")), F.lit(0)).cast("int")).drop("_of", "_bits")
+
 
-    Raw counts come from every text. Trusted texts are those labelled of
-    quality and not toxic, in every label they have; of more than
-    ``MOST_TRUSTED`` of them those with the smallest hashes count, which
-    bounds what is broadcast. Both are counted in one pass, added up per task
-    before the shuffle. To the trusted counts come ``smoothing`` n-grams spread
-    as the raw ones are, so that little labelled text gives ratios near 0.
-    Without trusted texts all ratios are 0.
+def trusted(labels: DataFrame) -> DataFrame:
+    """The ids labelled of quality and not toxic, in every label they have: 64 to a row (``_of``), a bit each (``_bits``).
 
-    The own scores (``_own_id, _own_text, _own, _long``: a hash of the text, the mean log
-    ratio, whether it has 20 words) leave the counts of that text out.
+    Of ids near each other some two bits a document are left, which Spark
+    broadcasts or, if they are too many, joins by a shuffle.
     """
-    spark = docs.sparkSession
     good = (F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)
-    trusted = labels.where("doc_id is not null").groupBy("doc_id").agg(F.min(F.when(good, 1).otherwise(0)).alias("good"))
-    trusted = trusted.where("good = 1").orderBy(F.xxhash64("doc_id"), "doc_id").limit(MOST_TRUSTED)
-    trusted = F.broadcast(settle(trusted.select(F.col("doc_id").alias("_id"), F.lit(1).alias("_trusted"))))
-    docs = docs.select("doc_id", "text")
-    rows = hashed(docs).join(trusted, F.col("doc_id") == F.col("_id"), "left")
-    counted = rows.select("_trusted", F.explode(grams()).alias("bucket")).groupBy("bucket").agg(F.count("*").alias("raw"), F.count("_trusted").alias("good"))
-    whole = spark.range(BUCKETS).select(F.col("id").cast("int").alias("bucket")).join(counted, "bucket", "left").fillna(0, ["raw", "good"])
-    held = whole.agg(
-        F.array_sort(F.collect_list(F.struct("bucket", "raw", "good"))).alias("n"),
-        F.sum("raw").alias("all_raw"),
-        F.sum("good").alias("all_good"),
-    )
-    held = settle(held)
-    # (good + smoothing * raw / all_raw) / (all_good + smoothing) over raw / all_raw
-    ratio = lambda n, raw, total, all_raw: F.log((n * all_raw / raw + F.lit(smoothing)) / (total + F.lit(smoothing)))
-    part = lambda x: F.when(x["raw"] > 0, ratio(x["good"], x["raw"], F.col("all_good"), F.col("all_raw"))).otherwise(0.0)
-    line = held.select(F.when(F.col("all_good") > 0, F.array_join(F.transform("n", part).cast("array<string>"), " "))).first()[0]
-
-    own = docs.join(trusted, F.col("doc_id") == F.col("_id")).groupBy("_id", "text").agg(F.count("*").alias("_n"))
-    own = hashed(settle(own)).withColumn("_g", F.array_sort(grams()))
-    opens = F.transform("_g", lambda x, i: F.when(F.coalesce(F.get("_g", i - 1) != x, F.lit(True)), i))
-    own = own.withColumn("_i", F.array_compact(opens))
-    own = own.withColumn("_e", F.concat(shifted("_i", 1), F.array(F.size("_g"))))
-    own = own.withColumn("_r", F.zip_with("_i", "_e", lambda a, b: F.struct(F.get("_g", a).alias("bucket"), (b - a).alias("n"))))
-    # One row of counts beside each text: as constants they would be planned over and over.
-    own = own.select("_id", "text", "_n", "_r", F.size("_g").alias("_grams"), F.size("_w").alias("_words")).crossJoin(F.broadcast(held))
-    rest = F.col("all_good") - F.col("_n") * F.col("_grams")
-    of = lambda r: F.get("n", r["bucket"])
-    left = lambda r: ratio(of(r)["good"] - F.col("_n") * r["n"], of(r)["raw"], rest, F.col("all_raw"))
-    total = F.aggregate("_r", F.lit(0.0), lambda s, r: s + r["n"] * left(r))
-    score = F.when(F.col("_grams") > 0, total / F.col("_grams"))
-    own = own.select(F.col("_id").alias("_own_id"), F.xxhash64("text").alias("_own_text"), score.alias("_own"), (F.col("_words") >= 20).alias("_long"))
-    # One text constant, which the optimizer turns into an array constant.
-    return F.split(F.lit(line or "0 " * (BUCKETS - 1) + "0"), " ").cast("array<double>"), settle(own)
-
-
-def judge(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with ``BASE``, ``base_failed``, ``score`` and ``kept`` beside their columns.
+    by = F.col("doc_id").cast("bigint")
+    ids = labels.where("doc_id is not null").groupBy(by.alias("_id")).agg(F.min(F.when(good, 1).otherwise(0)).alias("good")).where("good = 1")
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("_id").bitwiseAND(63).cast("int"))
+    return settle(ids.groupBy(F.shiftright("_id", 6).alias("_of")).agg(F.bit_or(bit).alias("_bits")))
+
+
+def counts(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """How many n-grams of all texts, and of the trusted ones, each of the ``BUCKETS`` has; added up per task before the shuffle."""
+    found = hashed(docs.select("_trusted", "text")).select("_trusted", F.explode(grams()).alias("bucket"))
+    raw, good = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    for bucket, n, m in found.groupBy("bucket").agg(F.count("*"), F.sum("_trusted")).collect():
+        raw[bucket], good[bucket] = n, m
+    return raw, good
+
+
+def constant(values: np.ndarray) -> Column:
+    """One text constant, which the optimizer turns into an array constant."""
+    return F.split(F.lit(" ".join(map(repr, values.tolist()))), " ").cast("array<double>")
+
+
+def scored(docs: DataFrame, smoothing: float) -> DataFrame:
+    """``docs`` (with ``text, _trusted, _n, _g``) with ``score`` and without ``_g``.
+
+    The log of trusted over raw probability, as a mean over the n-grams. Raw
+    counts come from every text, trusted ones from every trusted text. To
+    these come ``smoothing`` n-grams spread as the raw ones are, so that
+    little labelled text gives ratios near 0; without trusted texts all are 0.
+    A trusted text's own counts, those of its ``_n`` repeated rows, are left out.
+    """
+    raw, good = counts(docs)
+    total = good.sum()
+    # (good + smoothing * raw / all_raw) / (total + smoothing) over raw / all_raw
+    weight = np.divide(raw.sum(), raw, out=np.zeros(BUCKETS), where=raw > 0)
+    table = np.where((raw > 0) & (total > 0), np.log((good * weight + smoothing) / (total + smoothing)), 0.0)
+    docs = base_counts(hashed(docs)).withColumn("_g", grams())
+    table, good, weight = constant(table), constant(good), constant(weight)
+    plain = F.aggregate("_g", F.lit(0.0), lambda s, b: s + F.get(table, b)) / F.size("_g")
+    # Of a trusted text equal n-grams stand together, and each run ends in one logarithm.
+    docs = docs.withColumn("_o", F.when(F.col("_trusted") == 1, F.sort_array("_g")))
+    own = lambda r: r["n"] * F.log((F.get(good, r["b"]) - F.col("_n") * r["n"]) * F.get(weight, r["b"]) + F.lit(smoothing))
+    run = lambda b, n, s: F.struct(b.alias("b"), n.alias("n"), s.alias("s"))
+    step = lambda r, b: F.when(r["b"] == b, run(b, r["n"] + 1, r["s"])).otherwise(run(b, F.lit(1), r["s"] + own(r)))
+    rest = F.lit(float(total)) - F.col("_n") * F.size("_o")
+    left = F.aggregate("_o", run(F.get("_o", F.lit(0)), F.lit(0), F.lit(0.0)), step, lambda r: r["s"] + own(r)) / F.size("_o") - F.log(rest + F.lit(smoothing))
+    score = F.when(F.size("_g") > 0, F.when(F.col("_trusted") == 1, left).otherwise(plain))
+    return docs.withColumn("score", score).drop("_w", "_h1", "_h2", "_g", "_o")
+
+
+def repeats(docs: DataFrame) -> DataFrame:
+    """``docs`` (with ``_trusted``) with ``_n``, how many rows have the id and text of a trusted one, and ``_twin``, a hash of the text where they are several."""
+    ids = docs.where("_trusted = 1").select("doc_id").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    ids = settle(ids)
+    if ids.isEmpty():
+        return docs.withColumns({"_n": F.lit(1).cast("long"), "_twin": F.lit(None).cast("long")})
+    rows = docs.where("_trusted = 1").select("doc_id", F.xxhash64("text").alias("_twin")).join(ids, "doc_id", "left_semi")
+    rows = settle(rows.groupBy(F.col("doc_id").alias("_own_id"), "_twin").agg(F.count("*").alias("_n")).where("_n > 1"))
+    docs = docs.join(rows, (F.col("doc_id") == F.col("_own_id")) & (F.xxhash64("text") == F.col("_twin")), "left").drop("_own_id")
+    return docs.withColumn("_n", F.coalesce("_n", F.lit(1).cast("long")))
+
+
+def at_rank(values: DataFrame, rank: int) -> float:
+    """The value of ``v`` at a place, from 0, in ascending order: of 1,024 equal stretches the one that holds it is looked into again."""
+    low, high = values.agg(F.min("v"), F.max("v")).first()
+    while low < high:
+        part = F.floor((F.col("v") - F.lit(low)) / F.lit(high - low) * 1024)
+        rows = values.where(F.col("v").between(low, high)).groupBy(part.alias("part")).agg(F.count("*"), F.min("v"), F.max("v")).collect()
+        for _, n, low, high in sorted(rows):  # noqa: B007
+            if rank < n:
+                break
+            rank -= n
+    return low
+
+
+def quantile(values: DataFrame, q: float) -> float | None:
+    """The share ``q`` of all ``v``, exact and between two values as ``percentile`` has it; no task holds them all."""
+    n = values.count()
+    if not n:
+        return None
+    place = q * (n - 1)
+    low = at_rank(values, math.floor(place))
+    return low if place % 1 == 0 else low + (at_rank(values, math.ceil(place)) - low) * (place % 1)
+
+
+def judge(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, columns: list[str] | None = None) -> DataFrame:
+    """``docs`` with ``BASE``, ``base_failed``, ``score`` and ``kept`` beside their columns, or those named.
 
     ``base_failed``: under 20 words, or over 30 % of the words in repeated
     eight-word windows. ``score``: the mean over a text's words and word pairs
-    of the log ratio between the trusted and the raw multinomial; a trusted
-    text's own counts are left out of its score. ``kept``: the base rules hold
-    and the score is at least ``threshold``, or the score that all but
-    ``STRICT`` of the trusted texts of 20 words reach, if that is smaller; the
-    same rule decides every row.
+    of the log ratio between the trusted and the raw multinomial (``scored``);
+    every trusted text counts, and its own counts are left out of its score.
+    ``kept``: the base rules hold and the score is at least ``threshold``, or
+    the score that all but ``STRICT`` of the trusted texts of 20 words reach,
+    if that is smaller; the same rule decides every row.
 
+    The scored rows are written once, for the threshold comes from them.
     NULL and empty texts have no words, a NULL score and fail. Repeated rows
     are judged alike, and each counts towards the raw corpus. Columns named as
     the new ones are replaced. Empty tables give an empty result.
     """
-    table, own = ratios(docs, labels)
-    least = own.where("_long").agg(F.percentile("_own", F.lit(STRICT))).first()[0]
-    threshold = threshold if least is None else min(threshold, least)
-    docs = base_counts(hashed(docs)).withColumn("_g", grams())
-    total = F.aggregate("_g", F.lit(0.0), lambda s, b: s + F.get(table, b))
-    docs = docs.withColumn("score", F.when(F.size("_g") > 0, total / F.size("_g")))
-    own = F.broadcast(own.select("_own_id", "_own_text", "_own"))
-    docs = docs.join(own, (F.col("doc_id") == F.col("_own_id")) & (F.xxhash64("text") == F.col("_own_text")), "left")
-    docs = docs.withColumn("score", F.coalesce("_own", "score")).drop("_own_id", "_own_text", "_own")
+    named = [*(docs.columns if columns is None else columns)]
+    found = scored(repeats(marked(docs, trusted(labels))), SMOOTHING)
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
-    docs = docs.withColumn("base_failed", failed)
+    found = found.withColumn("base_failed", failed)
+    new = [*BASE, "score", "base_failed"]
+    found = settle(found.select("doc_id", *[c for c in named if c not in [*new, "doc_id"]], *new, "_trusted", "_twin"))
+    good = found.where("_trusted = 1 and n_words >= 20 and score is not null")
+    values = good.where("_twin is null").select(F.col("score").alias("v"))
+    values = values.union(good.where("_twin is not null").dropDuplicates(["doc_id", "_twin"]).select("score"))
+    least = quantile(values, STRICT)
+    threshold = threshold if least is None else min(threshold, least)
     kept = ~F.col("base_failed") & (F.col("score") >= F.lit(threshold))
-    return docs.withColumn("kept", F.coalesce(kept, F.lit(False))).drop("_w", "_h1", "_h2", "_g")
+    found = found.withColumn("kept", F.coalesce(kept, F.lit(False)))
+    return found.select(*[c for c in named if c not in [*new, "kept"]], *new, "kept")
 
 
 def keep(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that ``judge`` keeps, their columns as they were."""
     aside = {c: f"_own_{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")}
-    # A row number keeps the condition above the projections: pushed below them it would repeat every array they build.
-    judged = judge(docs.withColumnsRenamed(aside), labels, threshold).withColumn("_row", F.monotonically_increasing_id())
-    kept = judged.where(F.col("kept") & (F.col("_row") >= 0))
+    kept = judge(docs.withColumnsRenamed(aside), labels, threshold).where("kept")
     return kept.select(*[F.col(aside.get(c, c)).alias(c) for c in docs.columns])

@@ -264,6 +264,24 @@ def test_quality_scores_leave_own_counts_out(awkward, docs, spark, sf_dir):
         assert score is None or abs(score - least) < 1e-9 or r.kept == (not r.base_failed and score >= least)
 
 
+def test_quality_counts_every_trusted_text(spark):
+    """Whatever their number: each of 20,500 brings its own word in, and only trusted texts have it."""
+    n = 20_500
+    df = spark.range(n + 20).select(F.col("id").alias("doc_id"), F.concat(F.lit("good "), F.col("id").cast("string")).alias("text"))
+    labels = spark.range(n).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    raw, good = quality.counts(quality.marked(df, quality.trusted(labels)))
+    assert raw.sum() == 3 * (n + 20) and good.sum() == 3 * n
+
+
+def test_quantile_is_exact(spark):
+    rng = np.random.default_rng(2)
+    for values in (rng.normal(size=3000).round(2), np.full(50, 0.25), np.array([-1.0]), rng.normal(size=101) ** 9):
+        df = spark.createDataFrame([(float(v),) for v in values], "v double")
+        for q in (0.01, 0.5):
+            assert quality.quantile(df, q) == pytest.approx(np.percentile(values, 100 * q), abs=1e-12)
+    assert quality.quantile(df.limit(0), 0.01) is None
+
+
 def test_quality_keeps_columns(awkward, spark, sf_dir):
     kept = quality.keep(awkward, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     assert kept.schema.names == awkward.schema.names and kept.where("score <> 'clash'").isEmpty()
