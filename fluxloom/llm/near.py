@@ -1,4 +1,4 @@
-"""Near copies: SimHash fingerprints of word shingles tell candidates apart, exact Jaccard similarity decides."""
+"""Near copies: SimHash fingerprints and rare word shingles propose pairs, exact Jaccard similarity decides."""
 
 from __future__ import annotations
 
@@ -10,18 +10,16 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from fluxloom.llm.common import byte_runs
 from fluxloom.llm.components import components
-from fluxloom.llm.simhash import keep_first
+from fluxloom.llm.simhash import RADIUS, keep_first, links
 from fluxloom.session import release, settle
 
 #: Words of a shingle, and the least similarity as a fraction.
 WIDTH, LEAST = 5, (4, 5)
-#: Bits in which fingerprints of texts so similar may differ (9.7 are expected at the bound, with a deviation of 2.9), and the
-#: number of shingles from which on that holds: smaller sets aren't told apart by fingerprints.
-APART, ENOUGH = 22, 32
 #: Bits that tell the weight of a shingle, and the share of texts weights are taken from: they order shingles, which never changes a result.
 BITS, SAMPLE = 16, 16
 #: Texts that one task compares with the same text.
@@ -139,6 +137,39 @@ def confirmed(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, width: int) -
     return out
 
 
+def by_prints(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """Pairs ``a, b`` of ``nodes`` (``node, print``) that connect all whose fingerprints differ in ``radius`` or fewer bits.
+
+    The index of ``simhash`` finds them; of the nodes of one fingerprint each
+    is paired with the least. There are fewer pairs than links and nodes.
+    """
+    prints = settle(nodes.groupBy("print").agg(F.min("node").alias("least")))
+    found = links(prints.select(F.col("print").alias("fp")), radius)
+    one, two = (prints.select(F.col("print").alias(p), F.col("least").alias(f"{p}_least")) for p in ("a", "b"))
+    across = found.distinct().join(one, "a").join(two, "b").select(F.least("a_least", "b_least").alias("a"), F.greatest("a_least", "b_least").alias("b"))
+    within = nodes.select("node", "print").join(prints, "print").select(F.col("least").alias("a"), F.col("node").alias("b"))
+    pairs = settle(across.union(within).where("a <> b").distinct())
+    release(prints, found)
+    return pairs
+
+
+def meetings(nodes: DataFrame) -> DataFrame:
+    """Where ``nodes`` (``node, size, prefix``) meet others: ``node, size, own, code, most`` per shingle of a prefix that another prefix has.
+
+    ``own``: how many shingles of the prefix no other one has. ``most``: how
+    many a set can share with another one if this is the first one they share:
+    neither its own ones nor those it has before.
+    """
+    places = nodes.select("node", "size", F.size("prefix").alias("n"), F.posexplode("prefix").alias("pos", "code"))
+    shared = settle(places.groupBy("code").agg(F.count("*").alias("many")).where("many > 1").select("code"))
+    met = places.join(shared, "code")
+    of = W.partitionBy("node")
+    met = met.withColumn("own", F.col("n") - F.count("*").over(of)).withColumn("before", F.row_number().over(of.orderBy("pos")) - 1)
+    met = settle(met.select("node", "size", "own", "code", (F.col("size") - F.col("own") - F.col("before")).alias("most")))
+    release(shared)
+    return met
+
+
 def classes(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """Classes of near copies: ``doc_id, component_id``, one row per row of ``docs``.
 
@@ -147,14 +178,16 @@ def classes(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     ``component_id`` is the smallest doc_id that can be reached. Sets that are
     equal are one before anything is compared.
 
-    In one order of all shingles, two sets so similar share one of their first
-    ones, of as many as a near set may lack and one more. Rare ones come first,
-    so few texts meet. Of those that do, pairs whose sizes or SimHash
-    fingerprints (of the same shingles, ``APART`` bits) rule a link out go no
-    further; the rest are compared as whole sets: each with the smallest set it
-    meets at a shingle, and then, as often as they meet, those that are not
-    connected yet. A pair at the very bound is missed with a chance of some
-    1 in 100,000 by its fingerprints alone.
+    First come the pairs that the index of SimHash fingerprints (of the same
+    shingles) links. Fingerprints of sets so similar may differ in more bits,
+    so that others come from the shingles: in one order of all of them, two
+    such sets share one of their first ones, of as many as a near set may lack
+    and one more. Rare ones come first, so few texts meet. A pair goes no
+    further where the sizes, or the shingles that one of the two can't share
+    (``meetings``), rule a link out, which loses none. The rest are compared
+    as whole sets: at each shingle first with the set that has the fewest
+    shingles of its own there, and then, as often as they meet, those that are
+    not connected yet.
 
     Texts without words are one class. Rows with NULL doc_id take part and get
     the class's smallest id, if there is one;
@@ -165,35 +198,33 @@ def classes(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     held = settle(docs.select("doc_id", "text").mapInArrow(lambda it: prefixes(it, width, weight), f"doc_id {kind}, digest binary, size int, print long, prefix array<int>"))
     nodes = held.groupBy("digest").agg(F.min("doc_id").alias("first"), F.first(F.struct("size", "print", "prefix")).alias("s"))
     nodes = settle(nodes.select("digest", "first", "s.*").withColumn("node", F.monotonically_increasing_id()))
-    places = nodes.select("node", "size", F.explode("prefix").alias("code"))
-    shared = settle(places.groupBy("code").agg(F.min(F.struct("size", "node")).alias("least"), F.count("*").alias("n")).where("n > 1").select("code", "least"))
-    met = settle(places.select("node", "code").join(shared.select("code"), "code"))
-    known = nodes.select("node", "size", "print")
-    of = lambda side: known.select(*[F.col(c).alias(f"{side}_{c}") for c in known.columns]).withColumnRenamed(f"{side}_node", side)
-    sized = LEAST[1] * F.least("a_size", "b_size") >= LEAST[0] * F.greatest("a_size", "b_size")
-    few = F.least("a_size", "b_size") < ENOUGH
-    close = sized & (few | (F.bit_count(F.col("a_print").bitwiseXOR(F.col("b_print"))) <= APART))
-
-    star = met.join(shared, "code").select(F.col("least.node").alias("a"), F.col("node").alias("b")).where("a <> b").distinct()
-    star = settle(star.join(of("a"), "a").join(of("b"), "b").where(close).select("a", "b"))
-    links = confirmed(docs, nodes, star, width)
-    roots = settle(components(links))
+    told = by_prints(nodes)
+    met = meetings(nodes)
+    both = F.col("a_size") + F.col("b_size")
+    # i / (a + b - i) >= p / q, without division; a pair shares no more than either can, and no more than the smaller one has.
+    close = (sum(LEAST) * F.least("a_most", "b_most") >= LEAST[0] * both) & (LEAST[1] * F.least("a_size", "b_size") >= LEAST[0] * F.greatest("a_size", "b_size"))
+    ordered = lambda df: df.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    side = lambda df, s: df.select("code", *[F.col(c).alias(f"{s}_{c}") for c in df.columns if c not in ("code", "node")], F.col("node").alias(s))
+
+    hubs = settle(met.groupBy("code").agg(F.min(F.struct("own", "size", "node", "most")).alias("hub")).select("code", "hub.*"))
+    star = settle(side(hubs, "a").join(side(met, "b"), "code").where((F.col("a") != F.col("b")) & close).select("a", "b").distinct())
+    done = settle(ordered(star).union(told).distinct())
+    found = confirmed(docs, nodes, star.union(told.join(ordered(star), ["a", "b"], "left_anti")).distinct(), width)
+    release(told, star, hubs)
+    roots = settle(components(found))
 
     left = met.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     apart = settle(left.groupBy("code").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("code"))
-    release(shared)
-    # Sizes and fingerprints come along, so that nothing but candidates leaves the join.
-    left = settle(left.join(apart, "code", "left_semi").join(known, "node"))
+    # Sizes come along, so that nothing but candidates leaves the join.
+    left = settle(left.join(apart, "code", "left_semi").select("code", "root", "node", "size", "most"))
     release(met, roots, apart)
-    one, two = (left.select("code", F.col("root").alias(f"{s}_root"), F.col("node").alias(s), F.col("size").alias(f"{s}_size"), F.col("print").alias(f"{s}_print")) for s in ("a", "b"))
-    pairs = one.join(two, "code").where((F.col("a") < F.col("b")) & (F.col("a_root") != F.col("b_root")) & close).select("a", "b").distinct()
-    done = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    pairs = side(left, "a").join(side(left, "b"), "code").where((F.col("a") < F.col("b")) & (F.col("a_root") != F.col("b_root")) & close).select("a", "b").distinct()
     pairs = settle(pairs.join(done, ["a", "b"], "left_anti"))
-    release(left, star)
+    release(left, done)
     more = confirmed(docs, nodes, pairs, width)
     release(pairs)
-    roots = settle(components(links.union(more)))
-    release(links, more)
+    roots = settle(components(found.union(more)))
+    release(found, more)
 
     named = nodes.select("node", "digest", "first").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = settle(named.select("digest", "first", "root"))

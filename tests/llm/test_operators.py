@@ -199,6 +199,46 @@ def test_near_copies(name, request, spark, sf_dir):
         assert {r.doc_id for r in corpus_pipeline.near_dedup(spark, df, sf_dir).collect()} == kept
 
 
+def test_near_copies_with_far_fingerprints(spark):
+    """Five of 46 shingles differ, and 23 bits of the fingerprints."""
+    at = "524 1578 1912 1994 1341 2202 2381 2782 2567 1997 2529 677 2106 2656 2335 1195 185 1419 2048 503 1505 1393 2927 831 2170 2351 1162 1599 2028 1601 2723 1212 13 2738 1218 1963 683 1688 1570 439 2992 311 946 1815 752 2761 1143 245 233 1113"
+    words = [f"w{x}" for x in at.split()]
+    other = [*words[:20], "other0", *words[21:]]
+    prints = [near.fingerprint(near.shingles(" ".join(x).encode(), 5)) for x in (words, other)]
+    assert ((prints[0] ^ prints[1]) & (1 << 64) - 1).bit_count() > 22
+    df = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(other))], "doc_id long, text string")
+    assert {r.component_id for r in near.classes(df).collect()} == {1}
+
+
+def test_near_group_is_not_compared_all_with_all(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    base, rows = [f"w{x}" for x in rng.integers(0, 3000, 150)], []
+    for i in range(300):
+        own = list(base)
+        for at in rng.choice(150, int(rng.integers(0, 8)), replace=False):
+            own[at] = f"x{rng.integers(0, 1 << 30)}"
+        rows.append((i, " ".join(own)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    compared, real = [], near.confirmed
+    monkeypatch.setattr(near, "confirmed", lambda docs, nodes, pairs, width: compared.append(pairs.count()) or real(docs, nodes, pairs, width))
+    assert collections.Counter((r.doc_id, r.component_id) for r in near.classes(df).collect()) == collections.Counter(jaccard_classes(rows))
+    assert sum(compared) < 5 * len(rows)
+
+
+def test_near_copies_are_proposed_by_fingerprints(spark):
+    rng = np.random.default_rng(6)
+    prints = [int(x) for x in rng.integers(-(1 << 63), 1 << 63, 30)]
+    prints += [p ^ (1 << int(b)) for p in prints for b in rng.integers(0, 63, 2)] + prints[:5]
+    pairs = near.by_prints(spark.createDataFrame(list(enumerate(prints)), "node long, print long")).collect()
+    label = list(range(len(prints)))
+    for a, b in pairs:
+        label = [label[a] if x == label[b] else x for x in label]
+    assert len(pairs) < len(prints) * 4
+    for a, p in enumerate(prints):
+        for b, q in enumerate(prints):
+            assert (label[a] == label[b]) == (((p ^ q) & (1 << 64) - 1).bit_count() <= 6)
+
+
 def base_counts(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
     lines = [x for x in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
