@@ -42,8 +42,10 @@ def pack(ranks: np.ndarray) -> tuple[bytes, bytes]:
     four = np.zeros(-(-len(ranks) // 4) * 4, np.uint8)
     four[: len(ranks)] = extra
     control = (four.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(1, dtype=np.uint8)
-    held = np.arange(4) <= extra[:, None]
-    return control.tobytes(), ranks.view(np.uint8).reshape(-1, 4)[held].tobytes()
+    # No wider than the longest: most blocks hold numbers of two bytes at most.
+    wide = int(extra.max(initial=0)) + 1
+    held = np.arange(wide, dtype=np.uint8) <= extra[:, None]
+    return control.tobytes(), ranks.view(np.uint8).reshape(-1, 4)[:, :wide][held].tobytes()
 
 
 def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
@@ -53,7 +55,7 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
     begins = ends - lengths
     padded = np.frombuffer(data + b"\0\0\0", np.uint8)
     whole = np.zeros(n, np.uint32)
-    for k in range(4):
+    for k in range(int(lengths.max(initial=0))):
         whole |= padded[begins + k].astype(np.uint32) << np.uint32(8 * k)
     return whole & MASKS[lengths]
 
@@ -86,9 +88,10 @@ def tokenized(batches: Iterator[pa.RecordBatch], path: str, end: int, kind: str)
 def counted(batches: Iterator[pa.RecordBatch], size: int, kind: str) -> Iterator[pa.RecordBatch]:
     n = np.zeros(size, np.int64)
     for batch in batches:
-        for ids in batch.column(0).to_pylist():
-            found = np.bincount(np.frombuffer(ids, kind))
-            n[: len(found)] += found
+        if not batch.num_rows:
+            continue
+        found = np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), kind))
+        n[: len(found)] += found
     held = np.flatnonzero(n)
     yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(n[held])], ["id", "n"])
 

@@ -5,13 +5,14 @@ from __future__ import annotations
 import json
 import os
 import re
+import struct
 import unicodedata
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 
-#: Distinct words whose ids a worker remembers, over its tasks, and characters of text looked up in one go.
-REMEMBERED, AT_ONCE = 600_000, 4 << 20
+#: Distinct words, alone or with the signs beside them, whose ids a worker remembers, over its tasks, and characters of text looked up in one go.
+REMEMBERED, AT_ONCE = 1_000_000, 4 << 20
 
 # How the word tokenizer prepares a text before it joins letters.
 NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
@@ -40,13 +41,39 @@ def _byte_letters() -> list[str]:
 LETTERS = _byte_letters()
 
 
+class Remembered(dict):
+    """The ids of what stands between spaces, and of the words in it; worked out where it is asked for first."""
+
+    def __init__(self, model):
+        self.model = model
+
+    def word(self, word: str) -> bytes:
+        found = self.get(word)
+        if found is None:
+            shown = word if word.isascii() else "".join(map(LETTERS.__getitem__, word.encode()))
+            ids = [t.id for t in self.model.tokenize(shown)]
+            found = self[word] = struct.pack(f"<{len(ids)}I", *ids)
+        return found
+
+    def __missing__(self, chunk: str) -> bytes:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        words, before = WORDS.findall(chunk), len(self)
+        found = b"".join(map(self.word, words))
+        # What holds a word met for the first time is seldom met again.
+        if len(self) == before:
+            self[chunk] = found
+        return found
+
+
 class Encoder:
     """A tokenizer and the ids of the words this worker has met, as little-endian 32-bit integers.
 
     The ids are those of the tokenizers library without special tokens. No
     token crosses a word, so where the tokenizer prepares texts in the way
-    told above, a plain text is cut into its words and only words not met
-    before go to the library's model.
+    told above, a plain text is cut at its spaces, which no word crosses, only
+    what was not met before is cut into words, and only words not met before
+    go to the library's model.
     """
 
     def __init__(self, path: str):
@@ -67,27 +94,16 @@ class Encoder:
         special = [t["content"] for t in told.get("added_tokens", [])]
         self.special = re.compile("|".join(map(re.escape, special))).search if special else lambda text: None
         self.size = self.tokenizer.get_vocab_size()
-        self.remembered: dict[str, bytes] = {}
-
-    def learn(self, new: Iterable[str]) -> None:
-        model = self.tokenizer.model
-        for word in new:
-            shown = word if word.isascii() else "".join(map(LETTERS.__getitem__, word.encode()))
-            self.remembered[word] = np.array([t.id for t in model.tokenize(shown)], "<u4").tobytes()
+        self.remembered = Remembered(self.tokenizer.model)
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """The ids of each text."""
-        cut = [WORDS.findall(t.lower()) if self.by_words and PLAIN.fullmatch(t) and not self.special(t) else None for t in texts]
-        new = set().union(*[c for c in cut if c]).difference(self.remembered)
-        if len(self.remembered) + len(new) > REMEMBERED:
-            self.remembered.clear()
-            new = set().union(*[c for c in cut if c])
-        self.learn(new)
+        plain = [self.by_words and PLAIN.fullmatch(t) and not self.special(t) for t in texts]
         get = self.remembered.__getitem__
-        return [self.whole(t) if c is None else b"".join(map(get, c)) for t, c in zip(texts, cut, strict=True)]
+        return [b"".join(map(get, t.lower().split())) if p else self.whole(t) for t, p in zip(texts, plain, strict=True)]
 
 
 def encoder(path: str) -> Encoder:

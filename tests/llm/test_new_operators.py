@@ -61,6 +61,18 @@ def test_word_ids_are_the_librarys():
     assert found.ids(texts) == [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
 
 
+def test_words_are_cut_once_between_spaces(monkeypatch):
+    """Cutting a text into words is asked for what stands between spaces, and not again for what was met."""
+    cut, real = [], tokens.WORDS
+    monkeypatch.setattr(tokens, "WORDS", type("Words", (), {"findall": staticmethod(lambda t: cut.append(t) or real.findall(t))}))
+    found, text = tokens.Encoder(PATH), "It's done, it's\tdone, (really) it's"
+    assert found.ids([text] * 9) == [ids_of(text)] * 9
+    assert sorted(cut) == ["(really)"] * 2 + ["done,"] * 2 + ["it's"] * 2
+    monkeypatch.setattr(tokens, "REMEMBERED", 3)
+    assert tokens.Encoder(PATH).ids([text] * 3) == [ids_of(text)] * 3
+    assert found.ids(["''s 's's a'b !'s '!'s"]) == [ids_of("''s 's's a'b !'s '!'s")]
+
+
 def test_other_tokenizers_take_whole_texts():
     path = public_tokenizers.path("byte_bpe_50k.json")
     found, tokenizer = tokens.Encoder(path), Tokenizer.from_file(path)
