@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fluxloom.llm.common import SPACES, words
@@ -101,9 +102,14 @@ def counts(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return raw, good
 
 
-def constant(values: np.ndarray) -> Column:
-    """One text constant, which the optimizer turns into an array constant."""
-    return F.split(F.lit(" ".join(map(repr, values.tolist()))), " ").cast("array<double>")
+def constant(spark: SparkSession, values: np.ndarray) -> Column:
+    """All values as one array, by a scalar subquery; unlike a literal they aren't written out wherever Spark describes the plan."""
+    return spark.createDataFrame([(values.tolist(),)], "v array<double>").scalar()
+
+
+def bound(value: Column | str, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def scored(docs: DataFrame, smoothing: float) -> DataFrame:
@@ -121,17 +127,23 @@ def scored(docs: DataFrame, smoothing: float) -> DataFrame:
     weight = np.divide(raw.sum(), raw, out=np.zeros(BUCKETS), where=raw > 0)
     table = np.where((raw > 0) & (total > 0), np.log((good * weight + smoothing) / (total + smoothing)), 0.0)
     docs = base_counts(hashed(docs)).withColumn("_g", grams())
-    table, good, weight = constant(table), constant(good), constant(weight)
-    plain = F.aggregate("_g", F.lit(0.0), lambda s, b: s + F.get(table, b)) / F.size("_g")
-    # Of a trusted text equal n-grams stand together, and each run ends in one logarithm.
-    docs = docs.withColumn("_o", F.when(F.col("_trusted") == 1, F.sort_array("_g")))
-    own = lambda r: r["n"] * F.log((F.get(good, r["b"]) - F.col("_n") * r["n"]) * F.get(weight, r["b"]) + F.lit(smoothing))
+    # Each column is used once, by a variable: so the optimizer puts the subqueries where they are used, and no row carries the arrays.
+    docs = docs.withColumns({f"_{k}": constant(docs.sparkSession, v) for k, v in (("table", table), ("good", good), ("weight", weight))})
+    plain = lambda g: bound("_table", lambda t: F.aggregate(g, F.lit(0.0), lambda s, b: s + F.get(t, b)) / F.size(g))
     run = lambda b, n, s: F.struct(b.alias("b"), n.alias("n"), s.alias("s"))
-    step = lambda r, b: F.when(r["b"] == b, run(b, r["n"] + 1, r["s"])).otherwise(run(b, F.lit(1), r["s"] + own(r)))
-    rest = F.lit(float(total)) - F.col("_n") * F.size("_o")
-    left = F.aggregate("_o", run(F.get("_o", F.lit(0)), F.lit(0), F.lit(0.0)), step, lambda r: r["s"] + own(r)) / F.size("_o") - F.log(rest + F.lit(smoothing))
-    score = F.when(F.size("_g") > 0, F.when(F.col("_trusted") == 1, left).otherwise(plain))
-    return docs.withColumn("score", score).drop("_w", "_h1", "_h2", "_g", "_o")
+
+    def runs(o: Column, good: Column, weight: Column) -> Column:
+        own = lambda r: r["n"] * F.log((F.get(good, r["b"]) - F.col("_n") * r["n"]) * F.get(weight, r["b"]) + F.lit(smoothing))
+        step = lambda r, b: F.when(r["b"] == b, run(b, r["n"] + 1, r["s"])).otherwise(run(b, F.lit(1), r["s"] + own(r)))
+        return F.aggregate(o, run(F.get(o, F.lit(0)), F.lit(0), F.lit(0.0)), step, lambda r: r["s"] + own(r))
+
+    def left(o: Column) -> Column:
+        rest = F.lit(float(total)) - F.col("_n") * F.size(o)
+        return bound("_good", lambda g: bound("_weight", lambda w: runs(o, g, w))) / F.size(o) - F.log(rest + F.lit(smoothing))
+
+    # Of a trusted text equal n-grams stand together, and each run ends in one logarithm.
+    score = bound("_g", lambda g: F.when(F.size(g) > 0, F.when(F.col("_trusted") == 1, bound(F.sort_array(g), left)).otherwise(plain(g))))
+    return docs.withColumn("score", score).drop("_w", "_h1", "_h2", "_g", "_table", "_good", "_weight")
 
 
 def repeats(docs: DataFrame) -> DataFrame:

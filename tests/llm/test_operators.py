@@ -322,6 +322,14 @@ def test_quantile_is_exact(spark):
     assert quality.quantile(df.limit(0), 0.01) is None
 
 
+def test_quality_plan_is_short_and_rows_carry_no_tables(docs, spark, sf_dir):
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    found = quality.scored(quality.repeats(quality.marked(docs, quality.trusted(labels))), quality.SMOOTHING)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert len(plan) < 50_000
+    assert not any(f"AS _{name}#" in plan for name in ("table", "good", "weight"))
+
+
 def test_quality_keeps_columns(awkward, spark, sf_dir):
     kept = quality.keep(awkward, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     assert kept.schema.names == awkward.schema.names and kept.where("score <> 'clash'").isEmpty()
